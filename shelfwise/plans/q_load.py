@@ -19,12 +19,22 @@ TS_NOW = f"timestamp '{P.NOW}'"
 TS_LATER = f"timestamp '{P.LATER}'"
 
 
+_MEMO: dict = {}
+
+
 def dom(spark: SparkSession, sf: str) -> Domain:
-    return Domain(spark, sf)
+    key = ("dom", id(spark), sf)
+    if key not in _MEMO:
+        _MEMO[key] = Domain(spark, sf)
+    return _MEMO[key]
 
 
 def full(spark: SparkSession, sf: str, now: str = P.NOW) -> L.Targets:
-    return L.build_targets(dom(spark, sf), P.FULL_START, P.FULL_END, now)
+    """The fresh whole-range load (lazy plans, built once per session and data dir)."""
+    key = ("full", id(spark), sf, now)
+    if key not in _MEMO:
+        _MEMO[key] = L.build_targets(dom(spark, sf), P.FULL_START, P.FULL_END, now)
+    return _MEMO[key]
 
 
 def active_shops(t: L.Targets) -> DataFrame:
