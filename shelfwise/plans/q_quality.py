@@ -1 +1,216 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: data-quality checks, dead letters, reconciliation, audit, idempotence."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..operators import keys as K
+from ..operators import quality as Q
+from ..operators.upsert import upsert
+from . import loads as L
+from . import params as P
+from .catalog import register
+from .q_load import BASE_CTES, SELL_NEW, SELL_OLD, UPSERT_SELL_SQL, active_shops, dom, full, limited_products, rng
+
+# Declared NOT NULL columns checked on the loaded targets (plus the source detail keys).
+NOT_NULL = {
+    "products": ["description"],
+    "sell_detail": ["sell_id", "qty", "sell_date", "product_id", "shop_id"],
+}
+EVENT_TYPES = ("click", "view", "purchase", "signup")  # fixed allowed list of the check
+DESCRIPTION_BOUND = 11  # sample VARCHAR(11) label bound for the product description
+
+RESTRICTED_DETAIL = f"""
+    select d.id, d.sell_id,
+           case when d.company_id in (select id from t_suppliers) then d.company_id end as company_id,
+           case when d.product_id in (select id from t_limited) then d.product_id end as product_id,
+           case when d.shop_id in (select id from t_active) then d.shop_id end as shop_id,
+           coalesce(d.qty, 0) as qty, s.sell_date
+    from v_sell_detail d join v_sell s on d.sell_id = s.id
+    where {rng('s.sell_date', P.FULL_START, P.FULL_END)}"""
+Q_CTES = {**BASE_CTES, "t_rdetail": RESTRICTED_DETAIL}
+
+
+def _restricted_detail(spark, sf):
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    return L.load_sell_detail(d.v_sell_detail, d.v_sell, P.FULL_START, P.FULL_END, active_shops(t),
+                              limited_products(t), t.suppliers)
+
+
+@register(
+    "dq_not_null",
+    "select 'products' as table_name, 'description' as column_name, "
+    "count(*) filter (where description is null) as n_null from t_products "
+    + "".join(
+        f"union all select 'sell_detail', '{c}', count(*) filter (where {c} is null) from t_rdetail "
+        for c in NOT_NULL["sell_detail"]
+    ),
+    Q_CTES,
+)
+def q_dq_not_null(spark, sf):
+    t = full(spark, sf)
+    return Q.dq_not_null(t.products, "products", NOT_NULL["products"]).unionByName(
+        Q.dq_not_null(_restricted_detail(spark, sf), "sell_detail", NOT_NULL["sell_detail"])
+    )
+
+
+@register(
+    "dq_in_set",
+    "select event_id, 'event_type' as column_name, event_type as value from events "
+    f"where event_type not in {tuple(EVENT_TYPES)}",
+)
+def q_dq_in_set(spark, sf):
+    return Q.dq_in_set(dom(spark, sf).events, "event_id", "event_type", EVENT_TYPES)
+
+
+@register("dq_compare", "select id, show_qty, max_qty from v_setting where not (show_qty <= max_qty)")
+def q_dq_compare(spark, sf):
+    return Q.dq_compare(dom(spark, sf).v_setting, "id", "show_qty", "max_qty")
+
+
+@register(
+    "dq_foreign_key",
+    """select 'product_id' as fk_column, cast(product_id as bigint) as key_value, count(*) as n_rows
+       from v_sell_detail where product_id is not null and product_id not in (select id from t_limited) group by all
+       union all
+       select 'shop_id', cast(shop_id as bigint), count(*)
+       from v_sell_detail where shop_id is not null and shop_id not in (select id from t_active) group by all""",
+    BASE_CTES,
+)
+def q_dq_foreign_key(spark, sf):
+    t = full(spark, sf)
+    return Q.dq_foreign_key(
+        dom(spark, sf).v_sell_detail, {"product_id": limited_products(t), "shop_id": active_shops(t)}
+    )
+
+
+@register(
+    "dq_unique",
+    "select l_orderkey, l_linenumber, count(*) as n_rows from lineitem group by all having count(*) > 1",
+)
+def q_dq_unique(spark, sf):
+    return Q.dq_unique(dom(spark, sf).table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "dq_length",
+    f"""select id, 'description' as column_name, length(description) as length, {DESCRIPTION_BOUND} as bound
+        from v_product where length(description) > {DESCRIPTION_BOUND}
+        union all
+        select id, 'name', length(name), 255 from v_company where length(name) > 255""",
+)
+def q_dq_length(spark, sf):
+    d = dom(spark, sf)
+    return Q.dq_length(d.v_product, "id", {"description": DESCRIPTION_BOUND}).unionByName(
+        Q.dq_length(d.v_company, "id", {"name": 255})
+    )
+
+
+@register(
+    "dlq",
+    """select 'stock_shop' as source_table, cast(shop_id as varchar) || ':' || cast(product_id as varchar) as row_key,
+              fk_reason as reason,
+              to_json(struct_pack(shop_id := shop_id, product_id := product_id, qty := qty)) as payload
+       from (select shop_id, product_id, qty,
+                    nullif(concat_ws(',',
+                       case when not (shop_id > 0 and shop_id in (select id from t_active)) or shop_id is null
+                            then 'unknown_shop_id' end,
+                       case when not (product_id > 0 and product_id in (select id from t_limited)) or product_id is null
+                            then 'unknown_product_id' end), '') as fk_reason
+             from v_stock_shop)
+       where fk_reason is not null""",
+    BASE_CTES,
+)
+def q_dlq(spark, sf):
+    t = full(spark, sf)
+    rej = K.fk_reject(dom(spark, sf).v_stock_shop, {"shop_id": active_shops(t), "product_id": limited_products(t)})
+    return Q.dlq(rej, "stock_shop", ["shop_id", "product_id"])
+
+
+def _recon_sql(src: str, tgt: str, measure: str) -> str:
+    return f"""
+        select 'sell' as table_name, coalesce(s.day, t.day) as day,
+               cast(coalesce(s.v, 0) as bigint) as source_value, cast(coalesce(t.v, 0) as bigint) as target_value,
+               cast(coalesce(s.v, 0) as bigint) - cast(coalesce(t.v, 0) as bigint) as diff
+        from (select cast(cast(sell_date as date) as timestamp) as day, {measure} as v from {src} group by all) s
+        full join (select cast(cast(sell_date as date) as timestamp) as day, {measure} as v from {tgt} group by all) t
+          on s.day = t.day"""
+
+
+RANGE_SELL = f"select * from v_sell where {rng('sell_date', P.RANGE_START, P.RANGE_END)}"
+SRC_DETAIL = "select d.qty, s.sell_date from v_sell_detail d join v_sell s on d.sell_id = s.id"
+RANGE_DETAIL = f"select * from t_src_detail where {rng('sell_date', P.RANGE_START, P.RANGE_END)}"
+
+
+@register(
+    "reconcile_counts",
+    _recon_sql("v_sell", "t_range_sell", "count(*)"),
+    {"t_range_sell": RANGE_SELL},
+)
+def q_reconcile_counts(spark, sf):
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    target = L.load_sell(d.v_sell, P.RANGE_START, P.RANGE_END, t.branches)
+    return Q.reconcile(d.v_sell, target, "sell")
+
+
+@register(
+    "reconcile_sums",
+    _recon_sql("t_src_detail", "t_range_detail", "sum(qty)").replace("'sell' as table_name", "'sell_detail' as table_name"),
+    {"t_src_detail": SRC_DETAIL, "t_range_detail": RANGE_DETAIL},
+)
+def q_reconcile_sums(spark, sf):
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    src = L.join_detail_header(d.v_sell_detail, d.v_sell, P.FULL_START, P.FULL_END)
+    target = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.RANGE_START, P.RANGE_END, t.branches, t.products,
+                                t.suppliers)
+    return Q.reconcile(src, target, "sell_detail", measure="qty")
+
+
+AUDIT_SEED = "2026"
+
+
+@register(
+    "audit_sample",
+    f"""select s.id, (s.shop_id is not distinct from t.shop_id) as shop_id_match,
+              (s.sell_date is not distinct from t.sell_date) as sell_date_match,
+              t.shop_id is not null as found
+       from (select id, shop_id, sell_date from v_sell
+             order by md5(cast(id as varchar) || '|{AUDIT_SEED}') limit 100) s
+       left join t_upserted t on s.id = t.id""",
+    {**BASE_CTES, "sell_old": SELL_OLD, "sell_new": SELL_NEW, "t_upserted": UPSERT_SELL_SQL},
+)
+def q_audit_sample(spark, sf):
+    from .q_load import q_upsert_sells
+
+    target = q_upsert_sells(spark, sf)
+    return Q.audit_sample(dom(spark, sf).v_sell, target, "id", ["shop_id", "sell_date"], 100, AUDIT_SEED)
+
+
+@register(
+    "idempotent_resync",
+    f"""select 'rows' as check_name, count(*) as n_rows from t_sell_once
+        union all select 'once_minus_twice', 0
+        union all select 'twice_minus_once', 0""",
+    {**BASE_CTES, "t_sell_once": f"select * from v_sell where {rng('sell_date', P.FULL_START, P.FULL_END)}"},
+)
+def q_idempotent_resync(spark, sf):
+    """Applying the same load twice equals applying it once (both set differences empty)."""
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    batch = L.load_sell(d.v_sell, P.FULL_START, P.FULL_END, t.branches)
+    empty = spark.createDataFrame([], S.SELL.schema)
+    once = upsert(empty, batch, S.SELL, P.NOW)
+    twice = upsert(once, batch, S.SELL, P.NOW)
+    parts: list[DataFrame] = [
+        once.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("rows").alias("check_name"), "n_rows"),
+        once.exceptAll(twice).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("once_minus_twice").alias("check_name"), "n_rows"),
+        twice.exceptAll(once).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("twice_minus_once").alias("check_name"), "n_rows"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
