@@ -104,23 +104,25 @@ def empty_target(spark: SparkSession, spec: TableSpec) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Snapshot publishing (masters, small targets) and month-partition rewrites.
 # ---------------------------------------------------------------------------
-MANIFEST = "_CURRENT.json"
+MANIFEST = "_manifest"
 
 
 def _read_manifest(spark: SparkSession, root: str) -> dict | None:
+    """Newest committed manifest entry (append-only log of published snapshots)."""
     try:
-        rows = spark.read.text(f"{root}/{MANIFEST}").collect()
+        log = spark.read.schema("ts string, path string").json(f"{root}/{MANIFEST}")
+        rows = log.orderBy(F.col("ts").desc()).limit(1).collect()
     except Exception:  # noqa: BLE001 - absent manifest = new table
         return None
-    return json.loads("".join(r.value for r in rows)) if rows else None
+    return rows[0].asDict() if rows else None
 
 
 def _write_manifest(spark: SparkSession, root: str, payload: dict) -> None:
-    # A one-row text file written by Spark itself (works on any Hadoop FS).
-    tmp = f"{root}/_manifest_{uuid.uuid4().hex}"
-    spark.createDataFrame([(json.dumps(payload),)], "value string").coalesce(1).write.text(tmp)
-    txt = spark.read.text(tmp)
-    txt.coalesce(1).write.mode("overwrite").text(f"{root}/{MANIFEST}")
+    # Each publish appends one small JSON file; the job commit makes it visible
+    # atomically, and the previous entries stay valid until the new one lands.
+    ts = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+    row = spark.createDataFrame([(ts, payload["path"])], "ts string, path string")
+    row.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
 
 
 def read_snapshot(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
@@ -149,9 +151,12 @@ def write_months(
     merged_touched: DataFrame,
     spec: TableSpec,
     sort_by: list[str] | None = None,
+    replace_all: bool = False,
 ) -> None:
     """Rewrite only the month partitions present in ``merged_touched``.
 
+    ``replace_all`` (full reset) replaces the whole table instead.
+
     The merged rows are staged under ``spark.checkpoint.dir`` first (this cuts
     the lineage back to the table being rewritten and survives executor
     loss); then a dynamic partition overwrite swaps in just those months.
@@ -161,12 +166,13 @@ def write_months(
     staged = merged_touched.withColumn("sell_month", F.to_date(month_trunc(spec.month_col)))
     staged.write.mode("errorifexists").parquet(staged_path)
     back = spark.read.parquet(staged_path)
-    w = back.repartition("sell_month")
+    # rebalance: AQE splits a hot month across writers instead of one task per month.
+    w = back.hint("rebalance", "sell_month")
     if sort_by:
         w = w.sortWithinPartitions(*sort_by)
     (
         w.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy("sell_month")
         .parquet(root)
     )
@@ -194,8 +200,8 @@ def upsert_months(
     if not months:
         return
     try:
-        old = spark.read.schema(spec.schema).parquet(root).where(F.col("sell_month").isin(months))
-        old = old.select(*spec.columns)
+        # Partition discovery gives sell_month; the isin list prunes untouched months.
+        old = spark.read.parquet(root).where(F.col("sell_month").isin(months)).select(*spec.columns)
     except Exception:  # noqa: BLE001 - first load: no table yet
         old = empty_target(spark, spec)
     write_months(spark, root, merge(old, b, spec.keys, spec.updates), spec, sort_by)

@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None, ctes: dict[str, str] | None = No
 
 def _load_all() -> None:
     # Importing the modules runs their @register decorators.
-    from . import q_load, q_quality, q_series, q_planning, q_misc  # noqa: F401
+    from . import q_load, q_quality, q_series, q_planning, q_misc, q_layout, q_stream  # noqa: F401
 
 
 def queries() -> dict[str, Builder]:

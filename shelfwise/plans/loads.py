@@ -18,7 +18,7 @@ from .. import schemas as S
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.keys import fk_nullify, fk_semi_filter
-from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months
+from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
 
 # Fixed load timestamp used by the registered queries (never the wall clock in tests).
@@ -278,7 +278,11 @@ def run_load(
         if dry_run:
             counts[spec.name] = batch.count()
             continue
-        upsert_months(spark, f"{root}/{spec.name}", batch, spec, now, sort_by=["shop_id", "sell_date"])
+        if reset:
+            write_months(spark, f"{root}/{spec.name}", conform(batch, spec, now), spec,
+                         sort_by=["shop_id", "sell_date"], replace_all=True)
+        else:
+            upsert_months(spark, f"{root}/{spec.name}", batch, spec, now, sort_by=["shop_id", "sell_date"])
         counts[spec.name] = spark.read.parquet(f"{root}/{spec.name}").count()
     return {"mode": mode, "start": start, "end": end, "reset": reset, "counts": counts}
 

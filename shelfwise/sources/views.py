@@ -150,24 +150,7 @@ class Domain:
 
     @cached_property
     def v_setting(self) -> DataFrame:
-        e = self.table("events")
-        k = F.get_json_object(F.col("props"), "$.k").cast("int")
-        return e.select(
-            F.col("event_id").alias("id"),
-            (F.col("user_id") % SETTING_SHOPS).cast("int").alias("shop_id"),
-            (F.lit(1) + F.col("event_id") % SETTING_GROUPS).cast("int").alias("product_group_id"),
-            (F.col("value") / 2).alias("min_qty"),
-            F.col("value").alias("max_qty"),
-            (F.lit(1.0) + k / 100).alias("sell_multiply"),
-            k.cast("double").alias("show_qty"),
-            F.lit(None).cast("int").alias("category_id"),
-            F.lit(None).cast("int").alias("type_id"),
-            F.lit(None).cast("int").alias("brand_id"),
-            F.lit(None).cast("int").alias("created_by"),
-            F.lit(None).cast("int").alias("updated_by"),
-            F.col("ts").alias("created_at"),
-            F.col("ts").alias("updated_at"),
-        )
+        return settings_from_events(self.table("events"))
 
     @cached_property
     def embeddings(self) -> DataFrame:
@@ -176,3 +159,24 @@ class Domain:
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events")
+
+
+def settings_from_events(e: DataFrame) -> DataFrame:
+    """Stock-target settings (one version per event); works on batch and streaming frames."""
+    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    return e.select(
+        F.col("event_id").alias("id"),
+        (F.col("user_id") % SETTING_SHOPS).cast("int").alias("shop_id"),
+        (F.lit(1) + F.col("event_id") % SETTING_GROUPS).cast("int").alias("product_group_id"),
+        (F.col("value") / 2).alias("min_qty"),
+        F.col("value").alias("max_qty"),
+        (F.lit(1.0) + k / 100).alias("sell_multiply"),
+        k.cast("double").alias("show_qty"),
+        F.lit(None).cast("int").alias("category_id"),
+        F.lit(None).cast("int").alias("type_id"),
+        F.lit(None).cast("int").alias("brand_id"),
+        F.lit(None).cast("int").alias("created_by"),
+        F.lit(None).cast("int").alias("updated_by"),
+        F.col("ts").alias("created_at"),
+        F.col("ts").alias("updated_at"),
+    )
