@@ -19,14 +19,35 @@ from ..functions.expr import positive
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+_CHECKED: dict[tuple[int, int], bool] = {}
+_KNOWN_ROWS: dict[int, int] = {}
+
+
+def remember_rows(df: DataFrame, n: int) -> DataFrame:
+    """Record a measured row count of ``df`` (e.g. observed while it was written)."""
+    _KNOWN_ROWS[df.semanticHash()] = int(n)
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return _KNOWN_ROWS.get(df.semanticHash())
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, upper_bound: int | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check is a ``limit(max_rows + 1).count()`` job over the (small,
-    column-pruned) side only.
+    ``upper_bound`` is a row count already measured for the input ``df`` derives
+    from (a key set has at most as many rows as its table). Without one, the
+    check is a ``limit(max_rows + 1).count()`` job over the (small,
+    column-pruned) side only; its verdict is remembered per analysed plan for
+    the session, so a key set used by several joins is counted once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if upper_bound is not None and upper_bound <= max_rows:
+        return F.broadcast(df)
+    key = (df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df
 
 
 def key_set(target: DataFrame, id_col: str = "id", out: str = "_k") -> DataFrame:
@@ -36,7 +57,7 @@ def key_set(target: DataFrame, id_col: str = "id", out: str = "_k") -> DataFrame
 
 def _probe(df: DataFrame, fk: str, valid: DataFrame, id_col: str, tag: str, max_rows: int):
     ks = key_set(valid, id_col, f"_k_{tag}").withColumn(f"_hit_{tag}", F.lit(True))
-    ks = bounded_broadcast(ks, max_rows)
+    ks = bounded_broadcast(ks, max_rows, known_rows(valid))
     return df.join(ks, df[fk] == ks[f"_k_{tag}"], "left").drop(f"_k_{tag}")
 
 
@@ -68,7 +89,7 @@ def fk_semi_filter(
     """Drop rows whose key is non-positive or unknown (hash semi-joins)."""
     out = df.where(positive(*checks.keys())) if require_positive else df
     for fk, valid in checks.items():
-        ks = bounded_broadcast(key_set(valid, id_col, "_k"), max_rows)
+        ks = bounded_broadcast(key_set(valid, id_col, "_k"), max_rows, known_rows(valid))
         out = out.join(ks, out[fk] == ks["_k"], "left_semi")
     return out
 

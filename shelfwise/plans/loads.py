@@ -181,6 +181,24 @@ def load_sell_detail(
 
 
 # -- whole load -------------------------------------------------------------------
+def materialize_target(df: DataFrame) -> DataFrame:
+    """Write a target to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing the
+    load) and records the written row count, observed during the same job, as
+    the proven size bound of every key set taken from it.
+    """
+    from pyspark.sql import Observation
+
+    from ..operators.keys import remember_rows
+    from ..session import scratch_path
+
+    obs = Observation("rows")
+    path = scratch_path(df.sparkSession, "targets")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    return remember_rows(back, obs.get["n"])
+
 @dataclass
 class Targets:
     branches: DataFrame
@@ -198,20 +216,29 @@ class Targets:
 
 
 def build_targets(dom: Domain, start: str, end: str, now: str = DEFAULT_NOW,
-                  valid_shops: DataFrame | None = None, valid_products: DataFrame | None = None) -> Targets:
-    """A fresh load computed lazily in memory (no writes); targets conform to their schemas.
-
-    ``valid_shops``/``valid_products`` override the key sets (e.g. only active
-    branches) to exercise the nullify/semi/reject paths.
+                  valid_shops: DataFrame | None = None, valid_products: DataFrame | None = None,
+                  materialize: bool = False) -> Targets:
+    """A fresh load; targets conform to their schemas.
+
+    With ``materialize`` every master target is written once (parquet under
+    ``spark.checkpoint.dir``, row count observed during the write) before the facts are
+    validated against it — as the batch job reads key sets back from the
+    loaded targets. Facts stay lazy. ``valid_shops``/``valid_products``
+    override the key sets (e.g. only active branches) to exercise the
+    nullify/semi/reject paths.
     """
-    branches = conform(load_branches(dom.v_shop), S.BRANCHES, now)
-    suppliers = conform(load_suppliers(dom.v_company), S.SUPPLIERS, now)
-    customers = conform(load_customers(dom.v_company), S.CUSTOMERS, now)
-    brands = conform(load_named_master(brands_source(dom.v_product)), S.BRANDS, now)
-    categories = conform(load_named_master(categories_source(dom.v_product)), S.CATEGORIES, now)
-    groups = conform(load_named_master(groups_source(dom.v_product), "description"), S.GROUPS, now)
-    types = conform(load_named_master(types_source(dom.v_product)), S.TYPES, now)
-    products = conform(load_products(dom.v_product, brands, categories, groups, types), S.PRODUCTS, now)
+
+    def m(df: DataFrame) -> DataFrame:
+        return materialize_target(df) if materialize else df
+
+    branches = m(conform(load_branches(dom.v_shop), S.BRANCHES, now))
+    suppliers = m(conform(load_suppliers(dom.v_company), S.SUPPLIERS, now))
+    customers = m(conform(load_customers(dom.v_company), S.CUSTOMERS, now))
+    brands = m(conform(load_named_master(brands_source(dom.v_product)), S.BRANDS, now))
+    categories = m(conform(load_named_master(categories_source(dom.v_product)), S.CATEGORIES, now))
+    groups = m(conform(load_named_master(groups_source(dom.v_product), "description"), S.GROUPS, now))
+    types = m(conform(load_named_master(types_source(dom.v_product)), S.TYPES, now))
+    products = m(conform(load_products(dom.v_product, brands, categories, groups, types), S.PRODUCTS, now))
     shops = valid_shops if valid_shops is not None else branches
     prods = valid_products if valid_products is not None else products
     stock = conform(load_stock_balance(dom.v_stock_shop, shops, prods), S.STOCK_BALANCE, now)

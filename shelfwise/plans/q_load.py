@@ -33,10 +33,21 @@ def full(spark: SparkSession, sf: str, now: str = P.NOW) -> L.Targets:
     """The fresh whole-range load (lazy plans, built once per session and data dir)."""
     key = ("full", id(spark), sf, now)
     if key not in _MEMO:
-        _MEMO[key] = L.build_targets(dom(spark, sf), P.FULL_START, P.FULL_END, now)
+        ensure_scratch(spark)
+        _MEMO[key] = L.build_targets(dom(spark, sf), P.FULL_START, P.FULL_END, now, materialize=True)
     return _MEMO[key]
 
 
+def ensure_scratch(spark: SparkSession) -> None:
+    """Sessions without ``spark.checkpoint.dir`` (tests, the local check) get a fresh one, once."""
+    import tempfile
+
+    from ..session import CHECKPOINT_CONF, ensure_checkpoint_dir
+
+    if not spark.conf.get(CHECKPOINT_CONF, None) or not spark.sparkContext.getCheckpointDir():
+        ensure_checkpoint_dir(spark, spark.conf.get(CHECKPOINT_CONF, None) or tempfile.mkdtemp(prefix="shelfwise-ckpt-"))
+
+
 def active_shops(t: L.Targets) -> DataFrame:
     return t.branches.where("is_active")
 

@@ -41,9 +41,13 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """The driver table (one file listing per table; plans share the relation)."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # -- dimensions ---------------------------------------------------------
     @cached_property
