@@ -135,5 +135,5 @@ def agg_incremental(
     """
     new = monthly(delta_fact, keys, date_col)
     touched = new.select("month").distinct()
-    kept = current.join(bounded_broadcast(touched), "month", "left_anti")
+    kept = current.join(bounded_broadcast(touched), "month", "left_anti").select(*current.columns)
     return kept.unionByName(new)
