@@ -42,43 +42,41 @@ def _latest(df: DataFrame, month: str) -> DataFrame:
     return df.where(F.col("month") == ts_lit(f"{month} 00:00:00"))
 
 
-def order_qty(sma: DataFrame, wag: DataFrame, targets: DataFrame, stock_grp: DataFrame, as_of_month: str,
-              keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
-    """SMA and WAG orders for the month after ``as_of_month`` per (shop, group).
+def plan_orders(ft: DataFrame, targets: DataFrame, stock_grp: DataFrame, as_of_month: str,
+                keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
+    """Every method's forecast and order per (shop, group) for the planning month.
 
-    Missing target -> TargetMax 0; missing stock -> 0.
+    One row per key of the forecast table at ``as_of_month`` (a partition-local
+    filter), joined to the target maximum and the stock summed to the same
+    grain. Missing target -> TargetMax 0; missing stock -> 0.
     """
-    f = _latest(sma, as_of_month).select(*keys, F.col("forecast").alias("forecast_sma")).join(
-        _latest(wag, as_of_month).select(*keys, F.col("forecast").alias("forecast_wag")), list(keys), "full"
+    f = _latest(ft, as_of_month).select(
+        *keys, "forecast_sma", "forecast_wag", F.col("estimate").alias("forecast_est"),
+        F.col("avg_qty").alias("forecast_avg"),
     )
     t = _target_cols(targets).select("shop_id", "group_id", F.col("max_qty").alias("target_max"))
     j = f.join(t, list(keys), "left").join(stock_grp, list(keys), "left")
     j = j.withColumn("target_max", F.coalesce("target_max", F.lit(0.0))).withColumn(
         "current_stock", F.coalesce("current_stock", F.lit(0)).cast("bigint")
     )
+    tm, st = F.col("target_max"), F.col("current_stock")
     return j.select(
-        *keys, "forecast_sma", "forecast_wag", "target_max", "current_stock",
-        order_formula(F.col("target_max"), F.col("forecast_sma"), F.col("current_stock")).alias("order_sma"),
-        order_formula(F.col("target_max"), F.col("forecast_wag"), F.col("current_stock")).alias("order_wag"),
+        *keys, "forecast_sma", "forecast_wag", "forecast_est", "forecast_avg", "target_max", "current_stock",
+        order_formula(tm, F.col("forecast_sma"), st).alias("order_sma"),
+        order_formula(tm, F.col("forecast_wag"), st).alias("order_wag"),
+        order_formula(tm, F.col("forecast_est"), st).alias("order_est"),
+        order_formula(tm, F.col("forecast_avg"), st).alias("order_avg"),
     )
 
 
-def yoy_orders(yoy: DataFrame, targets: DataFrame, stock_grp: DataFrame, as_of_month: str,
-               keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
+def order_qty(plan: DataFrame, keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
+    """SMA and WAG orders: ``(TargetMax * Forecast + Forecast) - CurrentStock``."""
+    return plan.select(*keys, "forecast_sma", "forecast_wag", "target_max", "current_stock", "order_sma", "order_wag")
+
+
+def yoy_orders(plan: DataFrame, keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
     """Orders for the same month next year: by the growth estimate and by the multi-year average."""
-    f = _latest(yoy, as_of_month).select(
-        *keys, F.col("estimate").alias("forecast_est"), F.col("avg_qty").alias("forecast_avg")
-    )
-    t = _target_cols(targets).select("shop_id", "group_id", F.col("max_qty").alias("target_max"))
-    j = f.join(t, list(keys), "left").join(stock_grp, list(keys), "left")
-    j = j.withColumn("target_max", F.coalesce("target_max", F.lit(0.0))).withColumn(
-        "current_stock", F.coalesce("current_stock", F.lit(0)).cast("bigint")
-    )
-    return j.select(
-        *keys, "forecast_est", "forecast_avg", "target_max", "current_stock",
-        order_formula(F.col("target_max"), F.col("forecast_est"), F.col("current_stock")).alias("order_est"),
-        order_formula(F.col("target_max"), F.col("forecast_avg"), F.col("current_stock")).alias("order_avg"),
-    )
+    return plan.select(*keys, "forecast_est", "forecast_avg", "target_max", "current_stock", "order_est", "order_avg")
 
 
 def safety_factor(order: Column, factor_pct: float) -> Column:
@@ -86,17 +84,15 @@ def safety_factor(order: Column, factor_pct: float) -> Column:
     return F.round(order * (1 + F.lit(factor_pct) / 100.0), 6)
 
 
-def calculate_reorder(orders: DataFrame, yoy: DataFrame, keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
-    """Long form: one row per (key, method) with its forecast and order."""
-    j = orders.join(yoy.drop("target_max", "current_stock"), list(keys), "full")
-    stacked = j.select(
+def calculate_reorder(plan: DataFrame, keys: Sequence[str] = PLAN_KEYS) -> DataFrame:
+    """Long form: one row per (key, method) with its forecast and order (``stack``, no join)."""
+    return plan.select(
         *keys,
         F.expr(
             "stack(4, 'SMA', forecast_sma, order_sma, 'WAG', forecast_wag, order_wag, "
             "'YOY_EST', forecast_est, order_est, 'YOY_AVG', forecast_avg, order_avg) as (method, forecast, order_qty)"
         ),
     )
-    return stacked
 
 
 def recommend_purchase(reorder: DataFrame, method: str, factor_pct: float, k: int) -> DataFrame:

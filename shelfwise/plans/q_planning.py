@@ -114,6 +114,10 @@ def _inputs(spark, sf):
     return t, dense, PL.stock_by_group(t.stock_balance, t.products)
 
 
+def _table(spark, sf):
+    return FC.forecast_table(dense_groups(spark, sf), GROUP_KEYS, P.SMA_N, P.YOY_YEARS)
+
+
 def _sma(spark, sf):
     return FC.forecast_sma(dense_groups(spark, sf), GROUP_KEYS, P.SMA_N)
 
@@ -126,18 +130,21 @@ def _yoy(spark, sf):
     return FC.forecast_yoy(dense_groups(spark, sf), GROUP_KEYS, P.YOY_YEARS)
 
 
+def _plan(spark, sf):
+    t, _, sg = _inputs(spark, sf)
+    return PL.plan_orders(_table(spark, sf), t.stock_targets, sg, AS_OF_MONTH)
+
+
 def _orders(spark, sf):
-    t, dense, sg = _inputs(spark, sf)
-    return PL.order_qty(_sma(spark, sf), _wag(spark, sf), t.stock_targets, sg, AS_OF_MONTH)
+    return PL.order_qty(_plan(spark, sf))
 
 
 def _yoy_orders(spark, sf):
-    t, dense, sg = _inputs(spark, sf)
-    return PL.yoy_orders(_yoy(spark, sf), t.stock_targets, sg, AS_OF_MONTH)
+    return PL.yoy_orders(_plan(spark, sf))
 
 
 def _reorder(spark, sf):
-    return PL.calculate_reorder(_orders(spark, sf), _yoy_orders(spark, sf))
+    return PL.calculate_reorder(_plan(spark, sf))
 
 
 def _recommend(spark, sf):
