@@ -88,5 +88,5 @@ def q_stream_stock(spark, sf):
     template = spark.createDataFrame([], "shop_id int, value_total double, n_moves bigint")
     root = scratch(spark, "stream_stock")
     ST.stream_stock(spark, moves, root, ["shop_id"], {"value_total": "value"}, template)
-    out = read_snapshot(spark, root, template)
+    out = ST.read_bucketed(spark, root, template)
     return out.select("shop_id", F.round("value_total", 6).alias("value_total"), "n_moves")

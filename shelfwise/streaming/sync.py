@@ -86,6 +86,47 @@ def stream_delta_sync(
     _run(w, available_now, interval)
 
 
+STATE_BUCKETS = 64  # hash buckets of keyed streaming state (files rewritten per batch: touched buckets only)
+
+
+def _bucket(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def read_bucketed(spark: SparkSession, root: str, template: DataFrame, buckets: list[int] | None = None) -> DataFrame:
+    """Current keyed state (optionally only some buckets); empty before the first batch."""
+    try:
+        df = spark.read.parquet(root)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return template.limit(0)
+    if buckets is not None:
+        df = df.where(F.col("_bucket").isin(buckets))
+    return df.select(*template.columns)
+
+
+def upsert_bucketed(spark: SparkSession, root: str, batch: DataFrame, keys: Sequence[str], seq: str,
+                    template: DataFrame, buckets: int = STATE_BUCKETS) -> None:
+    """Merge a batch into hash-bucketed state, rewriting only the buckets it touches.
+
+    The touched-bucket list has at most ``buckets`` entries. Merged rows are
+    staged under ``spark.checkpoint.dir`` and then swapped in with a dynamic
+    partition overwrite, so the state is never read and overwritten by the
+    same job, and a replayed batch re-writes identical rows.
+    """
+    b = batch.withColumn("_bucket", _bucket(keys, buckets))
+    touched = [r[0] for r in b.select("_bucket").distinct().collect()]
+    if not touched:
+        return
+    cur = read_bucketed(spark, root, template, touched).withColumn("_bucket", _bucket(keys, buckets))
+    merged = latest_by_key(cur.unionByName(b.select(*cur.columns)), [*keys, "_bucket"], seq)
+    staged = f"{checkpoint_root(spark)}/stage/state/{uuid.uuid4().hex}"
+    merged.write.parquet(staged)
+    (
+        spark.read.parquet(staged).repartition("_bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(root)
+    )
+
+
 def stream_cdc_apply(
     spark: SparkSession,
     changes: DataFrame,
@@ -103,11 +144,7 @@ def stream_cdc_apply(
 
     def apply(batch: DataFrame, epoch: int) -> None:
         last = latest_by_key(batch, keys, seq)
-        try:
-            cur = read_snapshot(spark, state_root, _Spec(template if template is not None else last))
-        except Exception:  # noqa: BLE001
-            cur = last.limit(0)
-        publish_snapshot(spark, state_root, merge_latest(cur, last, keys, seq), sort_by=list(keys))
+        upsert_bucketed(spark, state_root, last, keys, seq, template if template is not None else last)
 
     w = changes.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "cdc"))
     _run(w, available_now, interval)
@@ -116,7 +153,7 @@ def stream_cdc_apply(
 def cdc_table(spark: SparkSession, state_root: str, template: DataFrame, op_col: str = "op",
               delete_op: str = "D") -> DataFrame:
     """The applied table: state without tombstones."""
-    state = read_snapshot(spark, state_root, _Spec(template))
+    state = read_bucketed(spark, state_root, template)
     return state.where(F.col(op_col) != delete_op)
 
 
@@ -159,18 +196,16 @@ def stream_stock(
     """Running totals per key (state store, update mode); each batch upserts the changed keys.
 
     The state store holds the totals, so an updated key's row simply replaces
-    the stored one (a replayed batch rewrites the same values).
+    the stored one (a replayed batch rewrites the same values); the output
+    table is hash-bucketed and only the buckets of updated keys are rewritten.
     """
     aggs = [F.sum(c).alias(n) for n, c in measures.items()] + [F.count(F.lit(1)).alias("n_moves")]
     running = moves.groupBy(*keys).agg(*aggs)
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        try:
-            cur = read_snapshot(spark, target_root, _Spec(template))
-        except Exception:  # noqa: BLE001
-            cur = template.limit(0)
-        kept = cur.join(batch.select(*keys), list(keys), "left_anti")
-        publish_snapshot(spark, target_root, kept.unionByName(batch.select(*cur.columns)), sort_by=list(keys))
+        stamped = batch.select(*template.columns).withColumn("_epoch", F.lit(epoch).cast("bigint"))
+        tmpl = template.withColumn("_epoch", F.lit(0).cast("bigint"))
+        upsert_bucketed(spark, target_root, stamped, keys, "_epoch", tmpl)
 
     w = (
         running.writeStream.outputMode("update")

@@ -40,7 +40,7 @@ def test_stock_stream_equals_batch_and_late_dedupe(spark, scratch, event_dir):
     template = spark.createDataFrame([], "shop_id int, total double, n_moves bigint")
     root = f"{scratch}/stock"
     ST.stream_stock(spark, moves, root, ["shop_id"], {"total": "value"}, template)
-    got = read_snapshot(spark, root, template).select("shop_id", F.round("total", 6).alias("t"), "n_moves")
+    got = ST.read_bucketed(spark, root, template).select("shop_id", F.round("total", 6).alias("t"), "n_moves")
     want = ev.groupBy((F.col("user_id") % 25).cast("int").alias("shop_id")).agg(
         F.round(F.sum("value"), 6).alias("t"), F.count(F.lit(1)).alias("n_moves"))
     assert rows(got) == rows(want)
