@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import ts_lit
-from .keys import bounded_broadcast
+from .keys import bounded_broadcast, known_rows
 
 PLAN_KEYS = ("shop_id", "group_id")
 
@@ -28,7 +28,8 @@ def _target_cols(targets: DataFrame) -> DataFrame:
 
 def stock_by_group(stock: DataFrame, products: DataFrame, group_col: str = "group_id") -> DataFrame:
     """Stock summed from (shop, product) to (shop, group)."""
-    p = bounded_broadcast(products.select(F.col("id").alias("_pid"), F.col(group_col).alias("group_id")))
+    p = bounded_broadcast(products.select(F.col("id").alias("_pid"), F.col(group_col).alias("group_id")),
+                          upper_bound=known_rows(products))
     s = stock.join(p, stock["product_id"] == F.col("_pid"), "inner")
     return s.groupBy("shop_id", "group_id").agg(F.sum("qty").alias("current_stock"))
 
@@ -131,8 +132,10 @@ def proposal_text(lines: Column) -> Column:
 
 def stock_balance_view(stock: DataFrame, branches: DataFrame, products: DataFrame) -> DataFrame:
     """Current stock with branch and product attributes (size-checked broadcast dims)."""
-    b = bounded_broadcast(branches.select(F.col("id").alias("_bid"), F.col("name").alias("shop_name")))
-    p = bounded_broadcast(products.select(F.col("id").alias("_pid"), "description", "group_id", "type_id"))
+    b = bounded_broadcast(branches.select(F.col("id").alias("_bid"), F.col("name").alias("shop_name")),
+                          upper_bound=known_rows(branches))
+    p = bounded_broadcast(products.select(F.col("id").alias("_pid"), "description", "group_id", "type_id"),
+                          upper_bound=known_rows(products))
     out = stock.join(b, stock["shop_id"] == F.col("_bid"), "left").join(p, stock["product_id"] == F.col("_pid"), "left")
     return out.select("shop_id", "shop_name", "product_id", "description", "group_id", "type_id", "qty")
 
@@ -172,16 +175,20 @@ def true_sell_windows(detail: DataFrame, as_of: str, days: Sequence[int] = (7, 3
     return d.where(F.col("shop_id").isNotNull() & F.col("product_id").isNotNull()).groupBy("shop_id", "product_id").agg(*aggs)
 
 
-def target_cover(stock: DataFrame, sold: DataFrame, products: DataFrame, targets: DataFrame) -> DataFrame:
+def target_cover(stock: DataFrame, sold: DataFrame, products: DataFrame, targets: DataFrame,
+                 by_type_bound: int | None = None) -> DataFrame:
     """Planning columns of the stock balance for every (shop, product) in stock.
 
     target_N_original = sold_N * sell_multiply + show_qty;
     target_N = target_N_original bounded to [min_qty, max_qty] of the (shop, group) setting;
     by-type columns sum stock and targets over (shop, product type).
-    A product without a setting gets zero targets.
+    A product without a setting gets zero targets. ``by_type_bound`` is a proven
+    bound on the (shop, type) pairs (|branches| x |types|); with it the by-type
+    totals are broadcast back, without it they are joined by a shuffle.
     """
-    p = bounded_broadcast(products.select(F.col("id").alias("product_id"), "group_id", "type_id"))
-    t = bounded_broadcast(_target_cols(targets))
+    p = bounded_broadcast(products.select(F.col("id").alias("product_id"), "group_id", "type_id"),
+                          upper_bound=known_rows(products))
+    t = bounded_broadcast(_target_cols(targets), upper_bound=known_rows(targets))
     base = stock.select("shop_id", "product_id", "qty").join(p, "product_id", "left")
     base = base.join(sold, ["shop_id", "product_id"], "left").join(t, ["shop_id", "group_id"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
@@ -203,7 +210,9 @@ def target_cover(stock: DataFrame, sold: DataFrame, products: DataFrame, targets
         F.round(F.sum("target_qty_7_day"), 6).alias("target_qty_by_type_7_day"),
         F.round(F.sum("target_qty_30_day"), 6).alias("target_qty_by_type_30_day"),
     )
-    out = base.join(bounded_broadcast(by_type), ["shop_id", "type_id"], "left")
+    if by_type_bound is not None:
+        by_type = bounded_broadcast(by_type, upper_bound=by_type_bound)
+    out = base.join(by_type, ["shop_id", "type_id"], "left")
     return out.drop("group_id", "type_id")
 
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import bounded_broadcast, key_set
+from .keys import bounded_broadcast, key_set, known_rows
 
 
 def dq_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def dq_foreign_key(df: DataFrame, checks: Mapping[str, DataFrame], id_col: str =
     """(fk_column, key_value, n_rows) for non-NULL keys missing from their parent."""
     parts = []
     for fk, parent in checks.items():
-        ks = bounded_broadcast(key_set(parent, id_col, "_k"))
+        ks = bounded_broadcast(key_set(parent, id_col, "_k"), upper_bound=known_rows(parent))
         miss = df.where(F.col(fk).isNotNull()).join(ks, F.col(fk) == ks["_k"], "left_anti")
         parts.append(
             miss.groupBy(F.col(fk).cast("bigint").alias("key_value"))
@@ -119,7 +119,7 @@ def audit_sample(
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit("|" + seed)))
     sample = source.select(key, *compare).withColumn("_h", h).orderBy("_h").limit(n)
     keys = sample.select(key)
-    t = target.join(bounded_broadcast(keys, n), key, "left_semi").select(
+    t = target.join(bounded_broadcast(keys, n, upper_bound=n), key, "left_semi").select(
         key, *[F.col(c).alias(f"t_{c}") for c in compare]
     )
     j = sample.join(t, key, "left")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import month_trunc, year_trunc
-from .keys import bounded_broadcast
+from .keys import bounded_broadcast, known_rows
 
 PRODUCT_DIMS = ("brand_id", "category_id", "group_id", "type_id")
 
@@ -23,7 +23,8 @@ PRODUCT_DIMS = ("brand_id", "category_id", "group_id", "type_id")
 def sales_fact(detail: DataFrame, products: DataFrame, dims: Sequence[str] = PRODUCT_DIMS) -> DataFrame:
     """Detail rows with their product's dimension ids (size-checked broadcast of products)."""
     p = products.select(F.col("id").alias("_pid"), *dims)
-    return detail.join(bounded_broadcast(p), detail["product_id"] == F.col("_pid"), "left").drop("_pid")
+    b = bounded_broadcast(p, upper_bound=known_rows(products))
+    return detail.join(b, detail["product_id"] == F.col("_pid"), "left").drop("_pid")
 
 
 def sales_filtered(fact: DataFrame, filters: Mapping[str, Sequence | None]) -> DataFrame:
@@ -125,15 +126,22 @@ def agg_incremental(
     current: DataFrame,
     delta_fact: DataFrame,
     keys: Sequence[str],
+    start: str,
+    end: str,
     date_col: str = "sell_date",
 ) -> DataFrame:
-    """Upkeep of a monthly summary after a reload of some months.
+    """Upkeep of a monthly summary after a reload of the window ``start..end``.
 
-    Months present in the delta are *replaced* (a reload never adds twice);
-    other months keep their stored totals. Equal to a full rebuild when the
-    delta holds every row of the months it touches.
+    Every month the window touches is *replaced* by the delta's totals (a
+    reload never adds twice, and a month the reload found empty is emptied);
+    other months keep their stored totals. The replaced months are known from
+    the window, so keeping the rest is a plain (prunable) filter, not a join.
+    Equal to a full rebuild when the delta holds every row of those months.
     """
+    from ..functions.dates import month_bounds
+
+    lo, hi = month_bounds(start, end)
+    m = F.col("month")
+    outside = (m < F.lit(lo).cast("timestamp_ntz")) | (m > F.lit(hi).cast("timestamp_ntz"))
     new = monthly(delta_fact, keys, date_col)
-    touched = new.select("month").distinct()
-    kept = current.join(bounded_broadcast(touched), "month", "left_anti").select(*current.columns)
-    return kept.unionByName(new)
+    return current.where(outside).unionByName(new)

@@ -228,21 +228,36 @@ def build_targets(dom: Domain, start: str, end: str, now: str = DEFAULT_NOW,
     nullify/semi/reject paths.
     """
 
-    def m(df: DataFrame) -> DataFrame:
-        return materialize_target(df) if materialize else df
-
-    branches = m(conform(load_branches(dom.v_shop), S.BRANCHES, now))
-    suppliers = m(conform(load_suppliers(dom.v_company), S.SUPPLIERS, now))
-    customers = m(conform(load_customers(dom.v_company), S.CUSTOMERS, now))
-    brands = m(conform(load_named_master(brands_source(dom.v_product)), S.BRANDS, now))
-    categories = m(conform(load_named_master(categories_source(dom.v_product)), S.CATEGORIES, now))
-    groups = m(conform(load_named_master(groups_source(dom.v_product), "description"), S.GROUPS, now))
-    types = m(conform(load_named_master(types_source(dom.v_product)), S.TYPES, now))
-    products = m(conform(load_products(dom.v_product, brands, categories, groups, types), S.PRODUCTS, now))
+    def m(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write independent targets as concurrent Spark jobs (one driver thread each)."""
+        if not materialize:
+            return frames
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=len(frames)) as ex:
+            futs = {k: ex.submit(materialize_target, df) for k, df in frames.items()}
+            return {k: f.result() for k, f in futs.items()}
+
+    wave1 = m({
+        "branches": conform(load_branches(dom.v_shop), S.BRANCHES, now),
+        "suppliers": conform(load_suppliers(dom.v_company), S.SUPPLIERS, now),
+        "customers": conform(load_customers(dom.v_company), S.CUSTOMERS, now),
+        "brands": conform(load_named_master(brands_source(dom.v_product)), S.BRANDS, now),
+        "categories": conform(load_named_master(categories_source(dom.v_product)), S.CATEGORIES, now),
+        "groups": conform(load_named_master(groups_source(dom.v_product), "description"), S.GROUPS, now),
+        "types": conform(load_named_master(types_source(dom.v_product)), S.TYPES, now),
+    })
+    branches, suppliers, customers = wave1["branches"], wave1["suppliers"], wave1["customers"]
+    brands, categories, groups, types = wave1["brands"], wave1["categories"], wave1["groups"], wave1["types"]
+    products = m({"products": conform(load_products(dom.v_product, brands, categories, groups, types),
+                                      S.PRODUCTS, now)})["products"]
     shops = valid_shops if valid_shops is not None else branches
     prods = valid_products if valid_products is not None else products
-    stock = conform(load_stock_balance(dom.v_stock_shop, shops, prods), S.STOCK_BALANCE, now)
-    targets = conform(load_stock_targets(dom.v_setting, shops), S.STOCK_TARGETS, now)
+    wave3 = m({
+        "stock": conform(load_stock_balance(dom.v_stock_shop, shops, prods), S.STOCK_BALANCE, now),
+        "targets": conform(load_stock_targets(dom.v_setting, shops), S.STOCK_TARGETS, now),
+    })
+    stock, targets = wave3["stock"], wave3["targets"]
     sell = conform(load_sell(dom.v_sell, start, end, shops), S.SELL, now)
     detail = conform(
         load_sell_detail(dom.v_sell_detail, dom.v_sell, start, end, shops, prods, suppliers),

@@ -360,7 +360,11 @@ def q_true_sell_windows(spark, sf):
 )
 def q_target_cover(spark, sf):
     t = full(spark, sf)
-    return PL.target_cover(t.stock_balance, _sold(spark, sf), t.products, t.stock_targets)
+    from ..operators.keys import known_rows
+
+    nb, nt = known_rows(t.branches), known_rows(t.types)
+    bound = nb * nt if nb is not None and nt is not None else None
+    return PL.target_cover(t.stock_balance, _sold(spark, sf), t.products, t.stock_targets, bound)
 
 
 @register("rebalance_stock", REBALANCE, COVER_CTES)

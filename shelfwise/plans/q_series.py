@@ -107,7 +107,7 @@ def q_agg_incremental(spark, sf):
     delta = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.NEW_START, P.FULL_END, t.branches, t.products,
                                t.suppliers)
     current = SR.monthly(old, ["shop_id", "product_id"])
-    return SR.agg_incremental(current, delta, ["shop_id", "product_id"])
+    return SR.agg_incremental(current, delta, ["shop_id", "product_id"], P.NEW_START, P.FULL_END)
 
 
 @register(

@@ -99,7 +99,7 @@ def test_incremental_equals_full(spark):
     old = SR.monthly(fact.where(F.col("sell_date") < F.lit("2026-03-01").cast("timestamp_ntz")), ["shop_id"])
     # Reload of March and April plus an overlapping February.
     delta = fact.where(F.col("sell_date") >= F.lit("2026-02-01").cast("timestamp_ntz"))
-    inc = SR.agg_incremental(old, delta, ["shop_id"])
+    inc = SR.agg_incremental(old, delta, ["shop_id"], "2026-02-01", "2026-04-30")
     assert rows(inc) == rows(full)
 
 
