@@ -227,54 +227,49 @@ def rebalance_stock(
     Surplus = max(stock - need, 0), deficit = max(need - stock, 0). Surplus and
     deficit branches are each laid end to end on a line (ordered by shop id,
     cumulative sums); a transfer is the overlap of a surplus interval with a
-    deficit interval. Overlaps are found by sweeping the merged boundary points
-    per product (window ``last(..., ignorenulls)``), not by pairing every
-    surplus branch with every deficit branch. Rows per product are bounded by
-    the number of branches.
+    deficit interval. Overlaps are found by sweeping the interval start points
+    per product in order (``last(..., ignorenulls)`` carries the current
+    surplus and deficit branch), not by pairing every surplus branch with every
+    deficit branch. One shuffle by product feeds both window passes; a
+    product's rows are bounded by the number of branches.
     """
     j = stock.select("shop_id", product_col, "qty").join(
         sold.select("shop_id", product_col, need_col), ["shop_id", product_col], "full"
     )
+    stock_v = F.coalesce(F.col("qty").cast("double"), F.lit(0.0))
+    need_v = F.coalesce(F.col(need_col), F.lit(0.0))
     j = j.select(
         "shop_id", product_col,
-        F.coalesce(F.col("qty").cast("double"), F.lit(0.0)).alias("stock"),
-        F.coalesce(F.col(need_col), F.lit(0.0)).alias("need"),
-    )
-    j = j.withColumn("surplus", F.greatest(F.col("stock") - F.col("need"), F.lit(0.0)))
-    j = j.withColumn("deficit", F.greatest(F.col("need") - F.col("stock"), F.lit(0.0)))
-    wp = Window.partitionBy(product_col).orderBy("shop_id")
-    run = Window.partitionBy(product_col).orderBy("shop_id").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(product_col)
-    s = j.where(F.col("surplus") > 0).select(
-        product_col, "shop_id", (F.sum("surplus").over(run) - F.col("surplus")).alias("pos"),
-        F.sum("surplus").over(tot).alias("total"),
-    )
-    d = j.where(F.col("deficit") > 0).select(
-        product_col, "shop_id", (F.sum("deficit").over(run) - F.col("deficit")).alias("pos"),
-        F.sum("deficit").over(tot).alias("total"),
-    )
-    pts = (
-        s.select(product_col, "pos", F.col("shop_id").alias("s_shop"), F.lit(None).cast("int").alias("d_shop"),
-                 F.col("total").alias("s_total"), F.lit(None).cast("double").alias("d_total"))
-        .unionByName(
-            d.select(product_col, "pos", F.lit(None).cast("int").alias("s_shop"), F.col("shop_id").alias("d_shop"),
-                     F.lit(None).cast("double").alias("s_total"), F.col("total").alias("d_total"))
-        )
-        .groupBy(product_col, "pos")
-        .agg(F.max("s_shop").alias("s_shop"), F.max("d_shop").alias("d_shop"),
-             F.max("s_total").alias("s_total"), F.max("d_total").alias("d_total"))
+        F.greatest(stock_v - need_v, F.lit(0.0)).alias("surplus"),
+        F.greatest(need_v - stock_v, F.lit(0.0)).alias("deficit"),
+    ).where((F.col("surplus") > 0) | (F.col("deficit") > 0))
+    by_shop = Window.partitionBy(product_col).orderBy("shop_id")
+    run = by_shop.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(product_col)
+    j = j.select(
+        product_col, "shop_id", "surplus", "deficit",
+        (F.sum("surplus").over(run) - F.col("surplus")).alias("s_pos"),
+        (F.sum("deficit").over(run) - F.col("deficit")).alias("d_pos"),
+        F.least(F.sum("surplus").over(whole), F.sum("deficit").over(whole)).alias("limit"),
     )
-    sweep = Window.partitionBy(product_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    # Each branch starts one interval (kind 0 = surplus, 1 = deficit) at its cumulative position.
+    pts = j.select(
+        product_col, "limit",
+        F.explode(F.array(
+            F.when(F.col("surplus") > 0, F.struct(F.col("s_pos").alias("pos"), F.lit(0).alias("kind"),
+                                                  F.col("shop_id").alias("shop"))),
+            F.when(F.col("deficit") > 0, F.struct(F.col("d_pos").alias("pos"), F.lit(1).alias("kind"),
+                                                  F.col("shop_id").alias("shop"))),
+        )).alias("p"),
+    ).where(F.col("p").isNotNull()).select(product_col, "limit", "p.pos", "p.kind", "p.shop")
+    order = Window.partitionBy(product_col).orderBy("pos", "kind")
+    sweep = order.rowsBetween(Window.unboundedPreceding, 0)
     pts = pts.select(
-        product_col, "pos",
-        F.last("s_shop", ignorenulls=True).over(sweep).alias("from_shop"),
-        F.last("d_shop", ignorenulls=True).over(sweep).alias("to_shop"),
-        F.lead("pos").over(wp.orderBy("pos")).alias("next_pos"),
-        F.max("s_total").over(tot).alias("s_total"),
-        F.max("d_total").over(tot).alias("d_total"),
+        product_col, "pos", "limit",
+        F.last(F.when(F.col("kind") == 0, F.col("shop")), ignorenulls=True).over(sweep).alias("from_shop"),
+        F.last(F.when(F.col("kind") == 1, F.col("shop")), ignorenulls=True).over(sweep).alias("to_shop"),
+        F.lead("pos").over(order).alias("next_pos"),
     )
-    limit = F.least(F.col("s_total"), F.col("d_total"))
-    seg = F.least(F.coalesce(F.col("next_pos"), limit), limit) - F.col("pos")
+    seg = F.least(F.coalesce(F.col("next_pos"), F.col("limit")), F.col("limit")) - F.col("pos")
     pts = pts.where(F.col("from_shop").isNotNull() & F.col("to_shop").isNotNull() & (seg > 0))
-    out = pts.groupBy(product_col, "from_shop", "to_shop").agg(F.round(F.sum(seg), 6).alias("transfer_qty"))
-    return out
+    return pts.groupBy(product_col, "from_shop", "to_shop").agg(F.round(F.sum(seg), 6).alias("transfer_qty"))

@@ -10,13 +10,19 @@ into chunks by a hash of their id and processed chunk by chunk.
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The task-side scorer is shipped by value: executors need numpy and pandas,
+# not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_QUERY_ROWS = 4096  # query vectors broadcast per pass (x dims x 8 bytes)
 SCORE_DECIMALS = 9  # ranking precision: equal at 1e-9 -> smaller id first
 
