@@ -7,7 +7,6 @@ folder set once, as tests do.
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from .. import schemas as S
 from ..functions.dates import closed_range, load_window
 from ..operators.aggregates import count_rows
 from ..operators.upsert import publish_snapshot, read_snapshot, upsert_months
-from ..session import CHECKPOINT_CONF, ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.lake import lake_read, lake_write, retention, schema_align
 from . import loads as L
 from . import params as P
@@ -27,8 +26,7 @@ from .q_series import SERIES_CTES
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    if not spark.conf.get(CHECKPOINT_CONF, None):
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="shelfwise-ckpt-"))
+    ensure_checkpoint_dir(spark)
     return scratch_path(spark, "queries", name)
 
 

@@ -39,13 +39,10 @@ def full(spark: SparkSession, sf: str, now: str = P.NOW) -> L.Targets:
 
 
 def ensure_scratch(spark: SparkSession) -> None:
-    """Sessions without ``spark.checkpoint.dir`` (tests, the local check) get a fresh one, once."""
-    import tempfile
+    """Sessions without ``spark.checkpoint.dir`` (tests, the local check) get a fresh folder, once."""
+    from ..session import ensure_checkpoint_dir
 
-    from ..session import CHECKPOINT_CONF, ensure_checkpoint_dir
-
-    if not spark.conf.get(CHECKPOINT_CONF, None) or not spark.sparkContext.getCheckpointDir():
-        ensure_checkpoint_dir(spark, spark.conf.get(CHECKPOINT_CONF, None) or tempfile.mkdtemp(prefix="shelfwise-ckpt-"))
+    ensure_checkpoint_dir(spark)
 
 
 def active_shops(t: L.Targets) -> DataFrame:

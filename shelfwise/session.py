@@ -65,16 +65,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Set ``spark.checkpoint.dir`` only where it is unset (tests, local bench)."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Use ``spark.checkpoint.dir`` when the cluster names it; otherwise (tests, a
+    local check) set the context's checkpoint folder once, to ``fallback``.
+
+    ``spark.checkpoint.dir`` is a static setting, so only the context folder is
+    set at runtime; ``checkpoint_root`` reads either.
+    """
+    sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = fallback
-        os.makedirs(d, exist_ok=True)
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    if not sc.getCheckpointDir():
+        import tempfile
+
+        path = fallback or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+        os.makedirs(path, exist_ok=True)
+        sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
