@@ -56,14 +56,13 @@ def dq_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dq_length(df: DataFrame, key: str, bounds: Mapping[str, int]) -> DataFrame:
-    """Rows whose text exceeds a declared VARCHAR(n) bound: key, column, length, bound."""
-    parts = [
-        df.where(F.length(c) > n).select(
-            key, F.lit(c).alias("column_name"), F.length(c).alias("length"), F.lit(n).alias("bound")
-        )
+    """Rows whose text exceeds a declared VARCHAR(n) bound: key, column, length, bound (one scan)."""
+    checks = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.length(c).alias("length"), F.lit(n).alias("bound"))
         for c, n in bounds.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    ])
+    long = df.select(key, F.explode(checks).alias("_c")).select(key, "_c.column_name", "_c.length", "_c.bound")
+    return long.where(F.col("length") > F.col("bound"))
 
 
 def dlq(rejects: DataFrame, source: str, key_cols: Sequence[str], reason_col: str = "fk_reason") -> DataFrame:

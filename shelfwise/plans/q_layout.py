@@ -176,14 +176,15 @@ WINDOW_SQL = " union all ".join(
 
 @register("load_window", WINDOW_SQL)
 def q_load_window(spark, sf):
+    """Every mode's window and the sales it selects: one scan, one conditional count per case."""
     sells = dom(spark, sf).v_sell
-    parts = []
-    for label, mode, s, e, lb in WINDOW_CASES:
-        m, start, end = load_window(mode, P.AS_OF, s, e, lb)
-        parts.append(
-            sells.where(closed_range("sell_date", start, end)).agg(F.count(F.lit(1)).alias("n_sells")).select(
-                F.lit(label).alias("case_name"), F.lit(m).alias("mode"), F.lit(start).alias("start_day"),
-                F.lit(end).alias("end_day"), "n_sells",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    cases = [(label, *load_window(mode, P.AS_OF, s, e, lb)) for label, mode, s, e, lb in WINDOW_CASES]
+    counts = sells.agg(*[
+        F.count_if(closed_range("sell_date", start, end)).alias(f"n{i}") for i, (_, _, start, end) in enumerate(cases)
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(label).alias("case_name"), F.lit(m).alias("mode"), F.lit(start).alias("start_day"),
+                 F.lit(end).alias("end_day"), F.col(f"n{i}").alias("n_sells"))
+        for i, (label, m, start, end) in enumerate(cases)
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")

@@ -51,6 +51,35 @@ def build_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
+    """Size shuffle and scan settings from the input volume (pass to ``build_session(extra=...)``).
+
+    * scans split at 256 MB per task;
+    * the initial shuffle fan-out targets ~200 MB per partition of input, capped
+      at 100k, and AQE coalesces toward 256 MB advisory partitions at run time,
+      so each task's sort/aggregate buffer stays far below its memory share
+      (``executor_memory / executor_cores``) and spills gracefully;
+    * skewed partitions above 1 GB (and 5x the median) are split by AQE;
+    * runtime bloom filters may be built from up to 256 MB of the filtered side,
+      so a date-filtered header prunes the un-dated detail before its shuffle.
+    """
+    parts = max(200, min(100_000, input_bytes // (200 * 1024 ** 2)))
+    return {
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "1073741824",
+        "spark.sql.files.maxRecordsPerFile": "20000000",
+        "spark.executor.cores": str(executor_cores),
+        "spark.executor.memory": f"{executor_memory_gb}g",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
