@@ -14,6 +14,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return r.parquet(path)
 
 
+def read_fact_range(spark: SparkSession, root: str, start: str, end: str, date_col: str = "sell_date",
+                    month_col: str = "sell_month") -> DataFrame:
+    """Closed day range on a month-partitioned fact table.
+
+    Emits the day predicate (row-group skipping via pushed filters) *and* the
+    derived month predicate, so only the partitions of the range are listed
+    and read — the day predicate alone cannot prune ``sell_month``.
+    """
+    from ..functions.dates import closed_range, month_partition_filter
+
+    df = spark.read.parquet(root)
+    return df.where(month_partition_filter(start, end, month_col)).where(closed_range(date_col, start, end))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

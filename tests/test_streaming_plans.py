@@ -78,3 +78,20 @@ def test_core_plans_stay_in_the_jvm(spark, name):
     txt = _plan(E.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
         assert node not in txt, f"{name} runs Python: {node}"
+
+
+def test_fact_range_reader_prunes_month_partitions(spark, scratch):
+    import datetime as dt
+
+    from shelfwise import schemas as S
+    from shelfwise.operators.upsert import upsert_months
+    from shelfwise.sources.tables import read_fact_range
+
+    root = f"{scratch}/sell"
+    days = [dt.datetime(2026, m, 10) for m in range(1, 7)]
+    batch = spark.createDataFrame([(i, 1, d) for i, d in enumerate(days)], "id bigint, shop_id int, sell_date timestamp_ntz")
+    upsert_months(spark, root, batch, S.SELL, "2026-01-01 00:00:00")
+    df = read_fact_range(spark, root, "2026-02-01", "2026-03-31")
+    txt = _plan(df)
+    assert "PartitionFilters: [isnotnull(sell_month" in txt and "2026-02-01" in txt
+    assert sorted(r.id for r in df.collect()) == [1, 2]
