@@ -19,18 +19,24 @@ from ..functions.expr import positive
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-_CHECKED: dict[tuple[int, int], bool] = {}
-_KNOWN_ROWS: dict[int, int] = {}
+_CHECKED: dict[tuple, bool] = {}
+_KNOWN_ROWS: dict[tuple, int] = {}
+
+
+def _plan_key(df: DataFrame) -> tuple:
+    from ..session import session_key
+
+    return (session_key(df.sparkSession), df.semanticHash())
 
 
 def remember_rows(df: DataFrame, n: int) -> DataFrame:
     """Record a measured row count of ``df`` (e.g. observed while it was written)."""
-    _KNOWN_ROWS[df.semanticHash()] = int(n)
+    _KNOWN_ROWS[_plan_key(df)] = int(n)
     return df
 
 
 def known_rows(df: DataFrame) -> int | None:
-    return _KNOWN_ROWS.get(df.semanticHash())
+    return _KNOWN_ROWS.get(_plan_key(df))
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, upper_bound: int | None = None) -> DataFrame:
@@ -44,7 +50,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, upper_b
     """
     if upper_bound is not None and upper_bound <= max_rows:
         return F.broadcast(df)
-    key = (df.semanticHash(), max_rows)
+    key = (*_plan_key(df), max_rows)
     if key not in _CHECKED:
         _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _CHECKED[key] else df

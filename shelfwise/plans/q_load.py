@@ -10,6 +10,7 @@ from ..functions.dates import clamp_probe_days, closed_range, lookback
 from ..functions.expr import default_if_empty, flag_to_bool, positive
 from ..operators import keys as K
 from ..operators.upsert import conform, merge, upsert
+from ..session import session_key
 from ..sources.views import Domain
 from . import loads as L
 from . import params as P
@@ -23,7 +24,7 @@ _MEMO: dict = {}
 
 
 def dom(spark: SparkSession, sf: str) -> Domain:
-    key = ("dom", id(spark), sf)
+    key = ("dom", session_key(spark), sf)
     if key not in _MEMO:
         _MEMO[key] = Domain(spark, sf)
     return _MEMO[key]
@@ -31,7 +32,7 @@ def dom(spark: SparkSession, sf: str) -> Domain:
 
 def full(spark: SparkSession, sf: str, now: str = P.NOW) -> L.Targets:
     """The fresh whole-range load (lazy plans, built once per session and data dir)."""
-    key = ("full", id(spark), sf, now)
+    key = ("full", session_key(spark), sf, now)
     if key not in _MEMO:
         ensure_scratch(spark)
         _MEMO[key] = L.build_targets(dom(spark, sf), P.FULL_START, P.FULL_END, now, materialize=True)

@@ -80,6 +80,14 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, executor_memory_gb:
     }
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (memo keys must not outlive their session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no classic context
+        return str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
