@@ -3,8 +3,6 @@ combine map-side (partial aggregates before the exchange)."""
 
 import random
 
-from pyspark.sql import functions as F
-
 from shelfwise.operators.upsert import dedupe_latest
 from shelfwise.plans import loads as L
 from shelfwise.streaming.sync import latest_by_key
@@ -36,11 +34,12 @@ def test_stock_sum_exact_under_hot_key(spark):
 
 def test_dedupe_and_latest_exact_under_hot_key(spark):
     rows, df = _skewed(spark)
-    d = df.withColumn("seq", F.monotonically_increasing_id())
+    d = spark.createDataFrame([(s, p, q, i) for i, (s, p, q) in enumerate(rows)],
+                              "shop_id int, product_id int, qty int, seq long").repartition(8)
     latest = latest_by_key(d, ["shop_id", "product_id"], "seq")
     assert latest.count() == len({(s, p) for s, p, _ in rows})
     hot = latest.where("shop_id = 1 and product_id = 1").first()
-    assert hot.seq == d.where("shop_id = 1 and product_id = 1").agg(F.max("seq")).first()[0]
+    assert hot.seq == max(i for i, (s, p, _) in enumerate(rows) if (s, p) == (1, 1))
     one = dedupe_latest(df, ["shop_id", "product_id"])
     assert one.count() == latest.count()
     assert one.where("shop_id = 1 and product_id = 1").first().qty == 9  # greatest whole row wins
