@@ -12,14 +12,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import (  # noqa: F401
+    DEFAULT_LOOKBACK_DAYS,
+    END_OF_DAY,
+    FULL_MODE_DEFAULT_START,
+    MAX_PROBE_DAYS,
+    REPAIR_DEFAULT_DAYS,
+)
 from .expr import month_trunc
 
-# Fixed values of the batch job's window rules.
-MAX_PROBE_DAYS = 7
-DEFAULT_LOOKBACK_DAYS = 7
-FULL_MODE_DEFAULT_START = "2026-01-01"
-END_OF_DAY = "23:59:59"
-
 
 def ts_lit(s: str) -> Column:
     """A ``timestamp_ntz`` literal (folded at plan time, pushable)."""
@@ -78,7 +79,7 @@ def load_window(
     today = dt.date.fromisoformat(as_of)
     mode = (mode or "daily").lower()
     if mode == "repair":
-        s = start or (today - dt.timedelta(days=7)).isoformat()
+        s = start or (today - dt.timedelta(days=REPAIR_DEFAULT_DAYS)).isoformat()
         e = end or today.isoformat()
     elif mode == "full":
         s = start or FULL_MODE_DEFAULT_START

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed_values import ACTIVE_FLAG, PARTITION_SUFFIX_PATTERN
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,7 +27,7 @@ def zero_if_null(c) -> Column:
     return F.coalesce(_c(c), F.lit(0))
 
 
-def flag_to_bool(c, yes: str = "Y") -> Column:
+def flag_to_bool(c, yes: str = ACTIVE_FLAG) -> Column:
     """``flag == 'Y'``; NULL is false, never NULL."""
     return _c(c).eqNullSafe(F.lit(yes))
 
@@ -60,7 +62,7 @@ def date_text_key(c, fmt: str = "yyyyMMdd") -> Column:
 
 def partition_suffix(c) -> Column:
     """Monthly partition suffix ``y2026m08`` (fixed format of the store)."""
-    return F.date_format(_c(c), "'y'yyyy'm'MM")
+    return F.date_format(_c(c), PARTITION_SUFFIX_PATTERN)
 
 
 def suffix_match(c, suffix: str) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..fixed_values import ACTIVE_FLAG, STATUS_ACTIVE
 from ..functions.dates import clamp_probe_days, lookback
 
 
@@ -17,8 +18,8 @@ def count_probe(shops: DataFrame, products: DataFrame, sells: DataFrame, as_of:
     """
     n = clamp_probe_days(days)
     parts = [
-        shops.where(F.col("active") == "Y").agg(F.count(F.lit(1)).alias("n")).select(F.lit("active_shops").alias("probe"), "n"),
-        products.where(F.col("status") == "ACTIVE").agg(F.count(F.lit(1)).alias("n")).select(F.lit("active_products").alias("probe"), "n"),
+        shops.where(F.col("active") == ACTIVE_FLAG).agg(F.count(F.lit(1)).alias("n")).select(F.lit("active_shops").alias("probe"), "n"),
+        products.where(F.col("status") == STATUS_ACTIVE).agg(F.count(F.lit(1)).alias("n")).select(F.lit("active_products").alias("probe"), "n"),
         sells.where(lookback("sell_date", as_of, n)).agg(F.count(F.lit(1)).alias("n")).select(F.lit("recent_sales").alias("probe"), "n"),
     ]
     return reduce(DataFrame.unionByName, parts)

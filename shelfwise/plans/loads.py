@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..fixed_values import CUSTOMER_TYPE, SUPPLIER_TYPE
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.keys import fk_nullify, fk_semi_filter
@@ -70,7 +71,7 @@ def types_source(product: DataFrame) -> DataFrame:
 
 def load_suppliers(company: DataFrame) -> DataFrame:
     """Companies of type 'S'; contact1/email1 renamed; status is the literal 'ACTIVE'."""
-    c = company.where(F.col("type") == "S")
+    c = company.where(F.col("type") == SUPPLIER_TYPE)
     return c.select(
         F.col("id").cast("int").alias("id"),
         *[empty_if_null(x).alias(x) for x in ("code", "name", "tax_id", "address", "tel", "fax")],
@@ -82,7 +83,7 @@ def load_suppliers(company: DataFrame) -> DataFrame:
 
 def load_customers(company: DataFrame) -> DataFrame:
     """Companies of type 'C' (the customers target has no loader upstream; our feed)."""
-    c = company.where(F.col("type") == "C")
+    c = company.where(F.col("type") == CUSTOMER_TYPE)
     return c.select(
         F.col("id").cast("int").alias("id"),
         *[empty_if_null(x).alias(x) for x in ("code", "name", "tax_id")],

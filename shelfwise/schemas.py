@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+from .fixed_values import PO_STATUS_DEFAULT, STATUS_ACTIVE, UNSPECIFIED_PRODUCT  # noqa: F401
+
 I, L, S, D, B, TS = (
     T.IntegerType(),
     T.LongType(),
@@ -42,11 +44,6 @@ class TableSpec:
         return [f.name for f in self.schema.fields]
 
 
-# Fixed values that must equal the operational store's column defaults.
-STATUS_ACTIVE = "ACTIVE"
-UNSPECIFIED_PRODUCT = "Unspecified Product"
-PO_STATUS_DEFAULT = "รอตัดสินใจ"  # "awaiting decision"
-
 STOCK_METRICS = (
     "current_qty",
     "truesell_qty_7_day",
