@@ -122,6 +122,11 @@ def purchase_proposal(recs: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def append_proposals(proposals: DataFrame, path: str) -> None:
+    """Append proposals for approval (the approval workflow itself is out of scope)."""
+    proposals.write.mode("append").partitionBy("status").parquet(path)
+
+
 def proposal_text(lines: Column) -> Column:
     """``group:qty;group:qty`` rendering of proposal lines (for reports)."""
     return F.array_join(

@@ -38,6 +38,11 @@ def append_embedding(src: DataFrame, now: str) -> DataFrame:
     )
 
 
+def save_embeddings(rows: DataFrame, path: str) -> None:
+    """Plain insert (append) of embedding rows; NULL vectors never reach it (see ``append_embedding``)."""
+    rows.where(F.col("embedding").isNotNull()).write.mode("append").parquet(path)
+
+
 def first_embedding(emb: DataFrame, key: str = "product_id", order: str = "id") -> DataFrame:
     """First row per product by primary key, for every product at once (partial ``min_by``)."""
     payload = [c for c in emb.columns if c != key]

@@ -17,7 +17,7 @@ from ..functions.dates import closed_range, load_window
 from ..operators.aggregates import count_rows
 from ..operators.upsert import publish_snapshot, read_snapshot, upsert_months
 from ..session import ensure_checkpoint_dir, scratch_path
-from ..sources.lake import lake_read, lake_write, retention, schema_align
+from ..sources.lake import lake_read, lake_write, lake_write_snapshots, retention, schema_align
 from . import loads as L
 from . import params as P
 from .catalog import register
@@ -52,7 +52,9 @@ LAKE_SQL = """select cast(year(sell_date) as integer) as yyyy, cast(month(sell_d
 
 def _lake(spark, sf) -> str:
     root = scratch(spark, "lake")
-    lake_write(full(spark, sf).sell_detail, f"{root}/sales", sort_by=["shop_id", "product_id", "sell_date"])
+    t = full(spark, sf)
+    lake_write(t.sell_detail, f"{root}/sales", sort_by=["shop_id", "product_id", "sell_date"])
+    lake_write_snapshots({"inventory": t.stock_balance, "products": t.products, "shops": t.branches}, root, P.AS_OF)
     return f"{root}/sales"
 
 

@@ -34,6 +34,21 @@ def lake_write(df: DataFrame, path: str, date_col: str = "sell_date", sort_by: l
     )
 
 
+def lake_write_snapshots(tables: dict[str, DataFrame], root: str, as_of: str) -> dict[str, str]:
+    """Daily snapshots of inventory, products and shops next to the sales history:
+    ``root/<name>/snapshot_date=<as_of>/`` (zstd), one dynamic partition per day."""
+    paths = {}
+    for name, df in tables.items():
+        path = f"{root}/{name}"
+        (
+            df.withColumn("snapshot_date", F.lit(as_of).cast("date")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+            .partitionBy("snapshot_date").parquet(path)
+        )
+        paths[name] = path
+    return paths
+
+
 def month_keys(start: str, end: str) -> list[tuple[int, int]]:
     s = dt.date.fromisoformat(start).replace(day=1)
     e = dt.date.fromisoformat(end).replace(day=1)
