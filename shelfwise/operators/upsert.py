@@ -15,7 +15,6 @@ executor or a failed job never leaves a half-written table behind.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -7,7 +7,6 @@ folder set once, as tests do.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators.upsert import read_snapshot
 from shelfwise.streaming import sync as ST
 from tests.conftest import SF_SMALL, rows
 
