@@ -187,15 +187,18 @@ def upsert_months(
 ) -> None:
     """Upsert a fact batch into a month-partitioned table touching only its months.
 
-    The touched months are a distinct list of at most (range in months) values;
-    they become a partition filter on the old table so untouched months are
-    neither read nor written.
+    The conformed batch is computed once: it is staged under
+    ``spark.checkpoint.dir`` partitioned by month, the touched months are read
+    from the staged partition values (at most the window's month count), and
+    the merge reads the staged copy. The old table is read only for those
+    months (partition filter), so untouched months are neither read nor written.
     """
-    b = conform(batch, spec, now)
-    months = [
-        r[0]
-        for r in b.select(F.to_date(month_trunc(spec.month_col)).alias("m")).distinct().collect()
-    ]
+    assert spec.month_col
+    staged_path = f"{checkpoint_root(spark)}/stage/{spec.name}-batch/{uuid.uuid4().hex}"
+    b = conform(batch, spec, now).withColumn("sell_month", F.to_date(month_trunc(spec.month_col)))
+    b.hint("rebalance", "sell_month").write.partitionBy("sell_month").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    months = [r[0] for r in staged.select("sell_month").distinct().collect()]
     if not months:
         return
     try:
@@ -203,4 +206,4 @@ def upsert_months(
         old = spark.read.parquet(root).where(F.col("sell_month").isin(months)).select(*spec.columns)
     except Exception:  # noqa: BLE001 - first load: no table yet
         old = empty_target(spark, spec)
-    write_months(spark, root, merge(old, b, spec.keys, spec.updates), spec, sort_by)
+    write_months(spark, root, merge(old, staged.select(*spec.columns), spec.keys, spec.updates), spec, sort_by)
