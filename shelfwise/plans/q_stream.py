@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import positive
 from ..operators.keys import fk_semi_filter
-from ..operators.upsert import read_snapshot
 from ..sources.views import settings_from_events
 from ..streaming import sync as ST
 from .catalog import register
@@ -43,7 +42,7 @@ def q_stream_delta_sync(spark, sf):
     root = scratch(spark, "stream_targets")
     ST.stream_delta_sync(spark, _events_stream(spark, sf), transform, root,
                          ["shop_id", "product_group_id"], "setting_id", template)
-    return read_snapshot(spark, root, template)
+    return ST.read_bucketed(spark, root, template)
 
 
 def _changes(df):

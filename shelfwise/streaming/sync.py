@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.upsert import publish_snapshot, read_snapshot
 from ..session import checkpoint_root
 
 
@@ -71,16 +70,14 @@ def stream_delta_sync(
 ) -> None:
     """Poll a source directory; each micro-batch is transformed and upserted (latest ``seq`` wins).
 
-    ``template`` gives the target's columns for the first run.
+    ``template`` gives the target's columns. The target is hash-bucketed by key
+    and a micro-batch rewrites only the buckets it touches (``read_bucketed``
+    reads it back).
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
         new = latest_by_key(transform(batch), keys, seq)
-        try:
-            cur = read_snapshot(spark, target_root, _Spec(template))
-        except Exception:  # noqa: BLE001
-            cur = template.limit(0)
-        publish_snapshot(spark, target_root, merge_latest(cur, new, keys, seq), sort_by=list(keys))
+        upsert_bucketed(spark, target_root, new, keys, seq, template)
 
     w = source.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "delta_sync"))
     _run(w, available_now, interval)
@@ -213,10 +210,3 @@ def stream_stock(
         .option("checkpointLocation", _checkpoint(spark, "stock"))
     )
     _run(w, available_now, interval)
-
-
-class _Spec:
-    """Minimal TableSpec stand-in (schema only) for snapshot reads."""
-
-    def __init__(self, template: DataFrame):
-        self.schema = template.schema
