@@ -106,8 +106,13 @@ def fk_flags(
     id_col: str = "id",
     require_positive: bool = True,
     max_rows: int = MAX_BROADCAST_ROWS,
+    nullable: bool = False,
 ) -> DataFrame:
-    """Append ``fk_reason`` (NULL when all keys pass), one left probe per key."""
+    """Append ``fk_reason`` (NULL when all keys pass), one left probe per key.
+
+    With ``nullable`` a NULL key passes (an optional reference); only a
+    non-NULL id missing from its parent fails.
+    """
     out = df
     reasons: list[Column] = []
     for i, (fk, valid) in enumerate(checks.items()):
@@ -116,6 +121,8 @@ def fk_flags(
         ok = F.col(f"_hit_{tag}").isNotNull()
         if require_positive:
             ok = ok & positive(fk)
+        if nullable:
+            ok = ok | F.col(fk).isNull()
         reasons.append(F.when(~ok, F.lit(f"unknown_{fk}")))
     flagged = out.withColumn("fk_reason", F.concat_ws(",", *reasons))
     flagged = flagged.withColumn("fk_reason", F.nullif(F.col("fk_reason"), F.lit("")))

@@ -18,7 +18,7 @@ from .. import schemas as S
 from ..fixed_values import CUSTOMER_TYPE, SUPPLIER_TYPE
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
-from ..operators.keys import fk_nullify, fk_semi_filter
+from ..operators.keys import fk_flags, fk_nullify, fk_semi_filter
 from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
 
@@ -134,10 +134,31 @@ TARGET_PAYLOAD = (
 )
 
 
-def load_stock_targets(setting: DataFrame, branches: DataFrame) -> DataFrame:
-    """Latest setting (greatest id) per (shop, product group), positive keys, known shop."""
+def _setting_refs(setting: DataFrame, branches: DataFrame, dims: dict | None) -> DataFrame:
+    """Settings with positive keys and a known shop, flagged on their optional dimension ids."""
     kept = setting.where(positive("shop_id", "product_group_id"))
     kept = fk_semi_filter(kept, {"shop_id": branches}, require_positive=False)
+    if not dims:
+        return kept.withColumn("fk_reason", F.lit(None).cast("string"))
+    return fk_flags(kept, dims, require_positive=False, nullable=True)
+
+
+def stock_target_rejects(setting: DataFrame, branches: DataFrame, dims: dict) -> DataFrame:
+    """Settings whose category/type/brand id is unknown (NULL allowed), for the dead-letter table.
+
+    Upstream such a row aborts the whole load through the foreign key; here it is set aside.
+    """
+    return _setting_refs(setting, branches, dims).where(F.col("fk_reason").isNotNull())
+
+
+def load_stock_targets(setting: DataFrame, branches: DataFrame, dims: dict | None = None) -> DataFrame:
+    """Latest setting (greatest id) per (shop, product group), positive keys, known shop.
+
+    ``dims`` ({"category_id": categories, "type_id": types, "brand_id": brands})
+    validates the optional dimension ids; rows with an unknown one are left to
+    ``stock_target_rejects`` instead of aborting the load.
+    """
+    kept = _setting_refs(setting, branches, dims).where(F.col("fk_reason").isNull()).drop("fk_reason")
     latest = kept.groupBy("shop_id", "product_group_id").agg(
         F.max_by(F.struct(*TARGET_PAYLOAD), F.col("id")).alias("_s"),
         F.max("id").alias("setting_id"),
@@ -256,7 +277,8 @@ def build_targets(dom: Domain, start: str, end: str, now: str = DEFAULT_NOW,
     prods = valid_products if valid_products is not None else products
     wave3 = m({
         "stock": conform(load_stock_balance(dom.v_stock_shop, shops, prods), S.STOCK_BALANCE, now),
-        "targets": conform(load_stock_targets(dom.v_setting, shops), S.STOCK_TARGETS, now),
+        "targets": conform(load_stock_targets(dom.v_setting, shops, {
+            "category_id": categories, "type_id": types, "brand_id": brands}), S.STOCK_TARGETS, now),
     })
     stock, targets = wave3["stock"], wave3["targets"]
     sell = conform(load_sell(dom.v_sell, start, end, shops), S.SELL, now)
@@ -305,28 +327,44 @@ def run_load(
         counts[spec.name] = out.count()
         return out
 
-    branches = put(S.BRANCHES, load_branches(dom.v_shop))
-    suppliers = put(S.SUPPLIERS, load_suppliers(dom.v_company))
-    put(S.CUSTOMERS, load_customers(dom.v_company))
-    brands = put(S.BRANDS, load_named_master(brands_source(dom.v_product)))
-    cats = put(S.CATEGORIES, load_named_master(categories_source(dom.v_product)))
-    groups = put(S.GROUPS, load_named_master(groups_source(dom.v_product), "description"))
-    types = put(S.TYPES, load_named_master(types_source(dom.v_product)))
-    products = put(S.PRODUCTS, load_products(dom.v_product, brands, cats, groups, types))
-    put(S.STOCK_BALANCE, load_stock_balance(dom.v_stock_shop, branches, products))
-    put(S.STOCK_TARGETS, load_stock_targets(dom.v_setting, branches))
-    sell = load_sell(dom.v_sell, start, end, branches)
-    detail = load_sell_detail(dom.v_sell_detail, dom.v_sell, start, end, branches, products, suppliers)
-    for spec, batch in ((S.SELL, sell), (S.SELL_DETAIL, detail)):
+    def put_fact(spec: S.TableSpec, batch: DataFrame) -> None:
         if dry_run:
             counts[spec.name] = batch.count()
-            continue
+            return
         if reset:
             write_months(spark, f"{root}/{spec.name}", conform(batch, spec, now), spec,
                          sort_by=["shop_id", "sell_date"], replace_all=True)
         else:
             upsert_months(spark, f"{root}/{spec.name}", batch, spec, now, sort_by=["shop_id", "sell_date"])
         counts[spec.name] = spark.read.parquet(f"{root}/{spec.name}").count()
+
+    def wave(jobs: dict) -> dict:
+        """Independent targets are written as concurrent Spark jobs (one driver thread each)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=len(jobs)) as ex:
+            futs = {k: ex.submit(fn, *args) for k, (fn, *args) in jobs.items()}
+            return {k: f.result() for k, f in futs.items()}
+
+    w1 = wave({
+        "branches": (put, S.BRANCHES, load_branches(dom.v_shop)),
+        "suppliers": (put, S.SUPPLIERS, load_suppliers(dom.v_company)),
+        "customers": (put, S.CUSTOMERS, load_customers(dom.v_company)),
+        "brands": (put, S.BRANDS, load_named_master(brands_source(dom.v_product))),
+        "categories": (put, S.CATEGORIES, load_named_master(categories_source(dom.v_product))),
+        "groups": (put, S.GROUPS, load_named_master(groups_source(dom.v_product), "description")),
+        "types": (put, S.TYPES, load_named_master(types_source(dom.v_product))),
+    })
+    branches, suppliers = w1["branches"], w1["suppliers"]
+    products = put(S.PRODUCTS, load_products(dom.v_product, w1["brands"], w1["categories"], w1["groups"], w1["types"]))
+    dims = {"category_id": w1["categories"], "type_id": w1["types"], "brand_id": w1["brands"]}
+    wave({
+        "stock": (put, S.STOCK_BALANCE, load_stock_balance(dom.v_stock_shop, branches, products)),
+        "targets": (put, S.STOCK_TARGETS, load_stock_targets(dom.v_setting, branches, dims)),
+        "sell": (put_fact, S.SELL, load_sell(dom.v_sell, start, end, branches)),
+        "detail": (put_fact, S.SELL_DETAIL,
+                   load_sell_detail(dom.v_sell_detail, dom.v_sell, start, end, branches, products, suppliers)),
+    })
     return {"mode": mode, "start": start, "end": end, "reset": reset, "counts": counts}
 
 

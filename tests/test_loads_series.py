@@ -33,6 +33,25 @@ def test_latest_setting_by_id(spark):
     assert (out[0].setting_id, out[0].min_qty, out[0].pu_product_id) == (3, 2.0, "")  # Q19: blanked
 
 
+def test_setting_with_unknown_dimension_is_set_aside(spark):
+    # Q10: an unknown category/type/brand id does not abort the load; the row goes to the rejects.
+    ts = dt.datetime(2024, 1, 1)
+    schema = ("id bigint, shop_id int, product_group_id int, min_qty double, max_qty double, sell_multiply double, "
+              "show_qty double, category_id int, type_id int, brand_id int, created_by int, updated_by int, "
+              "created_at timestamp_ntz, updated_at timestamp_ntz")
+    setting = spark.createDataFrame([
+        (1, 5, 2, 1.0, 9.0, 1.0, 0.0, None, None, None, None, None, ts, ts),
+        (2, 5, 2, 1.0, 9.0, 1.0, 0.0, 77, None, None, None, None, ts, ts),
+        (3, 5, 3, 1.0, 9.0, 1.0, 0.0, 1, None, None, None, None, ts, ts),
+    ], schema)
+    branches = spark.createDataFrame([(5,)], "id int")
+    dims = {"category_id": spark.createDataFrame([(1,)], "id int")}
+    kept = {(r.product_group_id, r.setting_id) for r in L.load_stock_targets(setting, branches, dims).collect()}
+    assert kept == {(2, 1), (3, 3)}  # id 2 (unknown category 77) does not win its key
+    rej = L.stock_target_rejects(setting, branches, dims).collect()
+    assert [(r.id, r.fk_reason) for r in rej] == [(2, "unknown_category_id")]
+
+
 def test_detail_takes_header_date_and_keeps_own_shop(spark):
     sell = spark.createDataFrame([(100, 1, dt.datetime(2026, 1, 10)), (200, 1, dt.datetime(2026, 3, 1))],
                                  "id bigint, shop_id int, sell_date timestamp_ntz")
