@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import month_trunc
 from ..schemas import TableSpec
-from ..session import checkpoint_root
+from ..session import checkpoint_root, path_exists
 
 
 def conform(df: DataFrame, spec: TableSpec, now: str | None = None) -> DataFrame:
@@ -108,11 +108,10 @@ MANIFEST = "_manifest"
 
 def _read_manifest(spark: SparkSession, root: str) -> dict | None:
     """Newest committed manifest entry (append-only log of published snapshots)."""
-    try:
-        log = spark.read.schema("ts string, path string").json(f"{root}/{MANIFEST}")
-        rows = log.orderBy(F.col("ts").desc()).limit(1).collect()
-    except Exception:  # noqa: BLE001 - absent manifest = new table
+    if not path_exists(spark, f"{root}/{MANIFEST}"):  # new table
         return None
+    log = spark.read.schema("ts string, path string").json(f"{root}/{MANIFEST}")
+    rows = log.orderBy(F.col("ts").desc()).limit(1).collect()
     return rows[0].asDict() if rows else None
 
 
@@ -201,9 +200,9 @@ def upsert_months(
     months = [r[0] for r in staged.select("sell_month").distinct().collect()]
     if not months:
         return
-    try:
+    if path_exists(spark, root):
         # Partition discovery gives sell_month; the isin list prunes untouched months.
         old = spark.read.parquet(root).where(F.col("sell_month").isin(months)).select(*spec.columns)
-    except Exception:  # noqa: BLE001 - first load: no table yet
+    else:  # first load
         old = empty_target(spark, spec)
     write_months(spark, root, merge(old, staged.select(*spec.columns), spec.keys, spec.updates), spec, sort_by)

@@ -124,6 +124,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table directory exists (any Hadoop file system: HDFS, S3A, local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint root (never reused)."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])

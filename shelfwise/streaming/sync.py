@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, path_exists
 
 
 def file_stream(spark: SparkSession, directory: str, schema: StructType, glob: str | None = None,
@@ -92,10 +92,9 @@ def _bucket(keys: Sequence[str], buckets: int):
 
 def read_bucketed(spark: SparkSession, root: str, template: DataFrame, buckets: list[int] | None = None) -> DataFrame:
     """Current keyed state (optionally only some buckets); empty before the first batch."""
-    try:
-        df = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    if not path_exists(spark, root):  # nothing written yet
         return template.limit(0)
+    df = spark.read.parquet(root)
     if buckets is not None:
         df = df.where(F.col("_bucket").isin(buckets))
     return df.select(*template.columns)
