@@ -18,6 +18,7 @@ from .. import schemas as S
 from ..fixed_values import CUSTOMER_TYPE, SUPPLIER_TYPE
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
+from ..operators.aggregates import observed
 from ..operators.keys import fk_flags, fk_nullify, fk_semi_filter
 from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
@@ -321,22 +322,23 @@ def run_load(
         if dry_run:
             counts[spec.name] = b.count()
             return merge(current(spec), b, spec.keys, spec.updates)
+        # Rows loaded by this step are observed while the snapshot is written (no second scan).
+        b, obs = observed(b, spec.name)
         merged = merge(current(spec), b, spec.keys, spec.updates)
         path = publish_snapshot(spark, f"{root}/{spec.name}", merged, sort_by=list(spec.keys))
-        out = spark.read.parquet(path)
-        counts[spec.name] = out.count()
-        return out
+        counts[spec.name] = obs.get["rows"]
+        return spark.read.parquet(path)
 
     def put_fact(spec: S.TableSpec, batch: DataFrame) -> None:
         if dry_run:
             counts[spec.name] = batch.count()
             return
+        b, obs = observed(conform(batch, spec, now), spec.name)
         if reset:
-            write_months(spark, f"{root}/{spec.name}", conform(batch, spec, now), spec,
-                         sort_by=["shop_id", "sell_date"], replace_all=True)
+            write_months(spark, f"{root}/{spec.name}", b, spec, sort_by=["shop_id", "sell_date"], replace_all=True)
         else:
-            upsert_months(spark, f"{root}/{spec.name}", batch, spec, now, sort_by=["shop_id", "sell_date"])
-        counts[spec.name] = spark.read.parquet(f"{root}/{spec.name}").count()
+            upsert_months(spark, f"{root}/{spec.name}", b, spec, now, sort_by=["shop_id", "sell_date"])
+        counts[spec.name] = obs.get["rows"]
 
     def wave(jobs: dict) -> dict:
         """Independent targets are written as concurrent Spark jobs (one driver thread each)."""
