@@ -37,17 +37,21 @@ def dq_compare(df: DataFrame, key: str, a: str, b: str) -> DataFrame:
 
 
 def dq_foreign_key(df: DataFrame, checks: Mapping[str, DataFrame], id_col: str = "id") -> DataFrame:
-    """(fk_column, key_value, n_rows) for non-NULL keys missing from their parent."""
-    parts = []
-    for fk, parent in checks.items():
-        ks = bounded_broadcast(key_set(parent, id_col, "_k"), upper_bound=known_rows(parent))
-        miss = df.where(F.col(fk).isNotNull()).join(ks, F.col(fk) == ks["_k"], "left_anti")
-        parts.append(
-            miss.groupBy(F.col(fk).cast("bigint").alias("key_value"))
-            .agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(fk).alias("fk_column"), "key_value", "n_rows")
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """(fk_column, key_value, n_rows) for non-NULL keys missing from their parent.
+
+    One scan: every key is probed against its size-checked key set in the same
+    pass, failed references are exploded and counted (partial aggregate).
+    """
+    probed = df.select(*checks.keys())
+    misses = []
+    for i, (fk, parent) in enumerate(checks.items()):
+        ks = key_set(parent, id_col, f"_k{i}").withColumn(f"_hit{i}", F.lit(True))
+        ks = bounded_broadcast(ks, upper_bound=known_rows(parent))
+        probed = probed.join(ks, F.col(fk) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+        misses.append(F.when(F.col(fk).isNotNull() & F.col(f"_hit{i}").isNull(),
+                             F.struct(F.lit(fk).alias("fk_column"), F.col(fk).cast("bigint").alias("key_value"))))
+    bad = probed.select(F.explode(F.array(*misses)).alias("m")).where(F.col("m").isNotNull())
+    return bad.groupBy("m.fk_column", "m.key_value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def dq_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
