@@ -9,7 +9,6 @@ key sets, uniqueness is a partial-aggregating ``groupBy``.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
