@@ -19,7 +19,7 @@ from ..fixed_values import CUSTOMER_TYPE, SUPPLIER_TYPE
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.aggregates import observed
-from ..operators.keys import fk_flags, fk_nullify, fk_semi_filter, remember_rows
+from ..operators.keys import bounded_broadcast, fk_flags, fk_nullify, fk_semi_filter, remember_rows
 from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
 
@@ -178,11 +178,24 @@ def load_sell(sell: DataFrame, start: str, end: str, branches: DataFrame) -> Dat
     return fk_nullify(h, {"shop_id": branches})
 
 
-def join_detail_header(detail: DataFrame, sell: DataFrame, start: str, end: str) -> DataFrame:
-    """Details of headers in range, carrying the header's date (detail keeps its own shop)."""
+# Headers of a range load broadcast when at most this many (id + date: ~100 MB hashed).
+HEADER_BROADCAST_ROWS = 5_000_000
+
+
+def join_detail_header(detail: DataFrame, sell: DataFrame, start: str, end: str,
+                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS) -> DataFrame:
+    """Details of headers in range, carrying the header's date (detail keeps its own shop).
+
+    The raw detail has no date, so the range lives on the header. A daily or
+    repair window selects few headers: under the checked bound they are
+    broadcast and the detail is scanned once and never shuffled. A full reload
+    at scale stays a sort-merge join, where Spark's runtime bloom filter from
+    the filtered header still prunes detail rows before the shuffle.
+    """
     h = sell.where(closed_range("sell_date", start, end)).select(
         F.col("id").alias("_hid"), F.col("sell_date")
     )
+    h = bounded_broadcast(h, header_broadcast_rows)
     return detail.join(h, detail["sell_id"] == h["_hid"], "inner").drop("_hid")
 
 
