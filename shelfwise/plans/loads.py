@@ -178,24 +178,32 @@ def load_sell(sell: DataFrame, start: str, end: str, branches: DataFrame) -> Dat
     return fk_nullify(h, {"shop_id": branches})
 
 
-# Headers of a range load broadcast when at most this many (id + date: ~100 MB hashed).
+# A short (daily / repair) window's headers are broadcast when at most this many (id + date: ~100 MB hashed).
 HEADER_BROADCAST_ROWS = 5_000_000
+HEADER_BROADCAST_MAX_DAYS = 62
 
 
 def join_detail_header(detail: DataFrame, sell: DataFrame, start: str, end: str,
-                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS) -> DataFrame:
+                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS,
+                       broadcast_max_days: int = HEADER_BROADCAST_MAX_DAYS) -> DataFrame:
     """Details of headers in range, carrying the header's date (detail keeps its own shop).
 
     The raw detail has no date, so the range lives on the header. A daily or
-    repair window selects few headers: under the checked bound they are
-    broadcast and the detail is scanned once and never shuffled. A full reload
-    at scale stays a sort-merge join, where Spark's runtime bloom filter from
-    the filtered header still prunes detail rows before the shuffle.
+    repair window (at most ``broadcast_max_days``) selects a small slice of the
+    headers: under the checked row bound they are broadcast and the detail is
+    scanned once and never shuffled. Long windows (full reloads) select most
+    headers, so they stay a sort-merge join. The shuffle then spreads the work,
+    and Spark's runtime bloom filter from the filtered header still prunes
+    detail rows before it.
     """
+    import datetime as dt
+
     h = sell.where(closed_range("sell_date", start, end)).select(
         F.col("id").alias("_hid"), F.col("sell_date")
     )
-    h = bounded_broadcast(h, header_broadcast_rows)
+    days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
+    if days <= broadcast_max_days:
+        h = bounded_broadcast(h, header_broadcast_rows)
     return detail.join(h, detail["sell_id"] == h["_hid"], "inner").drop("_hid")
 
 

@@ -94,3 +94,14 @@ def test_fact_range_reader_prunes_month_partitions(spark, scratch):
     txt = _plan(df)
     assert "PartitionFilters: [isnotnull(sell_month" in txt and "2026-02-01" in txt
     assert sorted(r.id for r in df.collect()) == [1, 2]
+
+
+def test_short_window_broadcasts_headers_long_window_shuffles(spark):
+    from shelfwise.plans import loads as L
+    from shelfwise.sources.views import Domain
+
+    d = Domain(spark, SF_SMALL)
+    short = _plan(L.join_detail_header(d.v_sell_detail, d.v_sell, "1996-03-01", "1996-03-07"))
+    long = _plan(L.join_detail_header(d.v_sell_detail, d.v_sell, "1995-01-01", "2001-12-31"))
+    assert "SortMergeJoin" not in short  # the detail is scanned once, never shuffled
+    assert "SortMergeJoin" in long
