@@ -50,3 +50,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["shop_id", "month", "qty", "n_lines"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_cross_or_nested_loop_joins(spark, name):
+    """No registered query pairs rows without an equi-key (no all-pairs work at any scale)."""
+    from tests.conftest import SF_SMALL
+    from tests.test_streaming_plans import _plan
+
+    txt = _plan(E.queries()[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt, name
