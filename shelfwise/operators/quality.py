@@ -68,6 +68,28 @@ def dq_length(df: DataFrame, key: str, bounds: Mapping[str, int]) -> DataFrame:
     return long.where(F.col("length") > F.col("bound"))
 
 
+def dq_row_rejects(
+    df: DataFrame,
+    in_set: Mapping[str, Sequence] | None = None,
+    compare: Sequence[tuple[str, str]] | None = None,
+    lengths: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Rows failing any row-level rule (DQ2 in-set, DQ3 a <= b, DQ6 length), one pass.
+
+    Returns the failing rows with ``fk_reason`` naming every failed rule, the
+    shape ``dlq`` takes (NULL values pass, as a CHECK constraint does).
+    """
+    reasons = []
+    for c, allowed in (in_set or {}).items():
+        reasons.append(F.when(~F.col(c).isin(list(allowed)), F.lit(f"not_in_set_{c}")))
+    for a, b in compare or []:
+        reasons.append(F.when(~(F.col(a) <= F.col(b)), F.lit(f"{a}_gt_{b}")))
+    for c, n in (lengths or {}).items():
+        reasons.append(F.when(F.length(c) > n, F.lit(f"too_long_{c}")))
+    flagged = df.withColumn("fk_reason", F.nullif(F.concat_ws(",", *reasons), F.lit("")))
+    return flagged.where(F.col("fk_reason").isNotNull())
+
+
 def dlq(rejects: DataFrame, source: str, key_cols: Sequence[str], reason_col: str = "fk_reason") -> DataFrame:
     """Dead-letter rows: source table, key text, reason, and the whole row as JSON."""
     payload = [c for c in rejects.columns if c != reason_col]

@@ -139,3 +139,13 @@ def test_snapshot_publish_and_month_rewrite(spark, scratch):
     feb_after = {r[0] for r in back.where("sell_month = '2026-02-01'").select(F.input_file_name()).collect()}
     assert feb_files == feb_after  # the untouched month was not rewritten
     assert back.where("id = 1").first().created_at == dt.datetime(2026, 1, 1)
+
+
+def test_row_rule_rejects_feed_the_dead_letter_table(spark):
+    from shelfwise.operators.quality import dlq, dq_row_rejects
+
+    df = spark.createDataFrame([(1, "click", 1.0, 2.0, "ab"), (2, "error", 3.0, 2.0, "abcdef"),
+                                (3, None, None, 2.0, "ab")], "id int, kind string, a double, b double, name string")
+    rej = dq_row_rejects(df, in_set={"kind": ["click"]}, compare=[("a", "b")], lengths={"name": 4})
+    out = {r.row_key: r.reason for r in dlq(rej, "events", ["id"]).collect()}
+    assert out == {"2": "not_in_set_kind,a_gt_b,too_long_name"}  # NULLs pass every rule
