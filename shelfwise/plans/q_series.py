@@ -1,4 +1,4 @@
-"""Registered queries: sales series, summaries, trends, calendar and lake layout."""
+"""Registered queries: sales series, summaries, trends and the month calendar."""
 
 from __future__ import annotations
 
