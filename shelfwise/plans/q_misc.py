@@ -1,4 +1,4 @@
-"""Registered queries: embeddings, date/text expressions, lake layout and whole-load jobs."""
+"""Registered queries: embeddings and similarity search, declared date/text expressions."""
 
 from __future__ import annotations
 
