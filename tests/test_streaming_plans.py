@@ -133,3 +133,17 @@ def test_cluster_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(huge["spark.sql.shuffle.partitions"]) == 100_000
     assert huge["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+
+
+def test_late_copies_in_later_batches_are_deduplicated(spark, scratch, event_dir):
+    path, ev = event_dir
+    reversed_dir = f"{scratch}/events_rev"
+    # The same events again, file order reversed: copies of the newest events arrive first, the oldest last.
+    ev.withColumn("_o", -F.col("event_id")).repartitionByRange(4, "_o").drop("_o").write.parquet(reversed_dir)
+    cols = ["event_id", "ts", "user_id"]
+    a = ST.file_stream(spark, path, ev.schema, max_files=1).select(*cols)
+    b = ST.file_stream(spark, reversed_dir, ev.schema, max_files=1).select(*cols)
+    out = f"{scratch}/late_cross"
+    ST.stream_late_data(spark, a.unionByName(b), out, "ts", ["event_id"], delay="60 days")
+    got = spark.read.parquet(out)
+    assert got.count() == ev.count() == got.select("event_id").distinct().count()
