@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import quality
 
-_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
 def _quality() -> str:
@@ -27,7 +27,7 @@ def _quality() -> str:
             tests.append(f"s_{s} >= lo_{s}")
     return rf"""
 with texts as (select doc_id, lang, source, coalesce(text, '') as t from documents),
-words as (select *, {_WORDS.format(text="t")} as w, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l from texts),
+words as (select *, {_WORDS.format(text="t")} as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from texts),
 grams as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from words)),
 repeated as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, a, b, c) as n from grams) where n > 1),
 covered as (select doc_id, count(distinct i + k) as n from repeated, (select unnest([0, 1, 2]) as k) group by doc_id),

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
+from .packing import pack
 from .quality import quality_rules
 from .store import table
+from .token_output import read_tokens, write_tokens
+
+VOCABULARY = "word_bpe_49k.json"
+END_OF_DOCUMENT = 1
+END_OF_PIECE = 0
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +24,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_DOCUMENT)
+    return read_tokens(files)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_PIECE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules]
+    found = [op1_quality_rules, op2_token_output, op4_best_fit_packing]
     return {f.__name__: f for f in found}
 
 

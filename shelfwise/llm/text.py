@@ -79,23 +79,22 @@ def texts(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Itera
 
 
 class Words:
-    """All words of a slice in order: ``start``/``end`` byte, ``row`` and ``at`` (place in the row)."""
+    """All words of a slice in order: ``start``/``end`` byte, ``row`` and ``at`` (place in the row).
 
-    def __init__(self, src: Texts, stop: np.ndarray):
+    ``stop`` marks the byte values between words; ``cut`` marks further bytes
+    before which a word ends and another begins.
+    """
+
+    def __init__(self, src: Texts, stop: np.ndarray, cut: np.ndarray | None = None):
         self.src = src
         inside = ~stop[src.data]
-        before = np.empty_like(inside)
-        before[:1] = False
-        before[1:] = inside[:-1]
-        edges = src.offsets[:-1]
-        before[edges[edges < len(before)]] = False
-        self.start = np.flatnonzero(inside & ~before)
-        after = np.empty_like(inside)
-        after[-1:] = False
-        after[:-1] = inside[1:]
-        edges = src.offsets[1:] - 1
-        after[edges[edges >= 0]] = False
-        self.end = np.flatnonzero(inside & ~after) + 1
+        begins = np.zeros(len(inside) + 1, bool)  # a word that goes on from the byte before begins anew here
+        begins[src.offsets] = True
+        if cut is not None:
+            begins[:-1] |= cut
+        begins[:1] = begins[-1:] = True
+        self.start = np.flatnonzero(inside & (begins[:-1] | ~np.concatenate([[False], inside[:-1]])))
+        self.end = np.flatnonzero(inside & (begins[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
         self.first = np.searchsorted(self.start, src.offsets)  # of each row, and the number of all
         self.count = np.diff(self.first)
         self.row = np.repeat(np.arange(src.n), self.count)
@@ -116,7 +115,7 @@ class Words:
         while len(todo):
             left = size[todo] - step
             chunk = eight[self.start[todo] + step] & _MASK[np.minimum(left, 8)]
-            h[todo] = mix((h[todo] ^ chunk) * _K1 + chunk)
+            h[todo] = mix((h[todo] ^ chunk) * _K1)
             step += 8
             todo = todo[left > 8]
         for i in np.flatnonzero(size > LONG_WORD):
