@@ -59,4 +59,15 @@ from signals s left join limits m on s.lang is not distinct from m.lang and s.so
 """
 
 
-SQL = {"op1_quality_rules": _quality()}
+TOP_K = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+SQL = {"op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

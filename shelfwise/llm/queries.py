@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracles
 from .packing import pack
 from .quality import quality_rules
-from .store import table
+from .store import cut, table
 from .token_output import read_tokens, write_tokens
+from .topk import quantised, top_k
 
 VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 1
@@ -33,8 +35,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_PIECE)
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cut(quantised(table(spark, sf_dir, "embeddings")), "vectors")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op4_best_fit_packing]
+    found = [op1_quality_rules, op2_token_output, op4_best_fit_packing, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 
