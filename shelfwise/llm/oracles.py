@@ -70,4 +70,18 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 
-SQL = {"op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+JACCARD = rf"""
+with recursive words as (
+  select doc_id, {_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+grams as (
+  select distinct doc_id, array_to_string(w[i:least(i + 4, len(w))], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*)::bigint as n from grams group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+from documents d left join sizes using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)
+"""
+
+SQL = {"op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

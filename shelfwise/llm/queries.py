@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .jaccard import jaccard_join
 from .packing import pack
 from .quality import quality_rules
 from .store import cut, table
@@ -31,6 +32,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(files)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_PIECE)
 
@@ -41,7 +46,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op4_best_fit_packing, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 

@@ -30,6 +30,7 @@ LOWER[65:91] += 32
 _K1, _K2, _K3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 _MASK = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=U)
 LONG_WORD = 512
+_PLACE = [U((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for j in range(64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -128,7 +129,7 @@ class Words:
         n = len(h)
         out = np.zeros(n, U)
         for j in range(k):
-            out[: n - j] += mix(h[j:] + U(j + 1) * _K1)
+            out[: n - j] += mix(h[j:] + _PLACE[j])
         return mix(out)
 
 
