@@ -84,4 +84,18 @@ select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
 from documents d left join sizes using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)
 """
 
-SQL = {"op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+SUBSTRINGS = rf"""
+with words as (select doc_id, {_WORDS.format(text="coalesce(text, '')")} as w from documents),
+grams as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from words where len(w) >= 20)),
+repeats as (select doc_id, i from (select doc_id, i, row_number() over (partition by g order by doc_id, i) as r from grams) where r > 1),
+gone as (select distinct doc_id, i + k as i from repeats, (select unnest(range(0, 20)) as k)),
+placed as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as i from words),
+kept as (select doc_id, string_agg(x, ' ' order by i) as t from placed anti join gone using (doc_id, i) group by doc_id),
+lost as (select doc_id, count(*)::bigint as n from gone group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from words left join kept using (doc_id) left join lost using (doc_id)
+"""
+
+SQL = {"op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

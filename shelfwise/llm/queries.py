@@ -13,6 +13,7 @@ from .jaccard import jaccard_join
 from .packing import pack
 from .quality import quality_rules
 from .store import cut, table
+from .substrings import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .topk import quantised, top_k
 
@@ -40,13 +41,17 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_OF_PIECE)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = cut(quantised(table(spark, sf_dir, "embeddings")), "vectors")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 

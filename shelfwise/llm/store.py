@@ -6,6 +6,7 @@ a driver-local folder is set only where the cluster names none, as in tests.
 
 from __future__ import annotations
 
+import gc
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +41,9 @@ def fan_out(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps: it does so once their plans are collected on the driver."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
