@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import license, quality
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -98,4 +98,34 @@ select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, s
 from words left join kept using (doc_id) left join lost using (doc_id)
 """
 
-SQL = {"op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _license() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    base = ", ".join(f"({p.split()!r}, {label!r})" for p, label in license.BASE.items())
+    parts = ", ".join(f"({i}, {label!r}, {sorted(set(t.split()))!r})" for i, (label, t) in enumerate(license.TEMPLATES))
+    return f"""
+with texts as (select doc_id, {_LOWER} as t from documents),
+words as (select doc_id, regexp_extract_all(t, '{word}') as w from texts),
+phrases(p, label) as (values {base}),
+placed as (select doc_id, w, unnest(range(0, len(w))) as i from words),
+found as (select doc_id, i, label from placed join phrases on w[i + 1:i + len(p)] = p),
+base as (select doc_id, count(*)::bigint as n_base, min(i)::bigint as first_word, max(i)::bigint as last_word, list_distinct(list(label)) as l from found group by doc_id),
+lines as (select doc_id, n, regexp_extract_all(line, '{word}') as w from (select doc_id, unnest(string_split(t, chr(10))) as line, unnest(range(0, len(string_split(t, chr(10))))) as n from texts)),
+pieces as (
+  select distinct doc_id, n, (i // {license.STRIDE}) - k as piece, x
+  from (select doc_id, n, unnest(w) as x, unnest(range(0, len(w))) as i from lines), (select unnest([0, 1]) as k) where i // {license.STRIDE} >= k),
+templates(id, label, w) as (values {parts}),
+vocabulary as (select id, label, len(w) as m, unnest(w) as x from templates),
+common as (select doc_id, label, m, count(*) as c from pieces join vocabulary using (x) group by doc_id, n, piece, id, label, m having 100 * count(*) >= {license.PERCENT} * m),
+method as (select doc_id, list_distinct(list(label)) as l, max(c / m) as score from common group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(base.l), ','), '') as base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(method.l, [])))), ','), '') as labels,
+  coalesce(score, 0.0)::double as score
+from words left join base using (doc_id) left join method using (doc_id)
+"""
+
+
+SQL = {"op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

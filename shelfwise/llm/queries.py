@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .jaccard import jaccard_join
+from .license import license_scan
 from .packing import pack
 from .quality import quality_rules
 from .store import cut, table
@@ -45,13 +46,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = cut(quantised(table(spark, sf_dir, "embeddings")), "vectors")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 
