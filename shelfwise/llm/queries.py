@@ -17,6 +17,7 @@ from .store import cut, table
 from .substrings import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .topk import quantised, top_k
+from .toxicity import PREDICT, held_out, score, train
 
 VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 1
@@ -50,13 +51,19 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = cut(quantised(table(spark, sf_dir, "embeddings")), "vectors")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op8_toxicity, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 

@@ -9,9 +9,10 @@ windows of ``STARTS`` starts within a word; a document's value is its
 highest window (a multiple-instance SVM), made a probability by a sigmoid.
 
 Training uses a bounded sample of labelled documents (``SAMPLE`` a class, by
-hash of the id, held-out rows never). Spark counts in how many toxic and clean
-sampled documents each word of their sentences stands. Words that stand in many toxic and
-hardly any clean documents give the positive instances, words of clean
+hash of the id, held-out rows never). Spark counts in how many contexts (its
+two neighbours) each word of their sentences stands in toxic and in clean
+documents, so that copies count once. Words with many toxic and hardly any
+clean contexts give the positive instances, words of clean
 documents the negative ones, at first by hash and then those that score
 highest. Landmarks are picked from both by farthest-first traversal; windows
 become kernel rows against them, whitened by the inverse root of the
@@ -46,15 +47,17 @@ GAP = 0.6
 SPAN = 7
 STARTS = 3
 LENGTH, STRIDE = 24, 12
-BASE = 28
-POSITIVE, NEGATIVE, HARD = 2000, 6000, 4000
+BASE = 29
+POSITIVE, NEGATIVE, HARD = 1500, 3000, 2000
 LANDMARKS = 160
-MIN_TOXIC = 6
+#: Fits at most, each with the highest clean words of the one before as further negatives.
+ROUNDS = 3
 PREDICT = 0.7
 
 _CODE = np.zeros(256, np.uint8)
 _CODE[ord("a") : ord("z") + 1] = np.arange(1, 27)
 _CODE[0xC0:] = 27  # one code for each letter beyond ASCII
+BEGIN = 28  # stands before the first letter of a word
 #: Places of the second to fourth letter after the first, and the weight.
 _FORMS = [(a, b, c, GAP ** (c - 3)) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
 
@@ -78,6 +81,10 @@ def words_of(src: Texts) -> tuple[np.ndarray, np.ndarray]:
     head = np.flatnonzero(~joins)
     begin, row = a[head], row[head]
     end = b[np.append(head[1:], len(a)) - 1] if len(head) else b
+    # A place for BEGIN before each word.
+    letters = np.insert(letters, begin, BEGIN)
+    shift = np.arange(len(begin))
+    begin, end = begin + shift, end + shift + 1
     size = end - begin
     pieces = np.maximum(1, -(-(size - (LENGTH - STRIDE)) // STRIDE))
     which = np.repeat(np.arange(len(size)), pieces)
@@ -173,19 +180,26 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
 
 
 def _sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each sampled document."""
+    """Each word of the sampled documents with a hash of its two neighbours."""
     for batch in batches:
         toxic = np.asarray(batch.column("toxic"))
         for src in texts(batch.column("text")):
             row, letters = words_of(src)
             h = keys_of(letters)
-            order = np.lexsort((h, row))
-            new = np.ones(len(order), bool)
-            new[1:] = (row[order[1:]] != row[order[:-1]]) | (h[order[1:]] != h[order[:-1]])
-            pick = order[new]
-            body = letters[pick].tobytes()
-            words = [body[i * LENGTH : (i + 1) * LENGTH] for i in range(len(pick))]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(toxic[src.first + row[pick]].astype(np.int64))], ["word", "toxic"])
+            left, right = np.zeros(len(h), U), np.zeros(len(h), U)
+            left[1:] = np.where(row[1:] == row[:-1], h[:-1], U(0))
+            right[:-1] = np.where(row[1:] == row[:-1], h[1:], U(0))
+            context = mix(mix(left + U(1)) ^ right)
+            body = letters.tobytes()
+            words = [body[i * LENGTH : (i + 1) * LENGTH] for i in range(len(h))]
+            cols = [pa.array(words, pa.binary()), pa.array(context.view(np.int64)), pa.array(toxic[src.first + row].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, ["word", "context", "toxic"])
+
+
+def word_counts(chosen: DataFrame) -> DataFrame:
+    """word, in_toxic, in_clean: in how many different contexts a word stands; copies of a document share theirs."""
+    seen = chosen.mapInArrow(_sentence_words, "word binary, context long, toxic long").distinct()
+    return seen.groupBy("word").agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean"))
 
 
 def _value_words(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -251,13 +265,24 @@ def svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-2) ->
     return w[:-1], float(w[-1])
 
 
+def _lowest(by: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The window of each word with the least ``by``."""
+    order = np.lexsort((by, word))
+    return order[np.concatenate([[True], word[order][1:] != word[order][:-1]])]
+
+
 def fit_table(positive: np.ndarray, counts: np.ndarray, negative: np.ndarray, landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
     """Triple weights and bias from letter rows of positive words (with their document counts) and negative ones."""
     pw, pi, pg = features(positive)
     _, ni, ng = features(negative)
-    top = np.flatnonzero(pw < 300)[:1000]
-    marks = [(pi[top[i]], pg[top[i]]) for i in _landmarks(pi[top], pg[top], 2 * landmarks // 3)]
-    marks += [(ni[i], ng[i]) for i in _landmarks(ni[:1000], ng[:1000], landmarks // 3)]
+    # At first, of each positive word the window that is rarest among negative words.
+    usual = np.log1p(_table(ni, ng))
+    rare = _lowest((usual[pi] * pg).sum(1) / np.maximum(pg.sum(1), 1e-9), pw)
+    top = rare[:1000]
+    marks = [(pi[top[i]], pg[top[i]]) for i in _landmarks(pi[top], pg[top], landmarks // 3)]
+    # Of negative words, their windows nearest to what is rare among them: these must be told apart.
+    near = np.argsort(-(_table(pi[top], pg[top])[ni] * ng).sum(1), kind="stable")[:3000]
+    marks += [(ni[near[i]], ng[near[i]]) for i in _landmarks(ni[near], ng[near], landmarks - len(marks))]
     columns = []
     for i, g in marks:
         t = _table(i, g)
@@ -267,16 +292,14 @@ def fit_table(positive: np.ndarray, counts: np.ndarray, negative: np.ndarray, la
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
     xp, xn = kp @ root, kn @ root
-    witness = np.arange(len(xp))  # at first every window of a positive word
+    witness = rare
     for _ in range(3):
         x = np.concatenate([xp[witness], xn])
         y = np.concatenate([np.ones(len(witness)), -np.ones(len(xn))])
         weight = np.minimum(counts[pw[witness]], 50).astype(np.float64)
         cost = np.concatenate([weight / weight.sum(), np.full(len(xn), 1 / len(xn))]) * len(xn)
         w, bias = svm(x, y, cost)
-        f = xp @ w
-        order = np.lexsort((-f, pw))  # then each positive word's highest window
-        witness = order[np.concatenate([[True], pw[order][1:] != pw[order][:-1]])]
+        witness = _lowest(-(xp @ w), pw)  # then its highest window
     alpha = root @ w
     return _table(np.stack([m[0] for m in marks]), np.stack([a * m[1] for a, m in zip(alpha, marks, strict=True)])), bias
 
@@ -315,21 +338,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     found = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (found.get(1) and found.get(0)):
         return Model(None, constant=1.0 if found.get(1) else 0.0)
-    words = chosen.mapInArrow(_sentence_words, "word binary, toxic long").groupBy("word").agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean"))
-    words = cut(words, "toxic_words")
-    share = found[0] / found[1]
-    strong = words.filter((F.col("in_toxic") >= min(MIN_TOXIC, max(1, found[1] // 8))) & (F.col("in_toxic") * share > 25 * F.col("in_clean")))
+    words = cut(word_counts(chosen), "toxic_words")
+    total = words.agg(F.sum("in_toxic"), F.sum("in_clean"), F.count("*")).first()
+    if not (total[0] and total[1]):
+        return Model(None, constant=0.0)
+    share, chance = total[1] / total[0], total[0] / (total[0] + total[1])
+    # Of all words, less than one that stands at random would stand so often in toxic documents alone.
+    least = max(2, min(int(np.ceil(np.log(total[2] + 1) / -np.log(chance))), found[1] // 4))
+    strong = words.filter((F.col("in_toxic") >= least) & (F.col("in_toxic") * share > 50 * F.col("in_clean")))
     strong = strong.orderBy(F.desc("in_toxic"), "word").limit(POSITIVE).collect()
     clean = words.filter("in_clean > 0")
     negative = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE).collect()]
     if not strong or not negative:
         return Model(None, constant=0.0)
     positive, counts = _letters([r["word"] for r in strong]), np.array([r["in_toxic"] for r in strong])
-    for _ in range(3):
+    for _ in range(ROUNDS):
         table, bias = fit_table(positive, counts, _letters(negative))
         model = Model(table, bias)
         hard = clean.select("word").mapInArrow(partial(_value_words, model=model), "word binary, f double").orderBy(F.desc("f"), "word").limit(HARD)
-        negative = list(dict.fromkeys([*(r["word"] for r in hard.collect()), *negative]))[: NEGATIVE + 2 * HARD]
+        hard = hard.collect()
+        if not hard or hard[0]["f"] < 0:
+            break
+        negative = list(dict.fromkeys([*(r["word"] for r in hard), *negative]))[: NEGATIVE + 2 * HARD]
     values = chosen.select("doc_id", "text", "toxic").mapInArrow(partial(_best, model=model), "toxic int, best double").toPandas()
     slope, shift = sigmoid(values["best"].to_numpy(), values["toxic"].to_numpy())
     return Model(table, bias, slope, shift)
