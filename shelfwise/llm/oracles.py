@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, quality
+from . import license, mixing, quality
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -128,4 +128,31 @@ from words left join base using (doc_id) left join method using (doc_id)
 """
 
 
-SQL = {"op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+def _mixing(seed: int = 9) -> str:
+    steps = []
+    last = "start"
+    for r in range(mixing.ROUNDS):
+        for c in mixing.DIMENSIONS:
+            steps.append(f"r{r}{c} as (select source, lang, topic, tokens, t_source, t_lang, t_topic, w * t_{c} / sum(w) over (partition by {c}) as w from {last})")
+            last = f"r{r}{c}"
+    shares = ",\n".join(f"share_{c} as (select {c}, p / sum(p) over () as t_{c} from (select {c}, pow(sum(tokens)::double, {mixing.TEMPER}) as p from cells where tokens > 0 group by {c}))" for c in mixing.DIMENSIONS)
+    return rf"""
+with words as (select doc_id, coalesce(source, '{mixing.NONE}') as source, coalesce(lang, '{mixing.NONE}') as lang, {_WORDS.format(text="coalesce(text, '')")} as w from documents),
+counted as (select x, count(*) as n from (select unnest(list_distinct(w)) as x from words) where length(x) >= {mixing.LONG} group by x),
+leaders as (select x, row_number() over (order by n desc, x) as place from counted qualify place <= {mixing.TOPICS}),
+held as (select doc_id, x, place, count(*) as n from (select doc_id, unnest(w) as x from words) join leaders using (x) group by all),
+topics as (select doc_id, x as topic from held qualify row_number() over (partition by doc_id order by n desc, place) = 1),
+docs as (select doc_id, source, lang, coalesce(topic, '{mixing.NONE}') as topic, len(w)::bigint as n_words from words left join topics using (doc_id)),
+cells as (select source, lang, topic, sum(n_words)::bigint as tokens from docs group by all),
+{shares},
+start as (select c.*, t_source, t_lang, t_topic, tokens::double as w from cells c join share_source using (source) join share_lang using (lang) join share_topic using (topic) where tokens > 0),
+{(","+chr(10)).join(steps)},
+fitted as (select source, lang, topic, round((w / tokens) / max(w / tokens) over (), 9) as p from {last}),
+chosen as (select doc_id, topic, n_words, coalesce(p, 1.0) as p from docs left join fitted using (source, lang, topic))
+select doc_id, topic, n_words, round(p, 6) as probability,
+  ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':{seed}'), 1, 13))::bigint::double / 4503599627370496.0 < p as kept
+from chosen
+"""
+
+
+SQL = {"op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

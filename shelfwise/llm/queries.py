@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .jaccard import jaccard_join
 from .license import license_scan
+from .mixing import mixed
 from .packing import pack
 from .quality import quality_rules
 from .store import cut, table
@@ -57,13 +58,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= PREDICT).cast("int").alias("predicted"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixed(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", F.col("_topic").alias("topic"), F.col("_words").alias("n_words"), F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = cut(quantised(table(spark, sf_dir, "embeddings")), "vectors")
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op8_toxicity, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op8_toxicity, op9_source_mixing, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 
