@@ -2,7 +2,9 @@
 
 Documents with equal sets are one node. A set's shingles are hashed into
 groups; the counts per group are its point, and the sum of two points'
-coordinate minima bounds their overlap from above.
+coordinate minima bounds their overlap from above. A larger set has more
+groups (a power of two, about a fifth of its size), and points fold to fewer
+groups by adding counts, so any two compare in the groups of the smaller.
 
 Which points meet: two sets of similarity t share a shingle among the first
 n - ceil(t n) + 1 of each in any common order. The order is frequency, from a
@@ -13,8 +15,8 @@ surviving pairs of the bound are verified on the whole sets. Blocks whose
 nodes still lie in different components then join in full: an R-tree over
 their points finds the pairs of different components whose bound passes, and
 these are verified too. Pairs left untried are in one component already, so
-no link between components is lost. A block beyond ``TILE`` nodes is dealt
-to tiles that meet pairwise.
+no link between components is lost. Of blocks with the same nodes one is
+joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 
 Defined results: a null, empty or wordless text has the empty set and is
 linked with nothing; a text of fewer than k words has its whole sequence as its one
@@ -36,19 +38,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import cut
+from .store import cut, fan_out, release
 from .text import U, mix, shingles, texts
 
-GROUPS = 32
-SKETCH_BITS = 20
+GROUPS, MOST_GROUPS = 32, 4096
+SKETCH_BITS = 22
 TILE = 1000
 LEAF = 32
+#: Blocks of at most so many nodes are a leaf of their own.
+SMALL = 32
 #: Ids up to this many (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 
 SETS = "doc_id long, n long, s1 long, s2 long, point binary, slot int, hits long"
 
 
+def _points_of(row: np.ndarray, key: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """The count vector of each set, in as many groups as its size asks for."""
+    groups = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 5)).astype(np.int64).clip(0), GROUPS, MOST_GROUPS)
+    begin = np.cumsum(groups) - groups
+    counts = np.bincount(begin[row] + (key % groups[row].astype(U)).astype(np.int64), minlength=int(groups.sum()))
+    body = counts.astype("<u4").tobytes() if counts.max(initial=0) >= 1 << 16 else counts.astype("<u2").tobytes()
+    wide = len(body) // max(1, len(counts))
+    return [bytes([wide]) + body[wide * a : wide * (a + g)] for a, g in zip(begin.tolist(), groups.tolist(), strict=True)]
+
+
+class Points:
+    """Count vectors of different widths, foldable to any common one."""
+
+    def __init__(self, raw: list[bytes]):
+        self.rows = [np.frombuffer(x, f"<u{x[0]}", offset=1) for x in raw]
+        self.groups = np.array([len(r) for r in self.rows], np.int64)
+        self.coarse = self.fold(np.arange(len(raw)), GROUPS)
+        self.size = self.coarse.sum(1)
+
+    def fold(self, which: np.ndarray, groups: int) -> np.ndarray:
+        out = np.empty((len(which), groups), np.int32)
+        for i, r in enumerate(which.tolist()):
+            out[i] = self.rows[r].reshape(-1, groups).sum(0)
+        return out
+
+    def passing(self, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the bound lets each pair (a, b) be similar, in the groups of the smaller."""
+        ok = np.zeros(len(a), bool)
+        least = np.minimum(self.groups[a], self.groups[b])
+        for g in np.unique(least):
+            pairs = np.flatnonzero(least == g)
+            which, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+            p = self.fold(which, int(g))
+            x, y = at[: len(pairs)], at[len(pairs) :]
+            step = max(1, (1 << 22) // int(g))
+            for lo in range(0, len(pairs), step):
+                c = slice(lo, lo + step)
+                bound = np.minimum(p[x[c]], p[y[c]]).sum(1)
+                ok[pairs[c]] = _enough(bound, self.size[a[pairs[c]]] + self.size[b[pairs[c]]], percent)
+        return ok
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A row for each document's set; at the end, a row for each frequent counter of the task's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -62,15 +108,12 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             for salt in (U(0), U(0x5851F42D4C957F2D)):
                 total = np.concatenate([np.zeros(1, U), np.cumsum(mix(key ^ salt), dtype=U)])
                 sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            points = np.bincount(row * GROUPS + (key % U(GROUPS)).astype(np.int64), minlength=src.n * GROUPS).astype("<u4")
-            body = points.tobytes()
-            width = 4 * GROUPS
             counters += np.bincount((key >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counters))
             cols = [batch.column("doc_id").slice(src.first, src.n), pa.array(n, pa.int64()), *(pa.array(s) for s in sums)]
-            cols += [pa.array([body[i * width : (i + 1) * width] for i in range(src.n)], pa.binary()), pa.nulls(src.n, pa.int32()), pa.nulls(src.n, pa.int64())]
+            cols += [pa.array(_points_of(row, key, n), pa.binary()), pa.nulls(src.n, pa.int32()), pa.nulls(src.n, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names)
     mean = counters.mean()
-    slot = np.flatnonzero(counters > 16 + mean + 8 * np.sqrt(mean))
+    slot = np.flatnonzero(counters > 1 + mean + 6 * np.sqrt(mean))
     cols = [pa.nulls(len(slot), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
     yield pa.RecordBatch.from_arrays([*cols, pa.array(slot, pa.int32()), pa.array(counters[slot])], names)
 
@@ -103,10 +146,6 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, level: np
             yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(node[row[use]].view(np.int64))], ["t", "node"])
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
-
-
 def _enough(bound: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     """Whether an overlap of ``bound`` can reach the similarity: bound / (sizes - bound) >= percent / 100."""
     return (100 + percent) * bound >= percent * sizes
@@ -114,19 +153,22 @@ def _enough(bound: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
 
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b = _points(batch.column("pa")), _points(batch.column("pb"))
-        ok = _enough(np.minimum(a, b).sum(1), a.sum(1) + b.sum(1), percent)
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)), batch.column("b").filter(pa.array(ok))], ["a", "b"])
+        for lo in range(0, batch.num_rows, 2000):
+            part = batch.slice(lo, 2000)
+            points = Points(part.column("pa").to_pylist() + part.column("pb").to_pylist())
+            n = part.num_rows
+            ok = pa.array(points.passing(np.arange(n), n + np.arange(n), percent))
+            yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], ["a", "b"])
 
 
-def tree_pairs(points: np.ndarray, percent: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tree_pairs(of: Points, percent: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i of ``left``, j of ``right``) whose bound passes, by an R-tree over the points of ``right``.
 
     Leaves pack points by size and then by their largest group; a node keeps the
     coordinate maxima and the least size of its points, and is entered by the
     points of ``left`` for which the bound against these passes.
     """
-    size = points.sum(1)
+    points, size = of.coarse, of.size
     order = right[np.lexsort((points[right].argmax(1), size[right]))]
     top = [(points[order], size[order])]
     while len(top[-1][1]) > 1:
@@ -151,13 +193,35 @@ def tree_pairs(points: np.ndarray, percent: int, left: np.ndarray, right: np.nda
     return who, order[node]
 
 
-def _tile_join(group: pa.Table, percent: int) -> pa.Table:
-    """Pairs of different components in one tile pair (i, j) of a block."""
-    node, comp, tile = (np.asarray(group.column(c)) for c in ("node", "comp", "tile"))
-    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-    points = _points(group.column("point"))
-    a, b = tree_pairs(points, percent, np.flatnonzero(tile == i), np.flatnonzero(tile == j))
-    ok = (comp[a] != comp[b]) & ((node[a] < node[b]) if i == j else True)
+def _join_blocks(group: pa.Table, percent: int) -> pa.Table:
+    """Distinct pairs of different components from some tile pairs (t, i, j) of blocks."""
+    t, i, j, tile, node, comp = (np.asarray(group.column(c)).astype(np.int64) for c in ("t", "i", "j", "tile", "node", "comp"))
+    _, first, number = np.unique(node, return_index=True, return_inverse=True)
+    points = Points(group.column("point").take(pa.array(first)).to_pylist())
+    node, comp = node[first], comp[first]
+    order = np.lexsort((j, i, t))
+    cuts = np.flatnonzero((np.diff(t[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+    small: list[np.ndarray] = []
+    pairs = []
+    for part in np.split(order, cuts):
+        if i[part[0]] == j[part[0]]:
+            who = np.unique(number[part])
+            if len(who) <= SMALL:
+                small.append(who)
+                continue
+            a, b = tree_pairs(points, percent, who, who)
+        else:
+            a, b = tree_pairs(points, percent, np.unique(number[part[tile[part] == i[part[0]]]]), np.unique(number[part[tile[part] == j[part[0]]]]))
+        pairs.append(np.minimum(a, b) * len(node) + np.maximum(a, b))
+    for size in {len(w) for w in small}:  # all small blocks of a size at once
+        x, y = np.triu_indices(size, 1)
+        blocks = np.unique(np.stack([w for w in small if len(w) == size]), axis=0)
+        pairs.append(np.unique((blocks[:, x] * len(node) + blocks[:, y]).ravel()))
+    code = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    a, b = code // len(node), code % len(node)
+    differ = comp[a] != comp[b]
+    a, b = a[differ], b[differ]
+    ok = points.passing(a, b, percent)
     a, b = node[a[ok]], node[b[ok]]
     return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
@@ -210,6 +274,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     keys = docs.mapInArrow(partial(_prefixes, k=k, percent=percent, level=level), "t long, node long")
     least = keys.groupBy("t").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("t", "pivot")
     blocks = cut(keys.join(least, "t"), "blocks")
+    release(docs.sparkSession)
     point = nodes.select("s1", "node", "point")
 
     def known(pairs: DataFrame, side: str, name: str) -> DataFrame:
@@ -220,18 +285,21 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     links = cut(_verify(stars, docs, k, percent), "links")
     roots = cut(components(links), "roots")
 
-    members = blocks.select("t", F.col("node").alias("s1")).distinct().join(point, "s1").join(roots, "node", "left")
-    members = members.select("t", "node", "point", F.coalesce("root", "node").alias("comp"))
-    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
+    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(point, "s1").join(roots, "node", "left")
+    members = members.select("t", "pivot", "node", "point", F.coalesce("root", "node").alias("comp"))
+    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")).filter("lo < hi")
+    split = split.groupBy("size", "sign").agg(F.min("t").alias("t"))
     mixed = members.join(split.select("t", F.expr(f"cast(ceil(size / {TILE}) as int)").alias("k")), "t")
     mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
     met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
-    mixed = mixed.withColumn("ij", F.explode(met)).select("t", "node", "point", "comp", "tile", "ij.i", "ij.j")
+    mixed = mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "point", "comp", "tile", "ij.i", "ij.j")
+    # Blocks with the same least node mostly hold the same pairs, so they meet in one task.
+    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).alias("bucket")
 
     def join(group: pa.Table) -> pa.Table:
-        return _tile_join(group, percent)
+        return _join_blocks(group, percent)
 
-    rest = mixed.groupBy("t", "i", "j").applyInArrow(join, "a long, b long").distinct()
+    rest = mixed.withColumn("bucket", deal).groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
     more = cut(_verify(rest, docs, k, percent), "links")
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more)), "roots")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license, mixing, quality
+from . import fixity, license, mixing, quality
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -155,4 +155,20 @@ from chosen
 """
 
 
-SQL = {"op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+FIXITY = f"""
+with records as (
+  select page_id, coalesce(url, '') as url,
+    ('0x' || substr(md5(coalesce(page_id::varchar, '') || ' ' || coalesce(url, '')), 1, 8))::bigint % greatest(1, ((select count(*) from pages) + {fixity.FILE_RECORDS - 1}) // {fixity.FILE_RECORDS}) as file,
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as record
+  from pages),
+short as (select page_id, url, file, strlen(record)::bigint as length, sha256(record) as record_sha256 from records),
+placed as (select *, row_number() over (partition by file order by page_id nulls first, url, length, record_sha256) - 1 as position from short)
+select page_id, file::bigint as file, position::bigint as position,
+  coalesce(sum(length) over (partition by file order by position rows between unbounded preceding and 1 preceding), 0)::bigint as offset, length, record_sha256,
+  case when page_id % {fixity.DAMAGED} = 0 then 'corrupt' else 'ok' end as status
+from placed
+"""
+
+SQL = {"op7_warc_fixity": FIXITY, "op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .fixity import archive, audit, damaged
 from .jaccard import jaccard_join
 from .license import license_scan
 from .mixing import mixed
@@ -52,6 +53,12 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a stored copy, with known damage, against the records as they were written."""
+    records = archive(table(spark, sf_dir, "pages"))
+    return audit(records, cut(damaged(records), "replica"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -69,7 +76,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op8_toxicity, op9_source_mixing, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k]
     return {f.__name__: f for f in found}
 
 

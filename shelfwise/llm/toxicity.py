@@ -375,3 +375,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score for every document."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return text.mapInArrow(partial(_score, model=model), "doc_id long, best double, score double")
+
+
+def _keep(batches: Iterator[pa.RecordBatch], model: Model, below: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ok = np.ones(batch.num_rows, bool)
+        for src in texts(batch.column("text")):
+            best = best_of(src, model) if model.table is not None else np.full(src.n, NO_WORDS)
+            ok[src.first : src.first + src.n] = model.probability(best) < below
+        yield batch.filter(pa.array(ok))
+
+
+def keep_clean(docs: DataFrame, model: Model, below: float = PREDICT) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is under ``below``."""
+    return docs.mapInArrow(partial(_keep, model=model, below=below), docs.schema)
