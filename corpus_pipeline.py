@@ -3,9 +3,9 @@
 Every stage is a function of (spark, docs, sf_dir). All but the last return
 the columns of ``documents``; the last returns the packed pieces.
 
-Defined results: nulls, empty texts, repeated rows and extra columns behave as
-the operators' docstrings say; rows without an id are never near duplicates;
-an empty table gives no rows.
+Defined results: nulls, empty texts and repeated rows behave as the operators'
+docstrings say; rows without an id are never near duplicates; columns beyond
+those of ``documents`` are dropped; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from shelfwise.llm.toxicity import PREDICT, keep_clean, train
 
 #: Ids up to this many are broadcast to pick rows; more are joined by shuffle.
 BROADCAST_IDS = 200_000
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "word_bpe_49k.json"
 END_OF_PIECE = 0
 
@@ -36,11 +37,13 @@ def _small(ids: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
+    docs = docs.select(COLUMNS)
     return keep_clean(docs, train(docs, table(spark, sf_dir, "labels")), PREDICT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each component."""
+    docs = docs.select(COLUMNS)
     found = cut(jaccard_join(docs), "near_duplicates")
     if found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("doc_id is not null and n > 1").limit(1).count():
         whole = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
@@ -51,20 +54,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated passages; those left without a word go."""
+    docs = docs.select(COLUMNS)
     found = cut(remove_repeats(docs).filter("n_removed > 0").select("doc_id", "tag", "n_words", "n_removed", "kept_text"), "substrings_removed")
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     marked = docs.withColumns({"_key": key, "_tag": F.xxhash64("text")})
     changed = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_key"), F.col("tag").alias("_tag"), "kept_text").dropDuplicates(["_key", "_tag"])
     ids = cut(changed.select("_key", "_tag"), "substring_ids")
-    same = marked.join(_small(ids), ["_key", "_tag"], "left_anti").select(docs.columns)
+    same = marked.join(_small(ids), ["_key", "_tag"], "left_anti").select(COLUMNS)
     new = marked.drop("text").join(changed.filter("kept_text != ''"), ["_key", "_tag"])
     new = new.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)})
-    return same.unionByName(new.select(docs.columns))
+    return same.unionByName(new.select(COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled by their cells' calibrated probabilities."""
-    return mixed(docs).filter("_kept").select(docs.columns)
+    docs = docs.select(COLUMNS)
+    return mixed(docs).filter("_kept").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

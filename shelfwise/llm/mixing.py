@@ -7,8 +7,9 @@ stand in most documents; a document's topic is the leader it holds most often
 raked: scaled in turn so that the sums by source, by language and by topic
 meet their targets, until they hold together. Targets are given shares, or
 the tempered token shares share ** TEMPER, renormalised. A document is then
-kept with probability weight / tokens of its cell, scaled so that the largest
-is 1: the expected tokens have the raked shares.
+kept with probability min(1, s * weight / tokens of its cell), where s is such
+that a share ``KEEP`` of all tokens is expected: the expected tokens have the
+raked shares but for cells that would need more tokens than they hold.
 
 Only word counts, cell sums and the final lookup touch the documents; raking
 runs on the cells, which catalogues bound, in partitions sized by their count.
@@ -32,6 +33,7 @@ TOPICS = 8
 LONG = 6
 TEMPER = 0.7
 ROUNDS = 10
+KEEP = 0.8
 DIMENSIONS = ("source", "lang", "topic")
 #: Cells up to this many rows are looked up by broadcast; more by a shuffle join.
 BROADCAST_CELLS = 100_000
@@ -93,15 +95,22 @@ def rake(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return cells
 
 
-def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, rounds: int = ROUNDS) -> DataFrame:
+def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
     """(_source, _lang, _topic) -> tokens, probability, from documents that ``described`` has described."""
     cells = cut(docs.groupBy("_source", "_lang", "_topic").agg(F.sum("_words").alias("tokens")), "cells")
     parts = -(-max(1, cells.count()) // 100_000)
     filled = cut(with_targets(cells.filter("tokens > 0"), targets, temper).repartition(parts), "targets")
     raked = rake(filled.repartition(parts).withColumn("w", F.col("tokens").cast("double")), rounds)
-    ratio = raked.select("_source", "_lang", "_topic", (F.col("w") / F.col("tokens")).alias("ratio"))
-    top = ratio.agg(F.max("ratio").alias("_top")).withColumn("_one", F.lit(1))
-    fitted = ratio.join(top, F.lit(1) == F.col("_one")).select("_source", "_lang", "_topic", F.round(F.col("ratio") / F.col("_top"), 9).alias("probability"))
+    ratio = raked.select("_source", "_lang", "_topic", "tokens", "w", (F.col("w") / F.col("tokens")).alias("ratio"))
+    # The tokens expected at scale s, sum(min(tokens, s * w)), is the least of the lines that cap the first j cells by
+    # falling ratio, so s is the greatest of the solutions of these lines.
+    order = Window.orderBy(F.desc("ratio"), "_source", "_lang", "_topic")
+    capped = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    free = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing))
+    aim = F.lit(keep) * F.sum("tokens").over(Window.partitionBy(F.lit(1)))
+    scale = ratio.select(((aim - capped) / free).alias("s")).agg(F.max("s").alias("_s")).withColumn("_one", F.lit(1))
+    p = F.round(F.least(F.lit(1.0), F.col("_s") * F.col("ratio")), 9)
+    fitted = ratio.join(scale, F.lit(1) == F.col("_one")).select("_source", "_lang", "_topic", p.alias("probability"))
     return cells.join(fitted, ["_source", "_lang", "_topic"], "left").withColumn("probability", F.coalesce("probability", F.lit(1.0)))
 
 
@@ -111,11 +120,11 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS) -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
     """``docs`` with _source, _lang, _topic, _words, _probability and _kept."""
     terms = leaders(docs)
     labelled = described(docs, terms)
-    fitted = cut(probabilities(labelled, targets, temper, rounds), "probabilities")
+    fitted = cut(probabilities(labelled, targets, temper, rounds, keep), "probabilities")
     fitted = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
     fitted = fitted.select("_source", "_lang", "_topic", F.col("probability").alias("_probability"))
     out = labelled.join(fitted, ["_source", "_lang", "_topic"])

@@ -147,7 +147,11 @@ cells as (select source, lang, topic, sum(n_words)::bigint as tokens from docs g
 {shares},
 start as (select c.*, t_source, t_lang, t_topic, tokens::double as w from cells c join share_source using (source) join share_lang using (lang) join share_topic using (topic) where tokens > 0),
 {(","+chr(10)).join(steps)},
-fitted as (select source, lang, topic, round((w / tokens) / max(w / tokens) over (), 9) as p from {last}),
+scaled as (
+  select *, ({mixing.KEEP} * sum(tokens) over () - coalesce(sum(tokens) over (order by w / tokens desc, source, lang, topic rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (order by w / tokens desc, source, lang, topic rows between current row and unbounded following) as s
+  from {last}),
+fitted as (select source, lang, topic, round(least(1.0, max(s) over () * (w / tokens)), 9) as p from scaled),
 chosen as (select doc_id, topic, n_words, coalesce(p, 1.0) as p from docs left join fitted using (source, lang, topic))
 select doc_id, topic, n_words, round(p, 6) as probability,
   ('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || ':{seed}'), 1, 13))::bigint::double / 4503599627370496.0 < p as kept
