@@ -21,8 +21,8 @@ joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 Defined results: a null, empty or wordless text has the empty set and is
 linked with nothing; a text of fewer than k words has its whole sequence as its one
 shingle; repeated rows share a component; of rows that repeat an id with other
-texts the least text is compared; rows without an id share their set's
-component but link nothing by themselves; extra columns are ignored; an empty
+texts the least text is compared; rows without an id have the component
+of an equal set's row that has one, or none; extra columns are ignored; an empty
 table gives no rows. Not every link of a component is listed: members of one
 component are not compared further.
 """
@@ -193,12 +193,13 @@ def tree_pairs(of: Points, percent: int, left: np.ndarray, right: np.ndarray) ->
     return who, order[node]
 
 
-def _join_blocks(group: pa.Table, percent: int) -> pa.Table:
-    """Distinct pairs of different components from some tile pairs (t, i, j) of blocks."""
+def _join_blocks(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
+    """Distinct pairs of different components from some tile pairs (t, i, j) of blocks; ``known`` has their nodes' points."""
     t, i, j, tile, node, comp = (np.asarray(group.column(c)).astype(np.int64) for c in ("t", "i", "j", "tile", "node", "comp"))
     _, first, number = np.unique(node, return_index=True, return_inverse=True)
-    points = Points(group.column("point").take(pa.array(first)).to_pylist())
     node, comp = node[first], comp[first]
+    of = np.argsort(np.asarray(known.column("id")).astype(np.int64))  # the same nodes, once each
+    points = Points(known.column("p").take(pa.array(of)).to_pylist())
     order = np.lexsort((j, i, t))
     cuts = np.flatnonzero((np.diff(t[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
     small: list[np.ndarray] = []
@@ -270,7 +271,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     level[hot["slot"].to_numpy(np.int64)] = np.log2(np.maximum(hot["hits"].to_numpy(np.float64), 1)).astype(np.uint8)
 
     nodes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("point").alias("point"))
-    nodes = cut(nodes, "nodes")
+    nodes = cut(nodes.filter("node is not null"), "nodes")
     keys = docs.mapInArrow(partial(_prefixes, k=k, percent=percent, level=level), "t long, node long")
     least = keys.groupBy("t").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("t", "pivot")
     blocks = cut(keys.join(least, "t"), "blocks")
@@ -285,21 +286,25 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     links = cut(_verify(stars, docs, k, percent), "links")
     roots = cut(components(links), "roots")
 
-    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(point, "s1").join(roots, "node", "left")
-    members = members.select("t", "pivot", "node", "point", F.coalesce("root", "node").alias("comp"))
-    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")).filter("lo < hi")
+    ids = nodes.select("s1", "node")
+    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(ids, "s1").join(roots, "node", "left")
+    members = cut(members.select("t", "pivot", "node", F.coalesce("root", "node").alias("comp")), "members")
+    sign = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")
+    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), sign).filter("lo < hi")
     split = split.groupBy("size", "sign").agg(F.min("t").alias("t"))
     mixed = members.join(split.select("t", F.expr(f"cast(ceil(size / {TILE}) as int)").alias("k")), "t")
     mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
     met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
-    mixed = mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "point", "comp", "tile", "ij.i", "ij.j")
-    # Blocks with the same least node mostly hold the same pairs, so they meet in one task.
+    # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
     deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).alias("bucket")
+    mixed = cut(mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j").select(deal, "t", "node", "comp", "tile", "i", "j"), "mixed")
+    point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
+    needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id")
 
-    def join(group: pa.Table) -> pa.Table:
-        return _join_blocks(group, percent)
+    def join(group: pa.Table, known: pa.Table) -> pa.Table:
+        return _join_blocks(group, known, percent)
 
-    rest = mixed.withColumn("bucket", deal).groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
+    rest = mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(join, "a long, b long").distinct()
     more = cut(_verify(rest, docs, k, percent), "links")
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more)), "roots")

@@ -78,9 +78,8 @@ def with_targets(cells: DataFrame, targets: dict[str, dict[str, float]] | None,
             cells = cells.withColumn(f"t_{c}", F.coalesce(F.element_at(given, F.col(key)), F.lit(0.0)))
             continue
         sums = cells.groupBy(key).agg(F.pow(F.sum("tokens").cast("double"), F.lit(temper)).alias("_p"))
-        total = sums.agg(F.sum("_p").alias("_all"))
-        share = sums.join(total.withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one")).select(key, (F.col("_p") / F.col("_all")).alias(f"t_{c}"))
-        cells = cells.join(share, key)
+        total = sums.agg(F.sum("_p")).first()[0]
+        cells = cells.join(sums.select(key, (F.col("_p") / F.lit(total)).alias(f"t_{c}")), key)
     return cells
 
 
@@ -108,9 +107,9 @@ def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None =
     capped = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     free = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing))
     aim = F.lit(keep) * F.sum("tokens").over(Window.partitionBy(F.lit(1)))
-    scale = ratio.select(((aim - capped) / free).alias("s")).agg(F.max("s").alias("_s")).withColumn("_one", F.lit(1))
-    p = F.round(F.least(F.lit(1.0), F.col("_s") * F.col("ratio")), 9)
-    fitted = ratio.join(scale, F.lit(1) == F.col("_one")).select("_source", "_lang", "_topic", p.alias("probability"))
+    scale = ratio.select(((aim - capped) / free).alias("s")).agg(F.max("s")).first()[0]
+    p = F.round(F.least(F.lit(1.0), F.lit(scale) * F.col("ratio")), 9)
+    fitted = ratio.select("_source", "_lang", "_topic", p.alias("probability"))
     return cells.join(fitted, ["_source", "_lang", "_topic"], "left").withColumn("probability", F.coalesce("probability", F.lit(1.0)))
 
 

@@ -95,7 +95,7 @@ class Contexts:
         n = len(g)
         best = g.copy()
         at = np.arange(n)
-        for j in range(1, window - phrase + 1):
+        for j in range(1, min(window - phrase + 1, n)):
             less = g[j:] < best[: n - j]
             best[: n - j][less] = g[j:][less]
             at[: n - j][less] = np.arange(j, n)[less]

@@ -128,7 +128,7 @@ class Words:
         """Hash of the k words from each word on; only places with ``at + k <= count`` are meant."""
         n = len(h)
         out = np.zeros(n, U)
-        for j in range(k):
+        for j in range(min(k, n)):
             out[: n - j] += mix(h[j:] + _PLACE[j])
         return mix(out)
 
