@@ -44,7 +44,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, upper_b
 
     ``upper_bound`` is a row count already measured for the input ``df`` derives
     from (a key set has at most as many rows as its table). Without one, the
-    check is a ``limit(max_rows + 1).count()`` job over the (small,
+    check is a count (partial sums, no rows move) over the (small,
     column-pruned) side only; its verdict is remembered per analysed plan for
     the session, so a key set used by several joins is counted once.
     """
@@ -52,7 +52,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, upper_b
         return F.broadcast(df)
     key = (*_plan_key(df), max_rows)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = df.count() <= max_rows
     return F.broadcast(df) if _CHECKED[key] else df
 
 

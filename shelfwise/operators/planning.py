@@ -217,8 +217,9 @@ def target_cover(stock: DataFrame, sold: DataFrame, products: DataFrame, targets
     )
     if by_type_bound is not None:
         by_type = bounded_broadcast(by_type, upper_bound=by_type_bound)
-    out = base.join(by_type, ["shop_id", "type_id"], "left")
-    return out.drop("group_id", "type_id")
+    by_type = by_type.withColumnsRenamed({"shop_id": "_shop", "type_id": "_type"})
+    same = (F.col("shop_id") == F.col("_shop")) & F.col("type_id").eqNullSafe(F.col("_type"))  # an unknown type is a type of its own
+    return base.join(by_type, same, "left").drop("group_id", "type_id", "_shop", "_type")
 
 
 def rebalance_stock(

@@ -144,8 +144,9 @@ def audit_sample(
     sample = source.select(key, *compare).withColumn("_h", h).orderBy("_h").limit(n)
     keys = sample.select(key)
     t = target.join(bounded_broadcast(keys, n, upper_bound=n), key, "left_semi").select(
-        key, *[F.col(c).alias(f"t_{c}") for c in compare]
+        key, *[F.col(c).alias(f"t_{c}") for c in compare], F.lit(True).alias("_found")
     )
     j = sample.join(t, key, "left")
-    checks = [F.col(c).eqNullSafe(F.col(f"t_{c}")).alias(f"{c}_match") for c in compare]
-    return j.select(key, *checks, F.col(f"t_{compare[0]}").isNotNull().alias("found"))
+    found = F.coalesce("_found", F.lit(False))
+    checks = [(found & F.col(c).eqNullSafe(F.col(f"t_{c}"))).alias(f"{c}_match") for c in compare]
+    return j.select(key, *checks, found.alias("found"))

@@ -9,11 +9,13 @@ of all keys with all months.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import closed_range
 from ..functions.expr import month_trunc, year_trunc
 from .keys import bounded_broadcast, known_rows
 
@@ -122,9 +124,18 @@ def sales_summary(fact: DataFrame, a: str = "shop_id", b: str = "group_id") -> D
     )
 
 
+def touched_range(start: str, end: str) -> tuple[str, str]:
+    """The whole months that a closed day window touches, as a closed day range."""
+    from ..functions.dates import month_bounds
+
+    lo, hi = month_bounds(start, end)
+    after = (hi.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    return str(lo), str(after - dt.timedelta(days=1))
+
+
 def agg_incremental(
     current: DataFrame,
-    delta_fact: DataFrame,
+    fact: DataFrame,
     keys: Sequence[str],
     start: str,
     end: str,
@@ -132,16 +143,14 @@ def agg_incremental(
 ) -> DataFrame:
     """Upkeep of a monthly summary after a reload of the window ``start..end``.
 
-    Every month the window touches is *replaced* by the delta's totals (a
-    reload never adds twice, and a month the reload found empty is emptied);
-    other months keep their stored totals. The replaced months are known from
-    the window, so keeping the rest is a plain (prunable) filter, not a join.
-    Equal to a full rebuild when the delta holds every row of those months.
+    Every month the window touches is summed anew from ``fact``, which must
+    hold all rows of these months (``touched_range``), also those before a window that
+    starts mid-month; a month found empty is emptied; other months keep their
+    stored totals. The touched months are known from the window, so keeping
+    the rest is a plain (prunable) filter, not a join. Equal to a full rebuild.
     """
-    from ..functions.dates import month_bounds
-
-    lo, hi = month_bounds(start, end)
+    lo, hi = touched_range(start, end)
     m = F.col("month")
     outside = (m < F.lit(lo).cast("timestamp_ntz")) | (m > F.lit(hi).cast("timestamp_ntz"))
-    new = monthly(delta_fact, keys, date_col)
+    new = monthly(fact.where(closed_range(date_col, lo, hi)), keys, date_col)
     return current.where(outside).unionByName(new)

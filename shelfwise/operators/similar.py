@@ -1,17 +1,15 @@
 """Product embeddings: append, first-by-product, exact cosine top-k search.
 
 ``similar_products`` is exact and never materialises query × candidate pairs
-as rows: the (size-checked) query matrix is broadcast, every task scores its
-slice of the catalogue with one matrix product and keeps only the k best per
-query, and a final per-query ranking merges those partial top-k lists
-(``k × tasks`` rows per query at most). Query sets above the bound are cut
-into chunks by a hash of their id and processed chunk by chunk.
+as rows: catalogue and queries are packed into blocks on the executors, a
+meeting of two blocks is one matrix product that keeps the k best per query
+(rounded score, then smaller id), and a final per-query ranking merges these
+lists (``k × blocks`` rows per query at most).
 """
 
 from __future__ import annotations
 
 import sys
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,7 +21,7 @@ from pyspark.sql import functions as F
 # not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_QUERY_ROWS = 4096  # query vectors broadcast per pass (x dims x 8 bytes)
+MAX_QUERY_ROWS = 4096  # vectors of a block (x dims x 8 bytes)
 SCORE_DECIMALS = 9  # ranking precision: equal at 1e-9 -> smaller id first
 
 
@@ -55,46 +53,40 @@ def l2_norm(c) -> F.Column:
     return F.sqrt(F.aggregate(col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def _scorer(qids: np.ndarray, qmat: np.ndarray, k: int, exclude_self: bool):
-    qn = qmat / np.linalg.norm(qmat, axis=1, keepdims=True)
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row for a block of vectors: its ids and its matrix as bytes."""
+    mat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
+    return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "ids": [pdf["id"].to_numpy().astype(np.int64).tobytes()],
+                         "mat": [mat.tobytes()], "dims": [mat.shape[1]]})
+
+
+def _unit(ids: bytes, mat: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    i = np.frombuffer(ids, np.int64)
+    m = np.frombuffer(mat, np.float64).reshape(len(i), dims)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return i, m / np.where(norm == 0, 1, norm)
+
+
+def _block_top(ids: np.ndarray, unit: np.ndarray, qids: np.ndarray, qunit: np.ndarray, k: int, exclude_self: bool) -> pd.DataFrame:
+    """The k best of a block for each query, by rounded score and then the smaller id."""
+    sims = np.round(qunit @ unit.T, SCORE_DECIMALS)
+    if exclude_self:
+        sims[qids[:, None] == ids[None, :]] = -np.inf
+    kk = min(k, len(ids))
+    bar = np.partition(sims, len(ids) - kk, axis=1)[:, len(ids) - kk][:, None]
+    q, c = np.nonzero((sims >= bar) & np.isfinite(sims))  # the k best and all that tie with the last of them
+    order = np.lexsort((ids[c], -sims[q, c], q))
+    q, c = q[order], c[order]
+    place = np.arange(len(q)) - np.searchsorted(q, q)
+    q, c = q[place < k], c[place < k]
+    return pd.DataFrame({"query_id": qids[q], "id": ids[c], "score": sims[q, c]})
 
-    def score(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf["id"].to_numpy()
-            mat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(mat, axis=1, keepdims=True)
-            sims = (mat / norms) @ qn.T  # candidates x queries
-            if exclude_self:
-                sims[ids[:, None] == qids[None, :]] = -np.inf
-            kk = min(k, len(ids))
-            top = np.argpartition(-sims, kk - 1, axis=0)[:kk]  # kk x queries
-            rows_q = np.repeat(np.arange(len(qids))[None, :], kk, axis=0).ravel()
-            cand = top.ravel()
-            s = sims[cand, rows_q]
-            keep = np.isfinite(s)
-            yield pd.DataFrame(
-                {"query_id": qids[rows_q[keep]], "id": ids[cand[keep]], "score": s[keep]}
-            )
-
-    return score
-
-
-def _search_chunk(catalog: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
-    rows = queries.select("query_id", "embedding").collect()  # bounded by MAX_QUERY_ROWS
-    if not rows:
-        return catalog.sparkSession.createDataFrame([], "query_id long, id long, score double")
-    qids = np.array([r[0] for r in rows], dtype=np.int64)
-    qmat = np.array([r[1] for r in rows], dtype=np.float64)
-    sc = catalog.sparkSession.sparkContext
-    bq = sc.broadcast((qids, qmat))
-
-    def run(batches):
-        q_ids, q_mat = bq.value
-        yield from _scorer(q_ids, q_mat, k, exclude_self)(batches)
-
-    return catalog.select("id", "embedding").mapInPandas(run, "query_id long, id long, score double")
+
+def _blocks(df: DataFrame, id_col: str, rows: int) -> tuple[DataFrame, int]:
+    """(block, ids, mat, dims) rows of about ``rows`` vectors each, dealt by a hash of the id."""
+    n = max(1, -(-df.count() // rows))
+    dealt = df.select(F.pmod(F.xxhash64(id_col), F.lit(n)).alias("block"), F.col(id_col).cast("long").alias("id"), "embedding")
+    return dealt.groupBy("block").applyInPandas(_pack, "block long, ids binary, mat binary, dims int"), n
 
 
 def similar_products(
@@ -107,16 +99,22 @@ def similar_products(
     """Top-k catalogue rows by cosine similarity for each query vector.
 
     ``catalog``: (id, embedding); ``queries``: (query_id, embedding).
-    Output: query_id, rank, id, score (rounded to 6 places).
+    Output: query_id, rank, id, score (rounded to 6 places). Catalogue and
+    queries are packed into blocks on the executors; each query block meets
+    each catalogue block once, and only the k best rows of a meeting go on.
     """
-    n = queries.count()
-    chunks = max(1, -(-n // max_query_rows))
-    parts = []
-    for i in range(chunks):
-        q = queries if chunks == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(chunks)) == i)
-        parts.append(_search_chunk(catalog, q, k, exclude_self))
-    partial = reduce(DataFrame.unionByName, parts)
-    w = Window.partitionBy("query_id").orderBy(F.round("score", SCORE_DECIMALS).desc(), F.col("id"))
-    ranked = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    cat, n = _blocks(catalog, "id", MAX_QUERY_ROWS)
+    asked, _ = _blocks(queries, "query_id", max_query_rows)
+    asked = asked.select(F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"), F.col("dims").alias("q_dims"))
+    met = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))).join(cat, "block")
+
+    def search(batches):
+        for pdf in batches:
+            for r in pdf.itertuples():
+                yield _block_top(*_unit(r.ids, r.mat, r.dims), *_unit(r.q_ids, r.q_mat, r.q_dims), k, exclude_self)
+
+    found = met.mapInPandas(search, "query_id long, id long, score double")
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
+    ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "id",
                          F.round("score", 6).alias("score"))

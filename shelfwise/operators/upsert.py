@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,13 +78,14 @@ def merge(
         new = dedupe_latest(new, keys, order)
     o = old.withColumn("_in_old", F.lit(True))
     n = new.select(*cols).withColumn("_in_new", F.lit(True))
-    o = o.select([F.col(c).alias(c if c in keys else f"o_{c}") for c in o.columns])
-    n = n.select([F.col(c).alias(c if c in keys else f"n_{c}") for c in n.columns])
-    j = o.join(n, keys, "full")
+    o = o.select([F.col(c).alias(f"o_{c}") for c in o.columns])
+    n = n.select([F.col(c).alias(f"n_{c}") for c in n.columns])
+    # Null-safe: a row with a NULL key part meets itself on a re-run instead of being added again.
+    j = o.join(n, reduce(Column.__and__, [F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}")) for k in keys]), "full")
     out = []
     for c in cols:
         if c in keys:
-            out.append(F.col(c))
+            out.append(F.coalesce(f"o_{c}", f"n_{c}").alias(c))
         elif c in updates:
             out.append(F.when(F.col("n__in_new"), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c))
         else:
@@ -167,7 +169,7 @@ def write_months(
     # rebalance: AQE splits a hot month across writers instead of one task per month.
     w = back.hint("rebalance", "sell_month")
     if sort_by:
-        w = w.sortWithinPartitions(*sort_by)
+        w = w.sortWithinPartitions("sell_month", *sort_by)  # the partitioned writer keeps this order
     (
         w.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")

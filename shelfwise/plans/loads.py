@@ -20,7 +20,7 @@ from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.aggregates import observed
 from ..operators.keys import bounded_broadcast, fk_flags, fk_nullify, fk_semi_filter, remember_rows
-from ..operators.upsert import conform, merge, publish_snapshot, read_snapshot, upsert_months, write_months
+from ..operators.upsert import conform, dedupe_latest, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
 
 # Fixed load timestamp used by the registered queries (never the wall clock in tests).
@@ -359,6 +359,7 @@ def run_load(
             return
         b, obs = observed(conform(batch, spec, now), spec.name)
         if reset:
+            b = dedupe_latest(b, spec.keys)  # a merge would keep one row a key as well
             write_months(spark, f"{root}/{spec.name}", b, spec, sort_by=["shop_id", "sell_date"], replace_all=True)
         else:
             upsert_months(spark, f"{root}/{spec.name}", b, spec, now, sort_by=["shop_id", "sell_date"])

@@ -16,6 +16,7 @@ LATER = "2026-02-01 00:00:00"
 # Upsert scenario: the target holds an earlier load, the batch an overlapping later one.
 OLD_END = "1999-12-31"
 NEW_START = "1999-01-01"
+RELOAD_START = "1999-01-15"
 
 # Restricted valid sets that make the membership tests bite on the driver data.
 ACTIVE_ONLY = "active = 'Y'"

@@ -178,9 +178,9 @@ AUDIT_SEED = "2026"
 
 @register(
     "audit_sample",
-    f"""select s.id, (s.shop_id is not distinct from t.shop_id) as shop_id_match,
-              (s.sell_date is not distinct from t.sell_date) as sell_date_match,
-              t.shop_id is not null as found
+    f"""select s.id, t.id is not null and (s.shop_id is not distinct from t.shop_id) as shop_id_match,
+              t.id is not null and (s.sell_date is not distinct from t.sell_date) as sell_date_match,
+              t.id is not null as found
        from (select id, shop_id, sell_date from v_sell
              order by md5(cast(id as varchar) || '|{AUDIT_SEED}') limit 100) s
        left join t_upserted t on s.id = t.id""",

@@ -104,10 +104,10 @@ def q_agg_incremental(spark, sf):
     d = dom(spark, sf)
     t = full(spark, sf)
     old = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.FULL_START, P.OLD_END, t.branches, t.products, t.suppliers)
-    delta = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.NEW_START, P.FULL_END, t.branches, t.products,
-                               t.suppliers)
+    lo, hi = SR.touched_range(P.RELOAD_START, P.FULL_END)  # the reload begins mid-month
+    touched = L.load_sell_detail(d.v_sell_detail, d.v_sell, lo, hi, t.branches, t.products, t.suppliers)
     current = SR.monthly(old, ["shop_id", "product_id"])
-    return SR.agg_incremental(current, delta, ["shop_id", "product_id"], P.NEW_START, P.FULL_END)
+    return SR.agg_incremental(current, touched, ["shop_id", "product_id"], P.RELOAD_START, P.FULL_END)
 
 
 @register(

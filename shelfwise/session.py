@@ -8,6 +8,7 @@ cluster. Only tests and the local bench set it, and only when it is unset.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -104,7 +105,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use ``spark.checkpoint.dir`` when the cluster names it; otherwise (tests, a
-    local check) set the context's checkpoint folder once, to ``fallback``.
+    local check) set the context's checkpoint folder once, to ``fallback``, or in
+    a single-process session to a new temporary folder; a cluster must name one.
 
     ``spark.checkpoint.dir`` is a static setting, so only the context folder is
     set at runtime; ``checkpoint_root`` reads either.
@@ -118,6 +120,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if not sc.getCheckpointDir():
         import tempfile
 
+        if not fallback and not re.fullmatch(r"local(\[[0-9*]+\])?", sc.master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set; executors share no machine-local folder")
         path = fallback or tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         os.makedirs(path, exist_ok=True)
         sc.setCheckpointDir(path)

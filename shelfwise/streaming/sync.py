@@ -13,11 +13,13 @@ through sinks that survive a replayed micro-batch:
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..session import checkpoint_root, path_exists
@@ -33,16 +35,19 @@ def file_stream(spark: SparkSession, directory: str, schema: StructType, glob: s
     return r.parquet(directory)
 
 
-def _checkpoint(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/streams/{name}/{uuid.uuid4().hex}"
+def _checkpoint(spark: SparkSession, name: str, target: str) -> str:
+    """One folder per stream and target: a restarted stream resumes where it stopped."""
+    return f"{checkpoint_root(spark)}/streams/{name}/{hashlib.sha256(target.encode()).hexdigest()[:32]}"
 
 
-def _run(writer, available_now: bool, interval: str) -> None:
+def _run(writer, available_now: bool, interval: str) -> StreamingQuery:
+    """Runs what is there and waits, or starts the service; the handle shows failures of the latter."""
     q = (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
     if available_now:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
+    return q
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -67,7 +72,7 @@ def stream_delta_sync(
     template: DataFrame,
     available_now: bool = True,
     interval: str = "1 minute",
-) -> None:
+) -> StreamingQuery:
     """Poll a source directory; each micro-batch is transformed and upserted (latest ``seq`` wins).
 
     ``template`` gives the target's columns. The target is hash-bucketed by key
@@ -79,8 +84,8 @@ def stream_delta_sync(
         new = latest_by_key(transform(batch), keys, seq)
         upsert_bucketed(spark, target_root, new, keys, seq, template)
 
-    w = source.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "delta_sync"))
-    _run(w, available_now, interval)
+    w = source.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "delta_sync", target_root))
+    return _run(w, available_now, interval)
 
 
 STATE_BUCKETS = 64  # hash buckets of keyed streaming state (files rewritten per batch: touched buckets only)
@@ -109,14 +114,16 @@ def upsert_bucketed(spark: SparkSession, root: str, batch: DataFrame, keys: Sequ
     partition overwrite, so the state is never read and overwritten by the
     same job, and a replayed batch re-writes identical rows.
     """
-    b = batch.withColumn("_bucket", _bucket(keys, buckets))
+    b = batch.withColumn("_bucket", _bucket(keys, buckets)).persist()  # read for the bucket list and for the merge
     touched = [r[0] for r in b.select("_bucket").distinct().collect()]
     if not touched:
+        b.unpersist()
         return
     cur = read_bucketed(spark, root, template, touched).withColumn("_bucket", _bucket(keys, buckets))
     merged = latest_by_key(cur.unionByName(b.select(*cur.columns)), [*keys, "_bucket"], seq)
     staged = f"{checkpoint_root(spark)}/stage/state/{uuid.uuid4().hex}"
     merged.write.parquet(staged)
+    b.unpersist()
     (
         spark.read.parquet(staged).repartition("_bucket").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(root)
@@ -134,7 +141,7 @@ def stream_cdc_apply(
     template: DataFrame | None = None,
     available_now: bool = True,
     interval: str = "1 minute",
-) -> None:
+) -> StreamingQuery:
     """Apply a change feed: last change per key wins; deletes are kept as tombstones in the
     state so that an older, late upsert cannot resurrect a deleted key."""
 
@@ -142,8 +149,8 @@ def stream_cdc_apply(
         last = latest_by_key(batch, keys, seq)
         upsert_bucketed(spark, state_root, last, keys, seq, template if template is not None else last)
 
-    w = changes.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "cdc"))
-    _run(w, available_now, interval)
+    w = changes.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "cdc", state_root))
+    return _run(w, available_now, interval)
 
 
 def cdc_table(spark: SparkSession, state_root: str, template: DataFrame, op_col: str = "op",
@@ -162,7 +169,7 @@ def stream_late_data(
     delay: str = "7 days",
     available_now: bool = True,
     interval: str = "1 minute",
-) -> None:
+) -> StreamingQuery:
     """Insert-only feed with late and repeated rows: watermark + dedupe within it, appended to files.
 
     ``withWatermark`` needs a zoned ``timestamp``; driver timestamps read as
@@ -173,10 +180,10 @@ def stream_late_data(
     w = (
         dedup.writeStream.format("parquet")
         .option("path", out_path)
-        .option("checkpointLocation", _checkpoint(spark, "late"))
+        .option("checkpointLocation", _checkpoint(spark, "late", out_path))
         .outputMode("append")
     )
-    _run(w, available_now, interval)
+    return _run(w, available_now, interval)
 
 
 def stream_stock(
@@ -188,7 +195,7 @@ def stream_stock(
     template: DataFrame,
     available_now: bool = True,
     interval: str = "1 minute",
-) -> None:
+) -> StreamingQuery:
     """Running totals per key (state store, update mode); each batch upserts the changed keys.
 
     The state store holds the totals, so an updated key's row simply replaces
@@ -206,6 +213,6 @@ def stream_stock(
     w = (
         running.writeStream.outputMode("update")
         .foreachBatch(apply)
-        .option("checkpointLocation", _checkpoint(spark, "stock"))
+        .option("checkpointLocation", _checkpoint(spark, "stock", target_root))
     )
-    _run(w, available_now, interval)
+    return _run(w, available_now, interval)
