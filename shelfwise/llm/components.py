@@ -12,15 +12,23 @@ from pyspark.sql import functions as F
 from .store import cut
 
 
+#: Links up to this many are worked on in one partition, where no step needs a shuffle; more in hash partitions.
+ONE_PARTITION = 200_000
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Hangs the larger (or no larger) neighbours of every node on its least neighbour."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if large:
+        both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")
+        both = edges.select(both).select("e.a", "e.b")
+    else:
+        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
     joined = both.join(least, "a")
     if large:
         out = joined.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        out = joined.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
@@ -29,8 +37,11 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.select("a", "b").filter(F.col("a") != F.col("b")).distinct(), "edges")
     mark = None
     while True:
-        now = cut(_star(_star(now, True), False), "edges")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if mark == seen or not seen[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        n = now.count()
+        seen = (n, now.agg(F.sum(F.xxhash64("a", "b") % (1 << 40))).first()[0])
+        if mark == seen or not n:
+            pair = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("root")), F.struct(F.col("b").alias("node"), F.col("b").alias("root")))
+            return now.select(F.explode(pair).alias("e")).select("e.node", "e.root").distinct()
         mark = seen
+        dealt = now.coalesce(1) if n <= ONE_PARTITION else now
+        now = cut(_star(_star(dealt, True), False), "edges")

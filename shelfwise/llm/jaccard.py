@@ -13,9 +13,10 @@ last. A shingle that several nodes have among these is a block.
 First each node of a block is tried against the block's least node (a star);
 surviving pairs of the bound are verified on the whole sets. Blocks whose
 nodes still lie in different components then join in full: an R-tree over
-their points finds the pairs of different components whose bound passes, and
-these are verified too. Pairs left untried are in one component already, so
-no link between components is lost. Of blocks with the same nodes one is
+their points finds the pairs whose bound passes, and these are verified node
+by node where the texts of a few blocks lie together, but for pairs that have
+come into one component by then; so no link between components is lost and
+a large group of near copies does not verify all its pairs. Of blocks with the same nodes one is
 joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 
 Defined results: a null, empty or wordless text has the empty set and is
@@ -43,7 +44,7 @@ from .text import U, mix, shingles, texts
 
 GROUPS, MOST_GROUPS = 32, 4096
 SKETCH_BITS = 22
-TILE = 1000
+TILE = 500
 LEAF = 32
 #: Blocks of at most so many nodes are a leaf of their own.
 SMALL = 32
@@ -193,13 +194,65 @@ def tree_pairs(of: Points, percent: int, left: np.ndarray, right: np.ndarray) ->
     return who, order[node]
 
 
-def _join_blocks(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
-    """Distinct pairs of different components from some tile pairs (t, i, j) of blocks; ``known`` has their nodes' points."""
+class Sets:
+    """The shingle sets of some texts, as runs of codes."""
+
+    def __init__(self, column: pa.ChunkedArray, k: int):
+        found = [(r + s.first, x) for s in texts(column) for r, x in [shingles(s.lowered().words(), k)]]
+        row, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        known, self.code = np.unique(key, return_inverse=True)
+        self.first = np.searchsorted(row, np.arange(len(column) + 1))
+        self.size = np.diff(self.first)
+        self.mark = np.zeros(len(known), np.int64)
+
+    def shared(self, a: int, others: np.ndarray) -> np.ndarray:
+        """Shingles that set ``a`` has in common with each of the others, none of them empty."""
+        mine = self.code[self.first[a] : self.first[a + 1]]
+        self.mark[mine] = 1
+        size = self.size[others]
+        begin = np.cumsum(size) - size
+        at = np.repeat(self.first[others] - begin, size) + np.arange(size.sum())
+        out = np.add.reduceat(self.mark[self.code[at]], begin)
+        self.mark[mine] = 0
+        return out
+
+
+def link_pairs(sets: Sets, comp: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Verified pairs (a, b) that join the components of ``comp``; every similar pair ends in one component."""
+    root = {int(c): int(c) for c in np.unique(comp)}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    cuts = np.flatnonzero(np.diff(a)) + 1
+    out: list[tuple[int, int]] = []
+    for part in np.split(np.arange(len(a)), cuts):
+        if not len(part):
+            continue
+        x = int(a[part[0]])
+        mine = find(int(comp[x]))
+        others = np.array([y for y in b[part].tolist() if find(int(comp[y])) != mine], np.int64)
+        for lo in range(0, len(others), 512):
+            some = others[lo : lo + 512]
+            for y in some[_enough(sets.shared(x, some), sets.size[x] + sets.size[some], percent)].tolist():
+                if find(int(comp[y])) != find(int(comp[x])):
+                    root[find(int(comp[y]))] = find(int(comp[x]))
+                    out.append((x, y))
+    return tuple(np.array(out, np.int64).reshape(-1, 2).T)
+
+
+def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
+    """Links that join components in some tile pairs (t, i, j) of blocks; ``known`` has their nodes' points and texts."""
     t, i, j, tile, node, comp = (np.asarray(group.column(c)).astype(np.int64) for c in ("t", "i", "j", "tile", "node", "comp"))
     _, first, number = np.unique(node, return_index=True, return_inverse=True)
     node, comp = node[first], comp[first]
-    of = np.argsort(np.asarray(known.column("id")).astype(np.int64))  # the same nodes, once each
-    points = Points(known.column("p").take(pa.array(of)).to_pylist())
+    of = pa.array(np.argsort(np.asarray(known.column("id")).astype(np.int64)))  # the same nodes, once each
+    points = Points(known.column("p").take(of).to_pylist())
     order = np.lexsort((j, i, t))
     cuts = np.flatnonzero((np.diff(t[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
     small: list[np.ndarray] = []
@@ -223,8 +276,10 @@ def _join_blocks(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
     differ = comp[a] != comp[b]
     a, b = a[differ], b[differ]
     ok = points.passing(a, b, percent)
-    a, b = node[a[ok]], node[b[ok]]
-    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+    a, b = a[ok], b[ok]
+    if len(a):
+        a, b = link_pairs(Sets(known.column("text").take(of), k), comp, a, b, percent)
+    return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
 
 
 def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -248,13 +303,18 @@ def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterat
             yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], ["a", "b"])
 
 
+def _texts(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """id, text of the documents of ``ids``, one row each."""
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    text = docs.select(F.col("doc_id").alias("id"), "text").join(few, "id")
+    return cut(text.groupBy("id").agg(F.min("text").alias("text")), name)
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b: document ids of nodes) that link. The many-partner side b travels once, to its partner a."""
     pairs = cut(pairs, "pairs")
-    ids = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "pair_ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    text = docs.select(F.col("doc_id").alias("id"), "text").join(few, "id")
-    text = cut(text.groupBy("id").agg(F.min("text").alias("text")), "pair_texts")
+    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair_ids")
+    text = _texts(docs, ids, "pair_texts")
     b = pairs.join(text.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     both = b.join(text.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     return both.select("a", "b", "ta", "tb").mapInArrow(partial(_verified, k=k, percent=percent), "a long, b long")
@@ -298,14 +358,14 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
     deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).alias("bucket")
     mixed = cut(mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j").select(deal, "t", "node", "comp", "tile", "i", "j"), "mixed")
-    point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
-    needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id")
+    ids = cut(mixed.select(F.col("node").alias("id")).distinct(), "mixed_ids")
+    known = nodes.select(F.col("node").alias("id"), F.col("point").alias("p")).join(_texts(docs, ids, "mixed_texts"), "id")
+    needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(known, "id")
 
     def join(group: pa.Table, known: pa.Table) -> pa.Table:
-        return _join_blocks(group, known, percent)
+        return _join_blocks(group, known, k, percent)
 
-    rest = mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(join, "a long, b long").distinct()
-    more = cut(_verify(rest, docs, k, percent), "links")
+    more = cut(mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more)), "roots")
     label = nodes.select("s1", "s2", "n", "node").join(roots, "node", "left").select("s1", "s2", "n", F.coalesce("root", "node").alias("component_id"))
