@@ -235,7 +235,10 @@ def _table(idx: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _landmarks(idx: np.ndarray, weight: np.ndarray, k: int) -> list[int]:
     """Farthest-first choice of windows by kernel cosine."""
-    norm = np.sqrt(np.array([(_table(i[None], g[None])[i] * g).sum() for i, g in zip(idx, weight, strict=True)]))
+    norm = np.empty(len(idx))
+    for lo in range(0, len(idx), 500):
+        i, g = idx[lo : lo + 500], weight[lo : lo + 500]
+        norm[lo : lo + 500] = np.sqrt(((i[:, :, None] == i[:, None, :]) * g[:, :, None] * g[:, None, :]).sum((1, 2)))
     use = np.flatnonzero(norm > 0)
     idx, weight, norm = idx[use], weight[use], norm[use]
     chosen: list[int] = []
