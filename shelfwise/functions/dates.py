@@ -27,14 +27,15 @@ def ts_lit(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
-def closed_range(c, start: str, end: str) -> Column:
-    """``c >= start 00:00:00 AND c <= end 23:59:59`` (the source's closed day range).
+def closed_range(c, start: str | None, end: str | None) -> Column:
+    """``c >= start 00:00:00 AND c <= end 23:59:59`` (the source's closed day range); None is no bound.
 
     The upper bound is the literal last second of ``end``; on data with
     sub-second precision ``23:59:59.5`` falls outside, as in the source.
     """
     col = F.col(c) if isinstance(c, str) else c
-    return (col >= ts_lit(f"{start} 00:00:00")) & (col <= ts_lit(f"{end} {END_OF_DAY}"))
+    low = col >= ts_lit(f"{start} 00:00:00") if start else F.lit(True)
+    return low & (col <= ts_lit(f"{end} {END_OF_DAY}")) if end else low
 
 
 def month_bounds(start: str, end: str) -> tuple[dt.date, dt.date]:

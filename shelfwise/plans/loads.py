@@ -20,11 +20,11 @@ from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.aggregates import observed
 from ..operators.keys import bounded_broadcast, fk_flags, fk_nullify, fk_semi_filter, remember_rows
+from ..operators.quality import dlq
 from ..operators.upsert import conform, dedupe_latest, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
 
 # Fixed load timestamp used by the registered queries (never the wall clock in tests).
-DEFAULT_NOW = "2026-01-01 00:00:00"
 
 
 # -- masters ------------------------------------------------------------------
@@ -172,46 +172,40 @@ def load_stock_targets(setting: DataFrame, branches: DataFrame, dims: dict | Non
 
 
 # -- sales facts ------------------------------------------------------------------
-def load_sell(sell: DataFrame, start: str, end: str, branches: DataFrame) -> DataFrame:
+def load_sell(sell: DataFrame, start: str | None, end: str | None, branches: DataFrame) -> DataFrame:
     """Headers in the closed day range; unknown shop -> NULL (row kept)."""
     h = sell.where(closed_range("sell_date", start, end)).select("id", "shop_id", "sell_date")
     return fk_nullify(h, {"shop_id": branches})
 
 
-# A short (daily / repair) window's headers are broadcast when at most this many (id + date: ~100 MB hashed).
+# Headers of a window are broadcast when at most this many (id + date: ~100 MB hashed).
 HEADER_BROADCAST_ROWS = 5_000_000
-HEADER_BROADCAST_MAX_DAYS = 62
 
 
-def join_detail_header(detail: DataFrame, sell: DataFrame, start: str, end: str,
-                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS,
-                       broadcast_max_days: int = HEADER_BROADCAST_MAX_DAYS) -> DataFrame:
+def join_detail_header(detail: DataFrame, sell: DataFrame, start: str | None, end: str | None,
+                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS) -> DataFrame:
     """Details of headers in range, carrying the header's date (detail keeps its own shop).
 
-    The raw detail has no date, so the range lives on the header. A daily or
-    repair window (at most ``broadcast_max_days``) selects a small slice of the
-    headers: under the checked row bound they are broadcast and the detail is
-    scanned once and never shuffled. Long windows (full reloads) select most
-    headers, so they stay a sort-merge join. The shuffle then spreads the work,
-    and Spark's runtime bloom filter from the filtered header still prunes
-    detail rows before it.
+    The raw detail has no date, so the range lives on the header. For a bounded
+    range one aggregate over the headers gives the range of their ids, which is
+    pushed into the detail scan, and their number, which decides whether they
+    are broadcast. Without bounds every header counts, and both sides meet in a shuffle join.
     """
-    import datetime as dt
-
     h = sell.where(closed_range("sell_date", start, end)).select(
         F.col("id").alias("_hid"), F.col("sell_date")
     )
-    days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
-    if days <= broadcast_max_days:
-        h = bounded_broadcast(h, header_broadcast_rows)
+    if start or end:
+        lo, hi, n = h.agg(F.min("_hid"), F.max("_hid"), F.count("_hid")).first()
+        detail = detail.where(F.col("sell_id").between(lo, hi)) if n else detail.limit(0)
+        h = bounded_broadcast(h, header_broadcast_rows, upper_bound=n) if n <= header_broadcast_rows else h
     return detail.join(h, detail["sell_id"] == h["_hid"], "inner").drop("_hid")
 
 
 def load_sell_detail(
     detail: DataFrame,
     sell: DataFrame,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     branches: DataFrame,
     products: DataFrame,
     suppliers: DataFrame,
@@ -259,7 +253,7 @@ class Targets:
     sell_detail: DataFrame
 
 
-def build_targets(dom: Domain, start: str, end: str, now: str = DEFAULT_NOW,
+def build_targets(dom: Domain, start: str | None, end: str | None, now: str,
                   valid_shops: DataFrame | None = None, valid_products: DataFrame | None = None,
                   materialize: bool = False) -> Targets:
     """A fresh load; targets conform to their schemas.
@@ -316,20 +310,22 @@ def run_load(
     spark: SparkSession,
     dom: Domain,
     root: str,
-    mode: str = "daily",
-    as_of: str = "2026-01-01",
+    mode: str,
+    as_of: str,
     start: str | None = None,
     end: str | None = None,
     lookback_days: int | None = 7,
     reset: bool = False,
-    now: str = DEFAULT_NOW,
     dry_run: bool = False,
+    *,
+    now: str,
 ) -> dict:
     """Ordered batch load into ``root/<table>`` (masters as snapshots, facts by month).
 
     ``mode='full'`` forces a reset: every target is rebuilt into a fresh
     snapshot directory instead of merged. ``dry_run`` counts batches and
     writes nothing. Re-running the same window is idempotent (keyed upserts).
+    Settings whose dimension ids are unknown are published as ``root/dlq``, with reasons.
     Independent targets are written concurrently, in dependency waves; the
     returned ``counts`` are the rows each step loaded, observed during its write.
     """
@@ -392,11 +388,18 @@ def run_load(
         "detail": (put_fact, S.SELL_DETAIL,
                    load_sell_detail(dom.v_sell_detail, dom.v_sell, start, end, branches, products, suppliers)),
     })
+    rejects = dlq(stock_target_rejects(dom.v_setting, branches, dims), "stock_targets", ["shop_id", "product_group_id"])
+    if dry_run:
+        counts["dlq"] = rejects.count()
+    else:
+        rejects, obs = observed(rejects, "dlq")
+        publish_snapshot(spark, f"{root}/dlq", rejects)
+        counts["dlq"] = obs.get["rows"]
     return {"mode": mode, "start": start, "end": end, "reset": reset, "counts": counts}
 
 
-def run_full(spark: SparkSession, dom: Domain, root: str, start: str | None = None, end: str | None = None,
-             as_of: str = "2026-01-01", now: str = DEFAULT_NOW) -> dict:
+def run_full(spark: SparkSession, dom: Domain, root: str, as_of: str, start: str | None = None, end: str | None = None,
+             *, now: str) -> dict:
     """Full reload: reset forced."""
     return run_load(spark, dom, root, "full", as_of, start, end, reset=True, now=now)
 

@@ -1,12 +1,15 @@
 """Parameters of the registered queries (fixed so Spark and the oracle agree).
 
-The sales fact window spans the whole driver data (orders run 1995-01..2001-08);
-range operators are exercised with a narrower window whose bounds fall
+The sales facts are loaded whole; range operators are exercised with a narrower window whose bounds fall
 mid-data, which is the operator's purpose, not a row cap.
 """
 
-FULL_START = "1995-01-01"
-FULL_END = "2001-12-31"
+# None: no bound, whatever dates the data hold.
+FULL_START = None
+FULL_END = None
+# The calendar of dense series, and the window given to run_full.
+CAL_START = "1995-01-01"
+CAL_END = "2001-12-31"
 RANGE_START = "1996-03-01"
 RANGE_END = "1998-02-28"
 AS_OF = "2001-08-01"

@@ -54,8 +54,9 @@ def limited_products(t: L.Targets) -> DataFrame:
     return t.products.where(F.col("group_id") <= P.MAX_VALID_GROUP)
 
 
-def rng(col: str, start: str, end: str) -> str:
-    return f"{col} >= timestamp '{start} 00:00:00' and {col} <= timestamp '{end} 23:59:59'"
+def rng(col: str, start: str | None, end: str | None) -> str:
+    low = f"{col} >= timestamp '{start} 00:00:00'" if start else "true"
+    return f"{low} and {col} <= timestamp '{end} 23:59:59'" if end else low
 
 
 # Shared oracle CTEs for loaded targets.

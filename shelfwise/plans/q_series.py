@@ -34,7 +34,7 @@ GROUP_MONTHLY = """
     from t_fact_dims group by all"""
 CALENDAR = f"""
     select cast(m as timestamp) as month
-    from generate_series(timestamp '{P.FULL_START}', timestamp '{P.AS_OF[:8]}01', interval 1 month) t(m)"""
+    from generate_series(timestamp '{P.CAL_START}', timestamp '{P.AS_OF[:8]}01', interval 1 month) t(m)"""
 DENSE = """
     select k.shop_id, k.group_id, c.month, coalesce(g.qty, 0) as qty
     from (select distinct shop_id, group_id from t_group_monthly) k
@@ -54,7 +54,7 @@ def fact(spark, sf):
 
 def dense_groups(spark, sf):
     mon = SR.monthly(fact(spark, sf), GROUP_KEYS).select(*GROUP_KEYS, "month", "qty")
-    return SR.dense_monthly(mon, GROUP_KEYS, P.FULL_START, P.AS_OF)
+    return SR.dense_monthly(mon, GROUP_KEYS, P.CAL_START, P.AS_OF)
 
 
 @register(
@@ -104,10 +104,10 @@ def q_agg_incremental(spark, sf):
     d = dom(spark, sf)
     t = full(spark, sf)
     old = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.FULL_START, P.OLD_END, t.branches, t.products, t.suppliers)
-    lo, hi = SR.touched_range(P.RELOAD_START, P.FULL_END)  # the reload begins mid-month
+    lo, hi = SR.touched_range(P.RELOAD_START, P.CAL_END)  # the reload begins mid-month
     touched = L.load_sell_detail(d.v_sell_detail, d.v_sell, lo, hi, t.branches, t.products, t.suppliers)
     current = SR.monthly(old, ["shop_id", "product_id"])
-    return SR.agg_incremental(current, touched, ["shop_id", "product_id"], P.RELOAD_START, P.FULL_END)
+    return SR.agg_incremental(current, touched, ["shop_id", "product_id"], P.RELOAD_START, P.CAL_END)
 
 
 @register(

@@ -14,6 +14,7 @@ from shelfwise.operators import similar as SIM
 from shelfwise.operators.upsert import merge, write_months
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.streaming import sync as ST
+from shelfwise.plans.params import NOW
 from tests.conftest import rows
 
 
@@ -69,8 +70,8 @@ def test_full_load_keeps_one_row_a_key(spark, scratch, monkeypatch):
     doubled = SimpleNamespace(**{v: getattr(d, v) for v in ("v_shop", "v_company", "v_product", "v_stock_shop", "v_setting", "v_sell_detail")},
                               v_sell=d.v_sell.unionByName(d.v_sell))
     args = ("2001-08-01", "1996-01-01", "1996-02-28")
-    L.run_load(spark, doubled, f"{scratch}/daily", "repair", *args)
-    L.run_load(spark, doubled, f"{scratch}/full", "repair", *args, reset=True)
+    L.run_load(spark, doubled, f"{scratch}/daily", "repair", *args, now=NOW)
+    L.run_load(spark, doubled, f"{scratch}/full", "repair", *args, reset=True, now=NOW)
     got = [rows(spark.read.parquet(f"{scratch}/{m}/sell")) for m in ("daily", "full")]
     assert got[0] == got[1] and len(got[0]) > 0
 

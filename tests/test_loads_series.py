@@ -8,6 +8,7 @@ from shelfwise.operators import forecast as FC
 from shelfwise.operators import series as SR
 from shelfwise.plans import loads as L
 from shelfwise.sources.views import Domain
+from shelfwise.plans.params import NOW
 from tests.conftest import SF_SMALL, rows
 
 
@@ -80,14 +81,14 @@ def test_company_loaders(spark):
 def test_run_load_dry_run_and_idempotence(spark, scratch):
     d = Domain(spark, SF_SMALL)
     root = f"{scratch}/t"
-    dry = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30", dry_run=True)
+    dry = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30", dry_run=True, now=NOW)
     assert dry["counts"]["sell"] > 0
     import os
 
     assert not os.path.exists(root.replace("file:", ""))  # Q24: a real dry run writes nothing
-    first = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30")
+    first = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30", now=NOW)
     snap1 = rows(spark.read.parquet(f"{root}/sell_detail").drop("sell_month"))
-    again = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30")
+    again = L.run_load(spark, d, root, "repair", "2001-08-01", "1996-01-01", "1996-06-30", now=NOW)
     snap2 = rows(spark.read.parquet(f"{root}/sell_detail").drop("sell_month"))
     assert first["counts"] == again["counts"] == dry["counts"]  # rows per step, observed during the writes
     assert snap1 == snap2  # re-running the same window changes nothing
