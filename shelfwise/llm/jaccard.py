@@ -109,7 +109,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             for salt in (U(0), U(0x5851F42D4C957F2D)):
                 total = np.concatenate([np.zeros(1, U), np.cumsum(mix(key ^ salt), dtype=U)])
                 sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-            counters += np.bincount((key >> U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counters))
+            np.add.at(counters, (key >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
             cols = [batch.column("doc_id").slice(src.first, src.n), pa.array(n, pa.int64()), *(pa.array(s) for s in sums)]
             cols += [pa.array(_points_of(row, key, n), pa.binary()), pa.nulls(src.n, pa.int32()), pa.nulls(src.n, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: ``[^\x20\x09-\x0D]+``: bytes that stand between words.
 SPACE = np.zeros(256, bool)

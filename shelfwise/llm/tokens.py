@@ -19,7 +19,9 @@ import pyarrow as pa
 
 from .text import LOWER, SPACE, Texts, U, Words, texts
 
-CACHE_UNITS = 1 << 20
+CACHE_UNITS = 1 << 19
+#: Units handed to the tokenizer at once; it returns an object for each.
+CALL_UNITS = 4096
 
 _KIND = np.full(256, 3, np.uint8)  # 1 letter, 2 digit, 3 other
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -78,10 +80,12 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
 
     def _add(self, keys: np.ndarray, words: list[str]) -> None:
-        ids = [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        ids = []
+        for lo in range(0, len(words), CALL_UNITS):
+            ids += [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(words[lo : lo + CALL_UNITS], add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter((x for i in ids for x in i), np.uint32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, *ids])
         keys = np.concatenate([self.keys, keys])
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]

@@ -47,6 +47,8 @@ GAP = 0.6
 SPAN = 7
 STARTS = 3
 LENGTH, STRIDE = 24, 12
+#: Bytes of text whose words are held as letter rows at once.
+SLICE = 1 << 20
 BASE = 29
 POSITIVE, NEGATIVE, HARD = 1500, 3000, 2000
 LANDMARKS = 160
@@ -138,7 +140,7 @@ class Model:
 #: Value of a text without words.
 NO_WORDS = -3.0
 _SEEN: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-CACHE_WORDS = 2 << 20
+CACHE_WORDS = 1 << 20
 
 
 def best_of(src: Texts, model: Model) -> np.ndarray:
@@ -173,7 +175,7 @@ def best_of(src: Texts, model: Model) -> np.ndarray:
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for src in texts(batch.column("text")):
+        for src in texts(batch.column("text"), SLICE):
             best = best_of(src, model) if model.table is not None else np.full(src.n, NO_WORDS)
             cols = [batch.column("doc_id").slice(src.first, src.n), pa.array(best), pa.array(model.probability(best))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "best", "score"])
@@ -183,7 +185,7 @@ def _sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Each word of the sampled documents with a hash of its two neighbours."""
     for batch in batches:
         toxic = np.asarray(batch.column("toxic"))
-        for src in texts(batch.column("text")):
+        for src in texts(batch.column("text"), SLICE):
             row, letters = words_of(src)
             h = keys_of(letters)
             left, right = np.zeros(len(h), U), np.zeros(len(h), U)
@@ -370,7 +372,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for src in texts(batch.column("text")):
+        for src in texts(batch.column("text"), SLICE):
             yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(src.first, src.n), pa.array(best_of(src, model))], ["toxic", "best"])
 
 
@@ -383,7 +385,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def _keep(batches: Iterator[pa.RecordBatch], model: Model, below: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = np.ones(batch.num_rows, bool)
-        for src in texts(batch.column("text")):
+        for src in texts(batch.column("text"), SLICE):
             best = best_of(src, model) if model.table is not None else np.full(src.n, NO_WORDS)
             ok[src.first : src.first + src.n] = model.probability(best) < below
         yield batch.filter(pa.array(ok))
