@@ -45,7 +45,7 @@ def words() -> Column:
 
 def leaders(docs: DataFrame, topics: int = TOPICS, long: int = LONG) -> list[str]:
     """The words of at least ``long`` letters that stand in most documents."""
-    held = F.filter(F.array_distinct(words()), lambda w: F.length(w) >= long)
+    held = F.array_distinct(F.filter(words(), lambda w: F.length(w) >= long))
     counts = docs.select(F.explode(held).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     return [r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(topics).collect()]
 
@@ -56,15 +56,15 @@ def _times(term: str) -> Column:
 
 def described(docs: DataFrame, terms: list[str]) -> DataFrame:
     """``docs`` with _source, _lang, _topic and _words."""
-    all_words = words()
+    out = docs.withColumn("_w", words())  # a column of its own, so that texts are split once
     if terms:
-        known = F.filter(all_words, lambda w: w.isin(terms))
+        known = F.filter("_w", lambda w: (F.length(w) >= min(map(len, terms))) & w.isin(terms))
         # The leader with most occurrences, the earliest of equals: the maximum of (count, -place, leader).
         best = F.array_max(F.array(*[F.struct(_times(t).alias("n"), F.lit(-i).alias("p"), F.lit(t).alias("t")) for i, t in enumerate(terms)]))
         topic = F.when(F.size("_k") > 0, best["t"]).otherwise(F.lit(NONE))
     else:
         known, topic = F.expr("cast(array() as array<string>)"), F.lit(NONE)
-    out = docs.withColumns({"_words": F.size(all_words).cast("long"), "_k": known})
+    out = out.withColumns({"_words": F.size("_w").cast("long"), "_k": known}).drop("_w")
     keys = {f"_{c}": F.coalesce(F.col(c).cast("string"), F.lit(NONE)) for c in ("source", "lang")}
     return out.withColumns(keys | {"_topic": topic}).drop("_k")
 
@@ -119,10 +119,11 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP) -> DataFrame:
-    """``docs`` with _source, _lang, _topic, _words, _probability and _kept."""
-    terms = leaders(docs)
-    labelled = described(docs, terms)
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, with_text: bool = True) -> DataFrame:
+    """``docs`` (or their ids alone) with _source, _lang, _topic, _words, _probability and _kept."""
+    labelled = described(docs, leaders(docs))
+    if not with_text:  # then what is known of the texts is written once
+        labelled = cut(labelled.select("doc_id", "_source", "_lang", "_topic", "_words"), "described")
     fitted = cut(probabilities(labelled, targets, temper, rounds, keep), "probabilities")
     fitted = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
     fitted = fitted.select("_source", "_lang", "_topic", F.col("probability").alias("_probability"))

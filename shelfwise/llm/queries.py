@@ -66,7 +66,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = mixed(table(spark, sf_dir, "documents"))
+    docs = mixed(table(spark, sf_dir, "documents"), with_text=False)
     return docs.select("doc_id", F.col("_topic").alias("topic"), F.col("_words").alias("n_words"), F.round("_probability", 6).alias("probability"), F.col("_kept").alias("kept"))
 
 
