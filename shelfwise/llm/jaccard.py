@@ -246,8 +246,9 @@ def link_pairs(sets: Sets, comp: np.ndarray, a: np.ndarray, b: np.ndarray, perce
     return tuple(np.array(out, np.int64).reshape(-1, 2).T)
 
 
-def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
-    """Links that join components in some tile pairs (t, i, j) of blocks; ``known`` has their nodes' points and texts."""
+def _bounded_pairs(group: pa.Table, known: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """The nodes of some tile pairs (t, i, j) of blocks, their components, their rows in ``known``, and the pairs
+    (a, b) of places in these whose components differ and whose bound passes. ``known`` has the nodes' points."""
     t, i, j, tile, node, comp = (np.asarray(group.column(c)).astype(np.int64) for c in ("t", "i", "j", "tile", "node", "comp"))
     _, first, number = np.unique(node, return_index=True, return_inverse=True)
     node, comp = node[first], comp[first]
@@ -276,7 +277,19 @@ def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.T
     differ = comp[a] != comp[b]
     a, b = a[differ], b[differ]
     ok = points.passing(a, b, percent)
-    a, b = a[ok], b[ok]
+    return node, comp, of, a[ok], b[ok]
+
+
+def _bounded_nodes(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
+    """The nodes that stand in some pair whose bound passes, with their bucket."""
+    node, _, _, a, b = _bounded_pairs(group, known, percent)
+    some = node[np.unique(np.concatenate([a, b]))]
+    return pa.table({"to": pa.array(np.full(len(some), group.column("bucket")[0].as_py(), np.int64)), "id": pa.array(some)})
+
+
+def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
+    """Links that join components; ``known`` has the texts as well."""
+    node, comp, of, a, b = _bounded_pairs(group, known, percent)
     if len(a):
         a, b = link_pairs(Sets(known.column("text").take(of), k), comp, a, b, percent)
     return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
@@ -356,16 +369,23 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
     met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
     # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
-    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).alias("bucket")
+    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).cast("long").alias("bucket")
     mixed = cut(mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j").select(deal, "t", "node", "comp", "tile", "i", "j"), "mixed")
-    ids = cut(mixed.select(F.col("node").alias("id")).distinct(), "mixed_ids")
-    known = nodes.select(F.col("node").alias("id"), F.col("point").alias("p")).join(_texts(docs, ids, "mixed_texts"), "id")
-    needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(known, "id")
+    point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
+    needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id")
+
+    def bounded(group: pa.Table, known: pa.Table) -> pa.Table:
+        return _bounded_nodes(group, known, percent)
+
+    # Texts go only where a pair of the bucket passes the bound.
+    some = cut(mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(bounded, "to long, id long"), "bounded_nodes")
+    known = some.join(point, "id").join(_texts(docs, cut(some.select("id").distinct(), "mixed_ids"), "mixed_texts"), "id")
+    left = mixed.join(some.select(F.col("to").alias("bucket"), F.col("id").alias("node")), ["bucket", "node"], "left_semi")
 
     def join(group: pa.Table, known: pa.Table) -> pa.Table:
         return _join_blocks(group, known, k, percent)
 
-    more = cut(mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
+    more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
     if not more.isEmpty():
         roots = cut(components(links.unionByName(more)), "roots")
     label = nodes.select("s1", "s2", "n", "node").join(roots, "node", "left").select("s1", "s2", "n", F.coalesce("root", "node").alias("component_id"))
