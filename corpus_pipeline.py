@@ -67,9 +67,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by their cells' calibrated probabilities."""
+    """Documents sampled by their cells' calibrated probabilities, as many as meet the target shares."""
     docs = docs.select(COLUMNS)
-    return mixed(docs).filter("_kept").select(COLUMNS)
+    return mixed(docs, on_target=True).filter("_kept").select(COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

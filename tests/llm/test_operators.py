@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import fixity, simple8b
+from shelfwise.llm import fixity, mixing, simple8b
 from shelfwise.llm.jaccard import Points, jaccard_join, tree_pairs
 from shelfwise.llm.license import TEMPLATES, license_scan
 from shelfwise.llm.mixing import described, leaders, mixed, probabilities
@@ -297,6 +297,23 @@ def test_mixing_meets_targets(spark):
     assert kept.count() == pytest.approx(1200, rel=0.1)
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_mixing_on_target_with_production_parameters(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", broadcast)
+    r = random.Random(7)
+    rows = [(i, " ".join(r.choices(["corpus", "leader", "a", "b"], k=20)), "de" if r.random() < 0.1 else "en", "small" if r.random() < 0.1 else "big", 0, *[None] * 8) for i in range(3000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    cells = probabilities(described(docs, leaders(docs)), on_target=True).toPandas()
+    cells["w"] = cells.tokens * cells.probability
+    for c in ("_source", "_lang", "_topic"):
+        want = cells.groupby(c).tokens.sum() ** 0.7
+        share = cells.groupby(c).w.sum() / cells.w.sum()
+        assert (share - want / want.sum()).abs().max() < 1e-3
+    # As many tokens as the scarcest value of any dimension allows.
+    most = min((cells.groupby(c).tokens.sum() / (t := cells.groupby(c).tokens.sum() ** 0.7) * t.sum()).min() for c in ("_source", "_lang", "_topic"))
+    assert 0.64 * min(0.8 * cells.tokens.sum(), most) <= cells.w.sum() <= 1.001 * most
+
+
 def test_topk(spark):
     r = np.random.default_rng(2)
     vectors = r.normal(0, 0.2, (300, 16)).astype(np.float32)
