@@ -1,7 +1,8 @@
 """Licence scans: exact set-similarity join of text blocks with licence templates.
 
-A block is a line, in pieces of 64 words that overlap by 32. A block meets a
-template if it holds at least ``percent`` of the template's distinct words.
+A block is a piece of 64 words, which overlap by 32, of a line or of the whole
+text: every template has at most 32 words, so a notice that is wrapped over lines lies within
+one piece of the text. A block meets a template if it holds at least ``percent`` of the template's distinct words.
 Words are ordered by their frequency over all blocks of the corpus, rarest
 first. A block that meets a template of m words, c of which it needs, holds
 one of the template's first m - c + 1 words (prefix filter), holds at least c
@@ -99,17 +100,24 @@ class Index:
         return out
 
 
+def _pieces(begin: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, block) for the words of ``inside``: a block number per run of words, which begins at ``begin``, and piece."""
+    piece = (inside - begin[inside]) // STRIDE
+    base = begin[inside] * 2
+    word = np.concatenate([inside, inside[piece > 0]])
+    return word, np.concatenate([base + piece, (base + piece - 1)[piece > 0]])
+
+
 def _blocks(w: Words, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word, block) for the words of ``inside`` (word numbers): a block number per row, line and piece."""
+    """(word, block) for the words of ``inside`` (word numbers): a block number per row, line and piece, and per row of several lines and piece."""
     lines = np.flatnonzero(w.src.data == 0x0A)
     line = np.searchsorted(lines, w.start) + w.row  # rows part lines too
     first = np.ones(len(w), bool)
     first[1:] = line[1:] != line[:-1]
-    begin = np.maximum.accumulate(np.where(first, np.arange(len(w)), 0))
-    piece = (inside - begin[inside]) // STRIDE
-    base = begin[inside] * 2
-    word = np.concatenate([inside, inside[piece > 0]])
-    return word, np.concatenate([base + piece, (base + piece - 1)[piece > 0]])
+    word, block = _pieces(np.maximum.accumulate(np.where(first, np.arange(len(w)), 0)), inside)
+    wrapped = np.bincount(w.row[first], minlength=w.src.n) > 1  # of other rows, the text is the line
+    whole, more = _pieces(w.first[w.row], inside[wrapped[w.row[inside]]])
+    return np.concatenate([word, whole]), np.concatenate([block, more + 2 * len(w) + 2])
 
 
 def _count(batches: Iterator[pa.RecordBatch], vocabulary: list[str]) -> Iterator[pa.RecordBatch]:

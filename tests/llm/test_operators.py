@@ -249,6 +249,18 @@ def test_license(spark):
         assert (r["base_labels"], r["labels"], r["score"]) == (",".join(sorted(base)), ",".join(sorted(base | labels)), best)
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    rows = []
+    for label, t in TEMPLATES:
+        w = t.split()
+        for at in range(1, len(w)):
+            for before in (0, 31, 40, 63):
+                rows.append((len(rows), "filler " * before + " ".join(w[:at]) + "\n  * " + " ".join(w[at:]) + "\nother words", label, *[None] * 10))
+    rows.append((len(rows), "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "mit", *[None] * 10))
+    got = {r["doc_id"]: r for r in license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [r for r in rows if r[2] not in got[r[0]]["labels"].split(",") or got[r[0]]["score"] != 1] == []
+
+
 def test_fixity_locates_damage(spark):
     pages = spark.createDataFrame([(i, f"u{i % 50}", f"<p>{i}</p>") for i in range(300)] + [(None, None, None), (5, "u5", "<p>5</p>")], "page_id long, url string, html string").withColumn("file", F.lit("x"))
     records = fixity.archive(pages, file_records=64)
