@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fixity, license, mixing, quality
+from . import fixity, license, mixing, quality, winnowing
 
 _WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -175,4 +175,23 @@ select page_id, file::bigint as file, position::bigint as position,
 from placed
 """
 
-SQL = {"op7_warc_fixity": FIXITY, "op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+CONTAMINATION = rf"""
+with items as (select item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') as w from benchmark where item_id is not null),
+held as (
+  select distinct item_id, t, array_to_string(w[i:i + t - 1], ' ') as g
+  from (select item_id, w, least(len(w), {winnowing.SPAN}) as t, unnest(range(1, greatest(len(w) - {winnowing.SPAN}, 0) + 2)) as i from items where len(w) > 0)),
+words as (select doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') as w from documents),
+windows as (
+  select doc_id, t, i, array_to_string(w[i:i + t - 1], ' ') as g
+  from (select doc_id, w, t, unnest(range(1, len(w) - t + 2)) as i from words, (select distinct t from held) where len(w) >= t)),
+hits as (select doc_id, t, i, item_id from windows join held using (t, g)),
+gone as (select doc_id, count(distinct i + k)::bigint as n_hit from (select doc_id, i, unnest(range(0, t)) as k from hits) group by doc_id),
+found as (select doc_id, count(*)::bigint as n_items, sha256(string_agg(x, ',' order by x)) as h from (select distinct doc_id, item_id::varchar as x from hits) group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(h, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join gone using (doc_id) left join found using (doc_id)
+"""
+
+SQL = {"op11_benchmark_decontamination": CONTAMINATION, "op7_warc_fixity": FIXITY, "op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

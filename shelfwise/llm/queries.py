@@ -1,4 +1,4 @@
-"""The registered queries of this package: op1 to op10 and the pipeline."""
+"""The registered queries of this package: op1 to op13 and the pipeline."""
 
 from __future__ import annotations
 
@@ -20,6 +20,7 @@ from .substrings import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .topk import quantised, top_k
 from .toxicity import PREDICT, held_out, score, train
+from .winnowing import contamination
 
 VOCABULARY = "word_bpe_49k.json"
 END_OF_DOCUMENT = 1
@@ -75,8 +76,12 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k, op11_benchmark_decontamination]
     return {f.__name__: f for f in found}
 
 
