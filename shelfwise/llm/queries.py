@@ -20,6 +20,7 @@ from .substrings import remove_repeats
 from .token_output import read_tokens, write_tokens
 from .topk import quantised, top_k
 from .toxicity import PREDICT, held_out, score, train
+from .trie import prefix_trie
 from .winnowing import contamination
 
 VOCABULARY = "word_bpe_49k.json"
@@ -80,8 +81,12 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k, op11_benchmark_decontamination]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k, op11_benchmark_decontamination, op13_conversation_trie]
     return {f.__name__: f for f in found}
 
 
