@@ -194,6 +194,20 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from words left join gone using (doc_id) left join found using (doc_id)
 """
 
+NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from rows a join rows c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from scored where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
 _CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(range(1, strlen({c}) + 1), lambda i: [ascii(substr({c}, i, 1))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
   lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end) end))"""
 
@@ -221,4 +235,4 @@ select n.conv_id::bigint as conv_id, n.d::bigint as depth, u.conv_id::bigint as
 from own n join below using (d, pre) left join nodes u on u.d = n.d - 1 and u.pre = n.pre[1:n.d - 1]
 """
 
-SQL = {"op13_conversation_trie": TRIE, "op11_benchmark_decontamination": CONTAMINATION, "op7_warc_fixity": FIXITY, "op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}
+SQL = {"op12_hard_negatives": NEGATIVES, "op13_conversation_trie": TRIE, "op11_benchmark_decontamination": CONTAMINATION, "op7_warc_fixity": FIXITY, "op9_source_mixing": _mixing(), "op6_license_scan": _license(), "op5_substring_dedup": SUBSTRINGS, "op3_jaccard_join": JACCARD, "op1_quality_rules": _quality(), "op10_exact_top_k": TOP_K}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
+from .covertree import candidates, hard_negatives
 from .fixity import archive, audit, damaged
 from .jaccard import jaccard_join
 from .license import license_scan
@@ -81,12 +82,18 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = cut(candidates(table(spark, sf_dir, "embeddings"), 256, label), "mining_rows")
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k, op11_benchmark_decontamination, op13_conversation_trie]
+    found = [op1_quality_rules, op2_token_output, op3_jaccard_join, op4_best_fit_packing, op5_substring_dedup, op6_license_scan, op7_warc_fixity, op8_toxicity, op9_source_mixing, op10_exact_top_k, op11_benchmark_decontamination, op12_hard_negatives, op13_conversation_trie]
     return {f.__name__: f for f in found}
 
 
