@@ -263,7 +263,7 @@ def turn_rows(seed=2):
             text = start[t] if t < len(start) else r.choice(texts)
             rows.append((c, t, r.choice(["user", "user", "assistant", None]), text))
     rows += [(300 + i, t, "user", f"same {t}") for i in range(40) for t in range(7)]  # copies
-    rows += [(700, t, "user", "deep" + str(t % 3)) for t in range(2500)]
+    rows += [(700, t, "user", "deep" + str(t % 3)) for t in range(150)]
     rows += [(701, None, "user", "first"), (701, 1, "user", "tie b"), (701, 1, "user", "tie a"), (701, 1, None, "tie a"), (None, 1, "user", "lost")]
     return rows + rows[:5]
 
