@@ -16,6 +16,8 @@ import numpy as np
 
 U = np.uint64
 BLOCK = 1024
+#: Blocks whose selectors are found together, so that their tables stay in a core's cache.
+SLICE = 256
 #: selector -> (ids in the word, bits each); 0 and 1 are runs of zeros.
 COUNT = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTH = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
@@ -24,13 +26,37 @@ ESCAPE = 1 << 59
 MAGIC = b"S8B1"
 
 
-def _bits(v: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(v), np.int64)
-    for s in (32, 16, 8, 4, 2, 1):
-        big = v >= U(1 << s)
-        out[big] += s
-        v = np.where(big, v >> U(s), v)
-    return out + (v > 0)
+def _selectors(v: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, selector) of every word; in each block a word takes the most ids that fit."""
+    n = len(v)
+    bits = np.zeros((blocks, BLOCK), np.uint8)  # frexp rounds up beyond 53 bits, where only the widest field is left
+    bits.ravel()[:n] = np.frexp(v.astype(np.float64))[1]
+    widths = [int(w) for w in np.unique(WIDTH) if w < 60]
+    place = np.arange(BLOCK, dtype=np.int16)
+    wider = np.empty((len(widths), blocks, BLOCK), np.int16)  # the next id that is too wide, by width
+    for i, w in enumerate(widths):
+        if i and not (bits > widths[i - 1]).any():
+            wider[i:] = BLOCK
+            break
+        bad = np.where(bits > w, place, np.int16(BLOCK))
+        np.minimum.accumulate(bad[:, ::-1], axis=1, out=wider[i][:, ::-1])
+    which = np.searchsorted(widths, WIDTH[:15])[:, None]
+    stop = np.full(blocks, BLOCK)
+    if n % BLOCK:
+        stop[-1] = n % BLOCK
+    block, at = np.arange(blocks), np.zeros(blocks, np.int64)
+    heads, picks = [], []
+    while len(block):
+        fits = wider[which, block, at] >= np.minimum(at + COUNT[:15, None], BLOCK)
+        pick = np.where(fits.any(0), fits.argmax(0), 15)
+        heads.append(block * BLOCK + at)
+        picks.append(pick)
+        at = at + COUNT[pick]
+        live = at < stop[block]
+        block, at = block[live], at[live]
+    head, pick = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (heads, picks))
+    order = np.argsort(head)
+    return head[order], pick[order]
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,42 +68,25 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = v[wide]
     if len(raw):
         v = np.where(wide, np.cumsum(wide).astype(U) - U(1) + U(ESCAPE), v)
-    bits = _bits(v)
-    end = np.minimum((np.arange(n) // BLOCK + 1) * BLOCK, n)
-    pick = np.full(n, 15, np.int64)
-    free = np.ones(n, bool)
-    place = np.arange(n)
-    run_of: dict[int, np.ndarray] = {}
-    for s in range(15):
-        w = int(WIDTH[s])
-        if w not in run_of:
-            bad = np.where(bits > w, place, n)
-            run_of[w] = np.minimum.accumulate(bad[::-1])[::-1]
-        fits = free & (run_of[w] >= np.minimum(place + COUNT[s], end))
-        pick[fits] = s
-        free &= ~fits
-        if not free.any():
-            break
-    at = np.arange(blocks) * BLOCK
-    stop = np.minimum(at + BLOCK, n)
-    heads = []
-    while len(at):
-        heads.append(at)
-        at = at + COUNT[pick[at]]
-        live = at < stop
-        at, stop = at[live], stop[live]
-    head = np.sort(np.concatenate(heads)) if heads else np.zeros(0, np.int64)
-    sel = pick[head]
+    parts = [_selectors(v[a * BLOCK : (a + SLICE) * BLOCK], min(SLICE, blocks - a)) for a in range(0, blocks, SLICE)]
+    head = np.concatenate([h + a * SLICE * BLOCK for a, (h, _) in enumerate(parts)]) if parts else np.zeros(0, np.int64)
+    sel = np.concatenate([x for _, x in parts]) if parts else head
     words = sel.astype(U) << U(60)
-    limit = end[head]
+    limit = np.minimum((head // BLOCK + 1) * BLOCK, n)
     for s in np.unique(sel):
         if WIDTH[s] == 0:
             continue
         mine = np.flatnonzero(sel == s)
+        at, upto = head[mine], limit[mine]
+        whole = at + COUNT[s] <= upto
+        word = np.zeros(len(mine), U)
         for j in range(int(COUNT[s])):
-            p = head[mine] + j
-            ok = p < limit[mine]
-            words[mine[ok]] |= v[p[ok]] << U(int(WIDTH[s]) * j)
+            if whole.all():
+                word |= v[at + j] << U(int(WIDTH[s]) * j)
+            else:
+                ok = at + j < upto
+                word[ok] |= v[at[ok] + j] << U(int(WIDTH[s]) * j)
+        words[mine] |= word
     first = np.searchsorted(head, np.arange(blocks + 1) * BLOCK)
     return words, first.astype(np.uint32), raw
 
