@@ -74,7 +74,7 @@ def dense_monthly(
     end: str,
     value: str = "qty",
 ) -> DataFrame:
-    """Zero-filled monthly series for every key present, months ``start..end``.
+    """Zero-filled monthly series for every key present, months ``start..end`` (from the data's first month on, as a rule).
 
     One shuffle by key: each key's months are collected into a map (bounded by
     the calendar length), then the calendar is exploded from ``sequence``.
@@ -115,11 +115,16 @@ def sales_trend(dense: DataFrame, keys: Sequence[str], value: str = "qty") -> Da
     )
 
 
-def sales_summary(fact: DataFrame, a: str = "shop_id", b: str = "group_id") -> DataFrame:
-    """Totals by (a, b) with subtotals per a and a grand total (ROLLUP)."""
-    return fact.rollup(a, b).agg(
+def sales_summary(sums: DataFrame, a: str = "shop_id", b: str = "group_id") -> DataFrame:
+    """Totals by (a, b) with subtotals per a and a grand total.
+
+    ``sums`` has qty and n_lines; they are summed by (a, b) first, so the ROLLUP
+    expands these few rows and not every line.
+    """
+    pair = sums.groupBy(a, b).agg(F.sum("qty").alias("qty"), F.sum("n_lines").alias("n_lines"))
+    return pair.rollup(a, b).agg(
         F.sum("qty").alias("qty"),
-        F.count(F.lit(1)).alias("n_lines"),
+        F.sum("n_lines").alias("n_lines"),
         F.grouping_id(a, b).cast("int").alias("level"),
     )
 

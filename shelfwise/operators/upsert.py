@@ -185,8 +185,8 @@ def upsert_months(
     spec: TableSpec,
     now: str | None = None,
     sort_by: list[str] | None = None,
-) -> None:
-    """Upsert a fact batch into a month-partitioned table touching only its months.
+) -> list:
+    """Upsert a fact batch into a month-partitioned table touching only its months, which it returns.
 
     The conformed batch is computed once: it is staged under
     ``spark.checkpoint.dir`` partitioned by month, the touched months are read
@@ -201,10 +201,11 @@ def upsert_months(
     staged = spark.read.parquet(staged_path)
     months = [r[0] for r in staged.select("sell_month").distinct().collect()]
     if not months:
-        return
+        return []
     if path_exists(spark, root):
         # Partition discovery gives sell_month; the isin list prunes untouched months.
         old = spark.read.parquet(root).where(F.col("sell_month").isin(months)).select(*spec.columns)
     else:  # first load
         old = empty_target(spark, spec)
     write_months(spark, root, merge(old, staged.select(*spec.columns), spec.keys, spec.updates), spec, sort_by)
+    return months

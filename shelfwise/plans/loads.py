@@ -317,19 +317,20 @@ def run_load(
     lookback_days: int | None = 7,
     reset: bool = False,
     dry_run: bool = False,
+    whole: bool = False,
     *,
     now: str,
 ) -> dict:
     """Ordered batch load into ``root/<table>`` (masters as snapshots, facts by month).
 
     ``mode='full'`` forces a reset: every target is rebuilt into a fresh
-    snapshot directory instead of merged. ``dry_run`` counts batches and
+    snapshot directory instead of merged; ``whole`` does so without date bounds. ``dry_run`` counts batches and
     writes nothing. Re-running the same window is idempotent (keyed upserts).
     Settings whose dimension ids are unknown are published as ``root/dlq``, with reasons.
     Independent targets are written concurrently, in dependency waves; the
     returned ``counts`` are the rows each step loaded, observed during its write.
     """
-    mode, start, end = load_window(mode, as_of, start, end, lookback_days)
+    mode, start, end = ("full", None, None) if whole else load_window(mode, as_of, start, end, lookback_days)
     reset = reset or mode == "full"
     counts: dict[str, int] = {}
 
@@ -400,8 +401,8 @@ def run_load(
 
 def run_full(spark: SparkSession, dom: Domain, root: str, as_of: str, start: str | None = None, end: str | None = None,
              *, now: str) -> dict:
-    """Full reload: reset forced."""
-    return run_load(spark, dom, root, "full", as_of, start, end, reset=True, now=now)
+    """Full reload: reset forced. Without bounds every bill is loaded, whatever its date."""
+    return run_load(spark, dom, root, "full", as_of, start, end, reset=True, whole=start is None and end is None, now=now)
 
 
 def _empty(spark: SparkSession, spec: S.TableSpec) -> DataFrame:

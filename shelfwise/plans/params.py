@@ -7,9 +7,9 @@ mid-data, which is the operator's purpose, not a row cap.
 # None: no bound, whatever dates the data hold.
 FULL_START = None
 FULL_END = None
-# The calendar of dense series, and the window given to run_full.
-CAL_START = "1995-01-01"
-CAL_END = "2001-12-31"
+# A window given to load_window; loads and calendars follow the data.
+GIVEN_START = "1995-01-01"
+GIVEN_END = "2001-12-31"
 RANGE_START = "1996-03-01"
 RANGE_END = "1998-02-28"
 AS_OF = "2001-08-01"

@@ -143,12 +143,12 @@ def q_run_load(spark, sf):
     return _load_counts(spark, root)
 
 
-@register("run_full", _counts_sql(P.CAL_START, P.CAL_END), STOCK_CTES)
+@register("run_full", _counts_sql(P.FULL_START, P.FULL_END), STOCK_CTES)
 def q_run_full(spark, sf):
     root = scratch(spark, "targets")
     # A stale first run over a narrow window, then the full reload replaces everything.
     L.run_load(spark, dom(spark, sf), root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
-    L.run_full(spark, dom(spark, sf), root, P.AS_OF, P.CAL_START, P.CAL_END, now=P.NOW)
+    L.run_full(spark, dom(spark, sf), root, P.AS_OF, now=P.NOW)
     return _load_counts(spark, root)
 
 
@@ -157,7 +157,7 @@ WINDOW_CASES = (
     ("daily_zero_lookback", "daily", None, None, 0),
     ("repair_given", "repair", P.RANGE_START, P.RANGE_END, None),
     ("repair_default", "repair", None, None, None),
-    ("full_given", "full", P.CAL_START, P.CAL_END, None),
+    ("full_given", "full", P.GIVEN_START, P.GIVEN_END, None),
     ("unknown_mode", "weekly", None, None, 7),
 )
 # Expected windows for as_of 2001-08-01 (fixed values of the window rules).
@@ -169,7 +169,7 @@ WINDOW_SQL = " union all ".join(
         ("daily_zero_lookback", "daily", "2001-07-25", "2001-08-01"),
         ("repair_given", "repair", P.RANGE_START, P.RANGE_END),
         ("repair_default", "repair", "2001-07-25", "2001-08-01"),
-        ("full_given", "full", P.CAL_START, P.CAL_END),
+        ("full_given", "full", P.GIVEN_START, P.GIVEN_END),
         ("unknown_mode", "daily", "2001-07-25", "2001-08-01"),
     )
 )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +12,10 @@ from .. import schemas as S
 from ..functions.dates import clamp_probe_days, closed_range, lookback
 from ..functions.expr import default_if_empty, flag_to_bool, positive
 from ..operators import keys as K
+from ..operators import summary as SM
 from ..operators.upsert import conform, merge, upsert
-from ..session import session_key
+from ..session import scratch_path, session_key
+from ..sources.tables import read_fact_range
 from ..sources.views import Domain
 from . import loads as L
 from . import params as P
@@ -39,6 +44,36 @@ def full(spark: SparkSession, sf: str, now: str = P.NOW) -> L.Targets:
     return _MEMO[key]
 
 
+_LOCK = threading.Lock()
+
+
+@dataclass(frozen=True)
+class Stored:
+    """Targets written by a whole ``run_full``, and the monthly summary kept from them."""
+
+    root: str
+    summary: str
+    first_month: str | None
+
+
+def stored(spark: SparkSession, sf: str) -> Stored:
+    """The written targets and summary of a data directory (loaded once per session)."""
+    key = ("stored", session_key(spark), sf)
+    with _LOCK:
+        if key not in _MEMO:
+            ensure_scratch(spark)
+            root = scratch_path(spark, "stored")
+            L.run_full(spark, dom(spark, sf), root, P.AS_OF, now=P.NOW)
+            SM.refresh(spark, f"{root}/sell_detail", f"{root}/monthly")
+            _MEMO[key] = Stored(root, f"{root}/monthly", SM.first_month(spark, f"{root}/monthly"))
+        return _MEMO[key]
+
+
+def stored_fact(spark: SparkSession, sf: str, spec: S.TableSpec) -> DataFrame:
+    """A month-partitioned target as it was written, with ``sell_month``."""
+    return spark.read.parquet(f"{stored(spark, sf).root}/{spec.name}")
+
+
 def ensure_scratch(spark: SparkSession) -> None:
     """Sessions without ``spark.checkpoint.dir`` (tests, the local check) get a fresh folder, once."""
     from ..session import ensure_checkpoint_dir
@@ -282,7 +317,7 @@ FACT_CTES = {**BASE_CTES, "t_sell": T_SELL, "t_detail": T_DETAIL}
     FACT_CTES,
 )
 def q_get_sells_by_range(spark, sf):
-    return full(spark, sf).sell.where(closed_range("sell_date", P.RANGE_START, P.RANGE_END))
+    return read_fact_range(spark, f"{stored(spark, sf).root}/sell", P.RANGE_START, P.RANGE_END).select(*S.SELL.columns)
 
 
 @register(
@@ -292,9 +327,11 @@ def q_get_sells_by_range(spark, sf):
 )
 def q_get_details_by_sell(spark, sf):
     # Batch form of "details of a bill": details of every bill a caller holds.
-    t = full(spark, sf)
-    bills = t.sell.where(closed_range("sell_date", P.RANGE_START, P.RANGE_END)).select(F.col("id").alias("_sid"))
-    return t.sell_detail.join(bills, F.col("sell_id") == F.col("_sid"), "left_semi")
+    # A bill and its details carry the same date, so the bills' months prune the stored details.
+    bills = read_fact_range(spark, f"{stored(spark, sf).root}/sell", P.RANGE_START, P.RANGE_END)
+    details = read_fact_range(spark, f"{stored(spark, sf).root}/sell_detail", P.RANGE_START, P.RANGE_END)
+    bills = bills.select(F.col("id").alias("_sid"))
+    return details.join(bills, F.col("sell_id") == F.col("_sid"), "left_semi").select(*S.SELL_DETAIL.columns)
 
 
 T_STOCK = """

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
+from ..functions.dates import month_partition_filter
 from ..operators import forecast as FC
 from ..operators import planning as PL
 from . import params as P
 from .catalog import register
-from .q_load import STOCK_CTES, full
+from .q_load import STOCK_CTES, full, stored_fact
 from .q_series import DENSE_CTES, GROUP_KEYS, dense_groups
 
 AS_OF_MONTH = P.AS_OF[:8] + "01"
@@ -340,7 +342,9 @@ COVER_CTES = {
 
 
 def _sold(spark, sf):
-    return PL.true_sell_windows(full(spark, sf).sell_detail, P.AS_OF)
+    # The windows' months prune the stored details.
+    details = stored_fact(spark, sf, S.SELL_DETAIL).where(month_partition_filter(_day(-29), _day(0)))
+    return PL.true_sell_windows(details, P.AS_OF)
 
 
 @register("true_sell_windows", "select * from t_sold", COVER_CTES)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions.dates import month_spine
 from ..operators import series as SR
+from ..operators import summary as SM
+from ..operators.upsert import upsert_months
+from ..session import scratch_path
 from . import params as P
 from .catalog import register
-from .q_load import BASE_CTES, TS_NOW, dom, full, rng
+from .q_load import BASE_CTES, TS_NOW, dom, ensure_scratch, full, rng, stored, stored_fact
 
 # Oracle: the detail target over the whole range (all keys valid) with product dims.
 FACT = f"""
@@ -34,7 +38,7 @@ GROUP_MONTHLY = """
     from t_fact_dims group by all"""
 CALENDAR = f"""
     select cast(m as timestamp) as month
-    from generate_series(timestamp '{P.CAL_START}', timestamp '{P.AS_OF[:8]}01', interval 1 month) t(m)"""
+    from generate_series((select min(month) from t_monthly), timestamp '{P.AS_OF[:8]}01', interval 1 month) t(m)"""
 DENSE = """
     select k.shop_id, k.group_id, c.month, coalesce(g.qty, 0) as qty
     from (select distinct shop_id, group_id from t_group_monthly) k
@@ -47,14 +51,23 @@ DENSE_CTES = {**SERIES_CTES, "t_group_monthly": GROUP_MONTHLY, "t_calendar": CAL
 GROUP_KEYS = ["shop_id", "group_id"]
 
 
+SUMMARY_KEYS = ["shop_id", "product_id"]
+
+
 def fact(spark, sf):
-    t = full(spark, sf)
-    return SR.sales_fact(t.sell_detail, t.products)
+    return SR.sales_fact(stored_fact(spark, sf, S.SELL_DETAIL).drop("sell_month"), full(spark, sf).products)
+
+
+def summary(spark, sf):
+    """The stored monthly summary (shop, product, month)."""
+    return SM.read(spark, stored(spark, sf).summary)
 
 
 def dense_groups(spark, sf):
-    mon = SR.monthly(fact(spark, sf), GROUP_KEYS).select(*GROUP_KEYS, "month", "qty")
-    return SR.dense_monthly(mon, GROUP_KEYS, P.CAL_START, P.AS_OF)
+    """Dense series at the planning grain, summed from the stored summary."""
+    mon = SR.sales_fact(summary(spark, sf), full(spark, sf).products, ("group_id",))
+    mon = mon.groupBy(*GROUP_KEYS, "month").agg(F.sum("qty").alias("qty"))
+    return SR.dense_monthly(mon, GROUP_KEYS, stored(spark, sf).first_month or P.AS_OF, P.AS_OF)
 
 
 @register(
@@ -65,18 +78,13 @@ def dense_groups(spark, sf):
     SERIES_CTES,
 )
 def q_sales_monthly_by_shop(spark, sf):
-    """Flagship: the sales load (range join + nullify) summed by shop and month."""
-    f = full(spark, sf).sell_detail
-    return (
-        f.withColumn("month", F.trunc("sell_date", "MM").cast("timestamp_ntz"))
-        .groupBy("shop_id", "month")
-        .agg(F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("n_lines"))
-    )
+    """Flagship: the stored sales load (range join + nullify, written by month) summed by shop and month."""
+    return summary(spark, sf).groupBy("shop_id", "month").agg(F.sum("qty").alias("qty"), F.sum("n_lines").alias("n_lines"))
 
 
 @register("sales_monthly_agg", "select * from t_monthly", SERIES_CTES)
 def q_sales_monthly_agg(spark, sf):
-    return SR.monthly(full(spark, sf).sell_detail, ["shop_id", "product_id"])
+    return summary(spark, sf)
 
 
 @register(
@@ -88,11 +96,10 @@ def q_sales_monthly_agg(spark, sf):
     SERIES_CTES,
 )
 def q_sales_yearly_agg(spark, sf):
-    mon = SR.monthly(full(spark, sf).sell_detail, ["shop_id", "product_id"])
-    return SR.yearly_from_monthly(mon, ["shop_id", "product_id"])
+    return SR.yearly_from_monthly(summary(spark, sf), SUMMARY_KEYS)
 
 
-# Incremental upkeep: summary of [FULL_START, OLD_END], then months of [NEW_START, FULL_END] reloaded.
+# Incremental upkeep: the fact up to OLD_END is summed, then bills from RELOAD_START on (mid-month) come in late.
 @register(
     "agg_incremental",
     "select * from t_monthly",
@@ -101,13 +108,15 @@ def q_sales_yearly_agg(spark, sf):
 def q_agg_incremental(spark, sf):
     from . import loads as L
 
+    ensure_scratch(spark)
     d = dom(spark, sf)
     t = full(spark, sf)
-    old = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.FULL_START, P.OLD_END, t.branches, t.products, t.suppliers)
-    lo, hi = SR.touched_range(P.RELOAD_START, P.CAL_END)  # the reload begins mid-month
-    touched = L.load_sell_detail(d.v_sell_detail, d.v_sell, lo, hi, t.branches, t.products, t.suppliers)
-    current = SR.monthly(old, ["shop_id", "product_id"])
-    return SR.agg_incremental(current, touched, ["shop_id", "product_id"], P.RELOAD_START, P.CAL_END)
+    root = scratch_path(spark, "queries", "incremental")
+    for start, end in ((P.FULL_START, P.OLD_END), (P.RELOAD_START, P.FULL_END)):
+        batch = L.load_sell_detail(d.v_sell_detail, d.v_sell, start, end, t.branches, t.products, t.suppliers)
+        touched = upsert_months(spark, f"{root}/sell_detail", batch, S.SELL_DETAIL, P.NOW, sort_by=["shop_id", "sell_date"])
+        SM.refresh(spark, f"{root}/sell_detail", f"{root}/monthly", touched)
+    return SM.read(spark, f"{root}/monthly")
 
 
 @register(
@@ -132,7 +141,8 @@ def q_sales_filtered(spark, sf):
     SERIES_CTES,
 )
 def q_sales_summary(spark, sf):
-    return SR.sales_summary(fact(spark, sf), "shop_id", "group_id")
+    sums = SR.sales_fact(summary(spark, sf), full(spark, sf).products, ("group_id",))
+    return SR.sales_summary(sums, "shop_id", "group_id")
 
 
 @register("sales_history", "select * from t_dense", DENSE_CTES)
