@@ -70,11 +70,6 @@ def suffix_match(c, suffix: str) -> Column:
     return F.lower(_c(c)).endswith(suffix.lower())
 
 
-def hash_int(c) -> Column:
-    """Stable 28-bit INT id from text (md5 prefix): same value in any SQL engine with md5."""
-    return F.conv(F.substring(F.md5(_c(c)), 1, 7), 16, 10).cast("int")
-
-
 def hash_long(c) -> Column:
     """Stable 60-bit BIGINT id from text (md5 prefix)."""
     return F.conv(F.substring(F.md5(_c(c)), 1, 15), 16, 10).cast("bigint")

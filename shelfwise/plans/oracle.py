@@ -35,10 +35,10 @@ VIEWS: dict[str, str] = {
                cast(p_partkey as varchar) as pu_product_id,
                cast(substr(p_brand, 7, 10) as integer) as brand_id,
                p_brand as brand_name,
-               ('0x' || substr(md5(split_part(p_name, ' ', 2)), 1, 7))::integer as category_id,
+               cast(dense_rank() over (order by split_part(p_name, ' ', 2)) as integer) as category_id,
                split_part(p_name, ' ', 2) as category_name,
                cast(p_size as integer) as group_id,
-               ('0x' || substr(md5(p_type), 1, 7))::integer as type_id,
+               cast(dense_rank() over (order by p_type) as integer) as type_id,
                p_type as type_name,
                p_name as description,
                cast(null as varchar) as status

@@ -69,6 +69,18 @@ def stored(spark: SparkSession, sf: str) -> Stored:
         return _MEMO[key]
 
 
+def ranged(spark: SparkSession, sf: str) -> str:
+    """The targets written by a ``run_load`` of RANGE_START to RANGE_END (once per session)."""
+    key = ("ranged", session_key(spark), sf)
+    with _LOCK:
+        if key not in _MEMO:
+            ensure_scratch(spark)
+            root = scratch_path(spark, "ranged")
+            L.run_load(spark, dom(spark, sf), root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
+            _MEMO[key] = root
+        return _MEMO[key]
+
+
 def stored_fact(spark: SparkSession, sf: str, spec: S.TableSpec) -> DataFrame:
     """A month-partitioned target as it was written, with ``sell_month``."""
     return spark.read.parquet(f"{stored(spark, sf).root}/{spec.name}")
@@ -532,32 +544,42 @@ def q_upsert_branches(spark, sf):
     return upsert(old, L.load_branches(d.v_shop), S.BRANCHES, P.LATER)
 
 
-@register("upsert_brands", _named_sql("brand_id", "brand_name", "name"))
+def _earlier_sql(id_col: str, label_col: str, label: str) -> str:
+    """Oracle: the batch renames every row and adds a third; a row of the target that it lacks stays."""
+    return (
+        f"select id, coalesce({label}, '') as {label}, 'ACTIVE' as status, "
+        f"case when id % 3 <> 0 then {TS_NOW} else {TS_LATER} end as created_at "
+        f"from (select distinct {id_col} as id, {label_col} as {label} from v_product) "
+        f"union all select -1, 'gone', 'CLOSED', {TS_NOW}"
+    )
+
+
+def _upsert_named(source: DataFrame, spec: S.TableSpec, label: str) -> DataFrame:
+    """The target holds two thirds of the rows under other names, and one that is gone from the source."""
+    batch = L.load_named_master(source, label)
+    earlier = batch.where(F.col("id") % 3 != 0).select("id", F.concat(F.lit("old "), label).alias(label), F.lit("CLOSED").alias("status"))
+    gone = earlier.sparkSession.createDataFrame([(-1, "gone", "CLOSED")], earlier.schema)
+    return upsert(conform(earlier.unionByName(gone), spec, P.NOW), batch, spec, P.LATER)
+
+
+@register("upsert_brands", _earlier_sql("brand_id", "brand_name", "name"))
 def q_upsert_brands(spark, sf):
-    d = dom(spark, sf)
-    batch = L.load_named_master(L.brands_source(d.v_product))
-    return upsert(conform(batch, S.BRANDS, P.NOW), batch, S.BRANDS, P.LATER)
+    return _upsert_named(L.brands_source(dom(spark, sf).v_product), S.BRANDS, "name")
 
 
-@register("upsert_categories", _named_sql("category_id", "category_name", "name"))
+@register("upsert_categories", _earlier_sql("category_id", "category_name", "name"))
 def q_upsert_categories(spark, sf):
-    d = dom(spark, sf)
-    batch = L.load_named_master(L.categories_source(d.v_product))
-    return upsert(conform(batch, S.CATEGORIES, P.NOW), batch, S.CATEGORIES, P.LATER)
+    return _upsert_named(L.categories_source(dom(spark, sf).v_product), S.CATEGORIES, "name")
 
 
-@register("upsert_groups", _named_sql("group_id", "'SIZE ' || cast(group_id as varchar)", "description"))
+@register("upsert_groups", _earlier_sql("group_id", "'SIZE ' || cast(group_id as varchar)", "description"))
 def q_upsert_groups(spark, sf):
-    d = dom(spark, sf)
-    batch = L.load_named_master(L.groups_source(d.v_product), "description")
-    return upsert(conform(batch, S.GROUPS, P.NOW), batch, S.GROUPS, P.LATER)
+    return _upsert_named(L.groups_source(dom(spark, sf).v_product), S.GROUPS, "description")
 
 
-@register("upsert_types", _named_sql("type_id", "type_name", "name"))
+@register("upsert_types", _earlier_sql("type_id", "type_name", "name"))
 def q_upsert_types(spark, sf):
-    d = dom(spark, sf)
-    batch = L.load_named_master(L.types_source(d.v_product))
-    return upsert(conform(batch, S.TYPES, P.NOW), batch, S.TYPES, P.LATER)
+    return _upsert_named(L.types_source(dom(spark, sf).v_product), S.TYPES, "name")
 
 
 @register(

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import keys as K
 from ..operators import quality as Q
-from ..operators.upsert import upsert
+from ..operators import digest as DG
+from ..operators.upsert import read_snapshot, upsert
+from ..session import scratch_path
 from . import loads as L
 from . import params as P
 from .catalog import register
-from .q_load import BASE_CTES, SELL_NEW, SELL_OLD, UPSERT_SELL_SQL, active_shops, dom, full, limited_products, rng
+from .q_load import (
+    BASE_CTES, SELL_NEW, SELL_OLD, STOCK_CTES, UPSERT_SELL_SQL, active_shops, dom, full, limited_products, ranged, rng, stored, stored_fact,
+)
 
 # Declared NOT NULL columns checked on the loaded targets (plus the source detail keys).
 NOT_NULL = {
@@ -153,10 +157,7 @@ RANGE_DETAIL = f"select * from t_src_detail where {rng('sell_date', P.RANGE_STAR
     {"t_range_sell": RANGE_SELL},
 )
 def q_reconcile_counts(spark, sf):
-    t = full(spark, sf)
-    d = dom(spark, sf)
-    target = L.load_sell(d.v_sell, P.RANGE_START, P.RANGE_END, t.branches)
-    return Q.reconcile(d.v_sell, target, "sell")
+    return Q.reconcile(dom(spark, sf).v_sell, spark.read.parquet(f"{ranged(spark, sf)}/sell"), "sell")
 
 
 @register(
@@ -165,12 +166,54 @@ def q_reconcile_counts(spark, sf):
     {"t_src_detail": SRC_DETAIL, "t_range_detail": RANGE_DETAIL},
 )
 def q_reconcile_sums(spark, sf):
-    t = full(spark, sf)
     d = dom(spark, sf)
     src = L.join_detail_header(d.v_sell_detail, d.v_sell, P.FULL_START, P.FULL_END)
-    target = L.load_sell_detail(d.v_sell_detail, d.v_sell, P.RANGE_START, P.RANGE_END, t.branches, t.products,
-                                t.suppliers)
-    return Q.reconcile(src, target, "sell_detail", measure="qty")
+    return Q.reconcile(src, spark.read.parquet(f"{ranged(spark, sf)}/sell_detail"), "sell_detail", measure="qty")
+
+
+#: Ids divided by DAMAGE with these remainders are lost, changed or doubled in the copy that reconcile_rows finds.
+DAMAGE, LOST, CHANGED, DOUBLED = 499, 3, 5, 7
+
+
+def _damaged(df: DataFrame, key: Column, column: str) -> DataFrame:
+    rest = F.pmod(key, F.lit(DAMAGE))
+    times = F.when(rest == DOUBLED, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    wrong = F.when(rest == CHANGED, F.coalesce(F.col(column), F.lit(0)) + 1000).otherwise(F.col(column))
+    return df.where(rest != LOST).withColumn(column, wrong.cast(df.schema[column].dataType)).withColumn("_t", F.explode(times)).drop("_t")
+
+
+def _damage_sql(table: str, key: str, source: str, number: str) -> str:
+    return f"""
+        select '{table}' as table_name, {key} as row_key,
+               case {number} % {DAMAGE} when {LOST} then 'lost' when {CHANGED} then 'changed' else 'doubled' end as state,
+               cast(1 as bigint) as n_source, cast(case {number} % {DAMAGE} when {LOST} then 0 when {CHANGED} then 1 else 2 end as bigint) as n_target
+        from {source} where {number} % {DAMAGE} in ({LOST}, {CHANGED}, {DOUBLED})"""
+
+
+@register(
+    "reconcile_rows",
+    _damage_sql("sell", "cast(id as varchar)", "v_sell", "id")
+    + " union all "
+    + _damage_sql("stock_balance", "cast(shop_id as varchar) || ':' || cast(product_id as varchar)", "t_stock", "(product_id * 31 + shop_id)"),
+    STOCK_CTES,
+)
+def q_reconcile_rows(spark, sf):
+    """Written targets, one damaged on purpose, against the source: digests by month and day, or hash range, then rows."""
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    sell = stored_fact(spark, sf, S.SELL)
+    root = scratch_path(spark, "queries", "damaged")
+    _damaged(sell, F.col("id"), "shop_id").write.partitionBy("sell_month").parquet(f"{root}/sell")
+    stock = read_snapshot(spark, f"{stored(spark, sf).root}/stock_balance", S.STOCK_BALANCE)
+    _damaged(stock, F.col("product_id") * 31 + F.col("shop_id"), "qty").write.parquet(f"{root}/stock")
+    bills = L.load_sell(d.v_sell, P.FULL_START, P.FULL_END, t.branches)
+    lost = DG.descend(bills, spark.read.parquet(f"{root}/sell"), ["id"], ["id", "shop_id", "sell_date"], DG.month_levels("sell_date"))
+    balance = L.load_stock_balance(d.v_stock_shop, t.branches, t.products).withColumn("qty", F.col("qty").cast("int"))
+    keys = ["shop_id", "product_id"]
+    odd = DG.descend(balance, spark.read.parquet(f"{root}/stock"), keys, [*keys, "qty"], DG.hash_levels(keys))
+    return lost.select(F.lit("sell").alias("table_name"), F.col("id").cast("string").alias("row_key"), "state", "n_source", "n_target").unionByName(
+        odd.select(F.lit("stock_balance").alias("table_name"), F.concat_ws(":", *keys).alias("row_key"), "state", "n_source", "n_target")
+    )
 
 
 AUDIT_SEED = "2026"

@@ -8,7 +8,7 @@ view            derived from
 v_shop          nation (region 4 = inactive branch)
 v_company       supplier (type 'S') + customer (type 'C')
 v_product       part: brand from p_brand, group = p_size, type = p_type,
-                category = noun of p_name; ids of text attributes are md5 prefixes
+                category = noun of p_name; ids of text attributes come from a key dictionary
 v_sell          orders joined to the customer's nation (header shop)
 v_sell_detail   lineitem joined to the supplier's nation (detail shop); id = hash of the row
 v_stock_shop    open lineitems (l_linestatus = 'O') as stock rows per supplier nation
@@ -27,7 +27,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import hash_int, hash_long
+from ..functions.expr import hash_long
+from ..operators.keys import bounded_broadcast
+from ..operators.surrogate import extend
+from ..session import ensure_checkpoint_dir, scratch_path
 from .tables import read_table
 
 INACTIVE_REGION = 4
@@ -36,11 +39,16 @@ SETTING_GROUPS = 50
 
 
 class Domain:
-    """Lazily built domain views for one data directory."""
+    """Lazily built domain views for one data directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``keys_root`` is where the key dictionaries of text attributes are kept from
+    run to run; without it they live as long as this object.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, keys_root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.keys_root = keys_root
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -49,6 +57,15 @@ class Domain:
             self._tables[name] = read_table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
+    def _keyed(self, df: DataFrame, column: str, name: str) -> DataFrame:
+        """``df`` with ``<name>_id``, the dictionary id of a text column."""
+        if self.keys_root is None:
+            ensure_checkpoint_dir(self.spark)
+            self.keys_root = scratch_path(self.spark, "keys")
+        keys = extend(self.spark, f"{self.keys_root}/{name}", df.select(column))
+        keys = keys.select(F.col("key").alias(f"_{name}"), F.col("id").cast("int").alias(f"{name}_id"))
+        return df.join(bounded_broadcast(keys), F.col(column) == F.col(f"_{name}"), "left").drop(f"_{name}")
+
     # -- dimensions ---------------------------------------------------------
     @cached_property
     def v_shop(self) -> DataFrame:
@@ -92,17 +109,17 @@ class Domain:
 
     @cached_property
     def v_product(self) -> DataFrame:
-        p = self.table("part")
-        noun = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
+        p = self.table("part").withColumn("_noun", F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)))
+        p = self._keyed(self._keyed(p, "_noun", "category"), "p_type", "type")
         return p.select(
             F.col("p_partkey").cast("int").alias("id"),
             F.col("p_partkey").cast("string").alias("pu_product_id"),
             F.substring(F.col("p_brand"), 7, 10).cast("int").alias("brand_id"),
             F.col("p_brand").alias("brand_name"),
-            hash_int(noun).alias("category_id"),
-            noun.alias("category_name"),
+            "category_id",
+            F.col("_noun").alias("category_name"),
             F.col("p_size").cast("int").alias("group_id"),
-            hash_int(F.col("p_type")).alias("type_id"),
+            "type_id",
             F.col("p_type").alias("type_name"),
             F.col("p_name").alias("description"),
             F.lit(None).cast("string").alias("status"),
