@@ -1,6 +1,7 @@
 """Load jobs: source frames -> cleansed, key-checked batches -> upserted targets.
 
-Each ``load_*`` is a pure DataFrame transform (no action) from source views
+Each ``load_*`` is a DataFrame transform (no action but the header bounds of a
+range load, see ``join_detail_header``, and key-set counts) from source views
 and the *current target* key sets (ids left from earlier runs stay valid).
 ``run_load`` chains them in dependency order and writes targets through the
 upsert writers; ``build_targets`` does the same in memory for a fresh load
@@ -9,6 +10,7 @@ upsert writers; ``build_targets`` does the same in memory for a fresh load
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from ..fixed_values import CUSTOMER_TYPE, SUPPLIER_TYPE
 from ..functions.dates import closed_range, load_window
 from ..functions.expr import default_if_empty, empty_if_null, flag_to_bool, positive
 from ..operators.aggregates import observed
-from ..operators.keys import bounded_broadcast, fk_flags, fk_nullify, fk_semi_filter, remember_rows
+from ..operators.keys import fk_flags, fk_nullify, fk_semi_filter, remember_rows
 from ..operators.quality import dlq
 from ..operators.upsert import conform, dedupe_latest, merge, publish_snapshot, read_snapshot, upsert_months, write_months
 from ..sources.views import Domain
@@ -161,7 +163,7 @@ def load_stock_targets(setting: DataFrame, branches: DataFrame, dims: dict | Non
     """
     kept = _setting_refs(setting, branches, dims).where(F.col("fk_reason").isNull()).drop("fk_reason")
     latest = kept.groupBy("shop_id", "product_group_id").agg(
-        F.max_by(F.struct(*TARGET_PAYLOAD), F.col("id")).alias("_s"),
+        F.max_by(F.struct(*TARGET_PAYLOAD), F.struct("id", *TARGET_PAYLOAD)).alias("_s"),
         F.max("id").alias("setting_id"),
     )
     # The loader never sets pu_product_id: the upsert writes it blank (kept as upstream does).
@@ -178,18 +180,23 @@ def load_sell(sell: DataFrame, start: str | None, end: str | None, branches: Dat
     return fk_nullify(h, {"shop_id": branches})
 
 
-# Headers of a window are broadcast when at most this many (id + date: ~100 MB hashed).
-HEADER_BROADCAST_ROWS = 5_000_000
+# A window of at most this many days keeps a small share of the details, so headers are worth broadcasting,
+# if they take at most this many bytes (an id and a date in a hashed relation: HEADER_BYTES a row).
+SHORT_WINDOW_DAYS = 62
+HEADER_BROADCAST_BYTES = 256 << 20
+HEADER_BYTES = 48
 
 
 def join_detail_header(detail: DataFrame, sell: DataFrame, start: str | None, end: str | None,
-                       header_broadcast_rows: int = HEADER_BROADCAST_ROWS) -> DataFrame:
+                       header_broadcast_bytes: int = HEADER_BROADCAST_BYTES) -> DataFrame:
     """Details of headers in range, carrying the header's date (detail keeps its own shop).
 
     The raw detail has no date, so the range lives on the header. For a bounded
     range one aggregate over the headers gives the range of their ids, which is
-    pushed into the detail scan, and their number, which decides whether they
-    are broadcast. Without bounds every header counts, and both sides meet in a shuffle join.
+    pushed into the detail scan, and the bytes they take (this is the one job that
+    planning a load runs). A short window's headers are broadcast if these are few, so
+    the detail is never shuffled; a long window keeps much of the detail, whose work
+    would stay with the scan's tasks, so both sides meet in a shuffle join, as without bounds.
     """
     h = sell.where(closed_range("sell_date", start, end)).select(
         F.col("id").alias("_hid"), F.col("sell_date")
@@ -197,7 +204,9 @@ def join_detail_header(detail: DataFrame, sell: DataFrame, start: str | None, en
     if start or end:
         lo, hi, n = h.agg(F.min("_hid"), F.max("_hid"), F.count("_hid")).first()
         detail = detail.where(F.col("sell_id").between(lo, hi)) if n else detail.limit(0)
-        h = bounded_broadcast(h, header_broadcast_rows, upper_bound=n) if n <= header_broadcast_rows else h
+        days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1 if start and end else None
+        if days is not None and days <= SHORT_WINDOW_DAYS and n * HEADER_BYTES <= header_broadcast_bytes:
+            h = F.broadcast(h)
     return detail.join(h, detail["sell_id"] == h["_hid"], "inner").drop("_hid")
 
 

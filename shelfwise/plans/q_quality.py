@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators import constraints as C
+from ..operators import digest as DG
 from ..operators import keys as K
 from ..operators import quality as Q
-from ..operators import digest as DG
 from ..operators.upsert import read_snapshot, upsert
 from ..session import scratch_path
 from . import loads as L
@@ -115,6 +116,87 @@ def q_dq_length(spark, sf):
     )
 
 
+#: Products whose id has these remainders lose their description, get a long code, or are doubled, for the checks to find.
+BROKEN, NO_TEXT, LONG_CODE, TWICE = 97, 3, 5, 7
+
+
+def _broken_products(p: DataFrame) -> DataFrame:
+    rest = F.pmod(F.col("id"), F.lit(BROKEN))
+    copies = F.when(rest == TWICE, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    p = p.withColumns({
+        "description": F.when(rest != NO_TEXT, F.col("description")),
+        "pu_product_id": F.when(rest == LONG_CODE, F.lpad("pu_product_id", 51, "0")).otherwise(F.col("pu_product_id")),
+    })
+    return p.withColumn("_t", F.explode(copies)).drop("_t")
+
+
+def _named_table(id_col: str, label: str, text: str) -> str:
+    return f"select distinct {id_col} as id, {text} as {label}, 'ACTIVE' as status from v_product"
+
+
+# The tables as the declared rules are checked on them, and the parents: only active shops, groups up to
+# MAX_VALID_GROUP and their products are known, so that foreign keys have something to miss.
+DECLARED = {
+    "branches": "select * from t_branches",
+    "product_brands": _named_table("brand_id", "name", "brand_name"),
+    "product_categories": _named_table("category_id", "name", "category_name"),
+    "product_groups": _named_table("group_id", "description", "'SIZE ' || cast(group_id as varchar)"),
+    "product_types": _named_table("type_id", "name", "type_name"),
+    "products": f"""
+        select id, case when id % {BROKEN} = {LONG_CODE} then lpad(pu_product_id, 51, '0') else pu_product_id end as pu_product_id,
+               brand_id, category_id, group_id, type_id, case when id % {BROKEN} <> {NO_TEXT} then description end as description, status
+        from t_products, (select unnest([1, 2]) as k) where k = 1 or id % {BROKEN} = {TWICE}""",
+    "suppliers": "select * from t_suppliers",
+    "customers": """select id, coalesce(code, '') as code, coalesce(name, '') as name, coalesce(tax_id, '') as tax_id,
+           coalesce(nationid, '') as nation_id, coalesce(address, '') as address, coalesce(tel, '') as tel,
+           coalesce(email1, '') as email, 'ACTIVE' as status from v_company where type = 'C'""",
+    "sell": "select * from v_sell",
+    "sell_detail": "select d.*, s.sell_date from v_sell_detail d join v_sell s on d.sell_id = s.id",
+    "stock_balance": f"select *, '{S.PO_STATUS_DEFAULT}' as po_status from t_stock",
+    "stock_targets": "select * from t_setting_latest",
+    "product_embeddings": "select vec_id as id, label as product_id, 'vector' as content from embeddings",
+}
+PARENTS = {
+    "branches": "t_active",
+    "suppliers": "t_suppliers",
+    "products": "t_limited",
+    "product_groups": f"(select distinct group_id as id from v_product where group_id <= {P.MAX_VALID_GROUP})",
+    **{t: f"(select distinct {c} as id from v_product)" for t, c in (("product_brands", "brand_id"), ("product_categories", "category_id"), ("product_types", "type_id"))},
+}
+
+
+def _declared_sql() -> str:
+    parts = []
+    for table in DECLARED:
+        rules = S.CONSTRAINTS[table]
+        checks = [("not_null", c, f"{c} is null") for c in rules.not_null]
+        checks += [("length", c, f"length({c}) > {n}") for c, n in rules.lengths.items()]
+        checks += [("foreign_key", c, f"{c} is not null and {c} not in (select id from {PARENTS[p]})") for c, p in rules.references.items()]
+        parts += [f"select '{table}' as table_name, '{rule}' as rule, '{c}' as column_name, count(*) filter (where {bad}) as n_rows from d_{table}" for rule, c, bad in checks]
+        keys = ", ".join(S.TARGETS[table].keys)
+        parts.append(f"select '{table}', 'unique', '{keys.replace(' ', '')}', count(*) from (select {keys} from d_{table} group by all having count(*) > 1)")
+    return " union all ".join(parts)
+
+
+@register("dq_constraints", _declared_sql(), {**STOCK_CTES, **{f"d_{t}": sql for t, sql in DECLARED.items()}})
+def q_dq_constraints(spark, sf):
+    """Every declared NOT NULL, bound, foreign key (16) and key of the 13 targets, with the rows that fail."""
+    t = full(spark, sf)
+    d = dom(spark, sf)
+    tables = {
+        "branches": t.branches, "product_brands": t.brands, "product_categories": t.categories, "product_groups": t.groups,
+        "product_types": t.types, "products": _broken_products(t.products), "suppliers": t.suppliers, "customers": t.customers,
+        "sell": d.v_sell, "sell_detail": L.join_detail_header(d.v_sell_detail, d.v_sell, None, None),
+        "stock_balance": t.stock_balance, "stock_targets": t.stock_targets,
+        "product_embeddings": d.embeddings.select(F.col("vec_id").alias("id"), F.col("label").alias("product_id"), F.lit("vector").alias("content")),
+    }
+    parents = {
+        "branches": active_shops(t), "suppliers": t.suppliers, "products": limited_products(t), "product_brands": t.brands,
+        "product_categories": t.categories, "product_types": t.types, "product_groups": t.groups.where(F.col("id") <= P.MAX_VALID_GROUP),
+    }
+    return reduce(DataFrame.unionByName, [C.report(df, name, parents) for name, df in tables.items()])
+
+
 @register(
     "dlq",
     """select 'stock_shop' as source_table, cast(shop_id as varchar) || ':' || cast(product_id as varchar) as row_key,

@@ -189,3 +189,49 @@ LOAD_ORDER = (
     "branches", "suppliers", "customers", "product_brands", "product_categories", "product_groups",
     "product_types", "products", "stock_balance", "stock_targets", "sell", "sell_detail",
 )
+
+
+@dataclass(frozen=True)
+class Constraints:
+    """What the store declares of a table besides its key: NOT NULL columns, text bounds, foreign keys (column -> table)."""
+
+    not_null: tuple[str, ...] = ()
+    lengths: dict[str, int] = field(default_factory=dict)
+    references: dict[str, str] = field(default_factory=dict)
+    unique: tuple[str, ...] = ()  # the table's key, unless given
+
+
+# Fixed values of the store's declarations.
+_NAMED = {"name": 255, "status": 50}
+CONSTRAINTS = {
+    "branches": Constraints(("id", "name"), {"code": 50, "name": 255}),
+    "product_brands": Constraints(("id", "name"), _NAMED),
+    "product_categories": Constraints(("id", "name"), _NAMED),
+    "product_groups": Constraints(("id",), {"description": 255, "status": 50}),
+    "product_types": Constraints(("id", "name"), _NAMED),
+    "products": Constraints(
+        ("id", "description"),
+        {"pu_product_id": 50, "status": 50},
+        {"brand_id": "product_brands", "category_id": "product_categories", "group_id": "product_groups", "type_id": "product_types"},
+    ),
+    "suppliers": Constraints(
+        ("id", "name"),
+        {"code": 100, "name": 255, "tax_id": 50, "address": 255, "tel": 100, "fax": 100, "contact_name": 100, "email": 100, "status": 50},
+    ),
+    "customers": Constraints(
+        ("id", "name"),
+        {"code": 100, "name": 255, "tax_id": 50, "nation_id": 20, "address": 255, "tel": 100, "email": 100, "status": 50},
+    ),
+    "sell": Constraints(("id", "sell_date"), {}, {"shop_id": "branches"}),
+    "sell_detail": Constraints(
+        ("id", "sell_id", "qty", "sell_date"), {}, {"company_id": "suppliers", "product_id": "products", "shop_id": "branches"}
+    ),
+    "stock_balance": Constraints(("qty",), {"po_status": 50}, {"shop_id": "branches", "product_id": "products"}),
+    "stock_targets": Constraints(
+        (),
+        {"pu_product_id": 50},
+        {"shop_id": "branches", "product_group_id": "product_groups", "category_id": "product_categories", "type_id": "product_types",
+         "brand_id": "product_brands"},
+    ),
+    "product_embeddings": Constraints(("id", "content"), {}, {"product_id": "products"}),
+}

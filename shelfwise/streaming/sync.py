@@ -17,11 +17,13 @@ import hashlib
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
+from ..functions.expr import month_trunc
+from ..operators.quality import dlq
 from ..session import checkpoint_root, path_exists
 
 
@@ -50,10 +52,18 @@ def _run(writer, available_now: bool, interval: str) -> StreamingQuery:
     return q
 
 
+STATE_BUCKETS = 64  # hash buckets of keyed streaming state (files rewritten per batch: touched buckets only)
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """One row per key: the greatest ``seq`` (partial ``max_by``, hot keys combine map-side)."""
+    """One row per key: the greatest ``seq`` (partial ``max_by``, hot keys combine map-side).
+
+    A NULL sequence ranks below every other; of equal sequences the greatest row
+    wins, so the result does not depend on the order of arrival.
+    """
     payload = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(seq)).alias("_r"))
+    ordered = [c for c in payload if c != seq and not isinstance(df.schema[c].dataType, MapType)]
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.struct(seq, *ordered)).alias("_r"))
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in payload])
 
 
@@ -72,23 +82,37 @@ def stream_delta_sync(
     template: DataFrame,
     available_now: bool = True,
     interval: str = "1 minute",
+    buckets: int = STATE_BUCKETS,
+    dlq_root: str | None = None,
 ) -> StreamingQuery:
     """Poll a source directory; each micro-batch is transformed and upserted (latest ``seq`` wins).
 
     ``template`` gives the target's columns. The target is hash-bucketed by key
     and a micro-batch rewrites only the buckets it touches (``read_bucketed``
-    reads it back).
+    reads it back). Size ``buckets`` by the state (one bucket is rewritten as a
+    whole); it must not change over a target's life. With ``dlq_root`` rows
+    without a sequence are set aside there instead of ranking last.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        new = latest_by_key(transform(batch), keys, seq)
-        upsert_bucketed(spark, target_root, new, keys, seq, template)
+        new = transform(batch)
+        if dlq_root:
+            new = set_aside(new, F.col(seq).isNull(), f"no_{seq}", dlq_root, "delta_sync", keys, epoch)
+        upsert_bucketed(spark, target_root, latest_by_key(new, keys, seq), keys, seq, template, buckets)
 
     w = source.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "delta_sync", target_root))
     return _run(w, available_now, interval)
 
 
-STATE_BUCKETS = 64  # hash buckets of keyed streaming state (files rewritten per batch: touched buckets only)
+def set_aside(batch: DataFrame, bad: Column, reason: str, dlq_root: str, source: str, keys: Sequence[str], epoch: int) -> DataFrame:
+    """Writes the ``bad`` rows of a micro-batch as dead letters and returns the others.
+
+    One partition a source and epoch, overwritten when the batch is replayed.
+    """
+    letters = dlq(batch.where(bad).withColumn("_reason", F.lit(reason)), source, list(keys), "_reason")
+    letters = letters.withColumns({"source": F.lit(source), "epoch": F.lit(epoch).cast("long")})
+    letters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "epoch").parquet(dlq_root)
+    return batch.where(~F.coalesce(bad, F.lit(False)))
 
 
 def _bucket(keys: Sequence[str], buckets: int):
@@ -141,13 +165,18 @@ def stream_cdc_apply(
     template: DataFrame | None = None,
     available_now: bool = True,
     interval: str = "1 minute",
+    buckets: int = STATE_BUCKETS,
+    dlq_root: str | None = None,
 ) -> StreamingQuery:
     """Apply a change feed: last change per key wins; deletes are kept as tombstones in the
-    state so that an older, late upsert cannot resurrect a deleted key."""
+    state so that an older, late upsert cannot resurrect a deleted key. ``buckets`` and
+    ``dlq_root`` as in ``stream_delta_sync``."""
 
     def apply(batch: DataFrame, epoch: int) -> None:
+        if dlq_root:
+            batch = set_aside(batch, F.col(seq).isNull(), f"no_{seq}", dlq_root, "cdc", keys, epoch)
         last = latest_by_key(batch, keys, seq)
-        upsert_bucketed(spark, state_root, last, keys, seq, template if template is not None else last)
+        upsert_bucketed(spark, state_root, last, keys, seq, template if template is not None else last, buckets)
 
     w = changes.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "cdc", state_root))
     return _run(w, available_now, interval)
@@ -173,19 +202,60 @@ def stream_late_data(
     """Insert-only feed with late and repeated rows: watermark + dedupe within it, appended to files.
 
     ``withWatermark`` needs a zoned ``timestamp``; driver timestamps read as
-    ``timestamp_ntz`` and are cast first (the original column is kept).
+    ``timestamp_ntz`` and are cast first (the original column is kept). Files
+    are laid out by ``event_month``. Rows that come after the watermark are not
+    written; ``stream_late_rejects`` finds them.
     """
-    ev = events.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
+    ev = events.where(F.col(ts_col).isNotNull()).withColumn("_event_time", F.col(ts_col).cast("timestamp"))
     dedup = ev.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
     w = (
-        dedup.writeStream.format("parquet")
+        dedup.withColumn("event_month", _event_month(ts_col)).writeStream.format("parquet")
         .option("path", out_path)
+        .partitionBy("event_month")
         .option("checkpointLocation", _checkpoint(spark, "late", out_path))
         .outputMode("append")
     )
     return _run(w, available_now, interval)
 
 
+def _event_month(ts_col: str) -> Column:
+    return F.date_format(month_trunc(ts_col), "yyyy-MM")
+
+
+def stream_late_rejects(
+    spark: SparkSession,
+    events: DataFrame,
+    out_path: str,
+    dlq_root: str,
+    ts_col: str,
+    keys: Sequence[str],
+) -> StreamingQuery:
+    """The side output of ``stream_late_data``: rows of the feed whose key it never wrote, as dead letters.
+
+    Runs over what is there, after ``stream_late_data`` has read it: an event
+    that came past the watermark, or without a time, is in no file. Each
+    micro-batch is anti-joined with the written months of its own events only: a
+    repeated event is taken to carry the time it had. Own checkpoint: a restart goes on where
+    it stopped, and a replayed batch overwrites its letters. Repeated rows of a
+    written key are duplicates and not set aside.
+    """
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        month = _event_month(ts_col)
+        lo, hi = batch.agg(F.min(month), F.max(month)).first()
+        rest = batch
+        if lo is not None and path_exists(spark, f"{out_path}/_spark_metadata"):
+            written = spark.read.parquet(out_path).where(F.col("event_month").between(lo, hi)).select(*keys).distinct()
+            rest = batch.join(written, list(keys), "left_anti")
+        timeless = F.col(ts_col).isNull()
+        none = F.lit(True)
+        rest = set_aside(rest, timeless, f"no_{ts_col}", dlq_root, "late_data_timeless", keys, epoch)
+        set_aside(rest, none, "past_watermark", dlq_root, "late_data", keys, epoch)
+
+    w = events.writeStream.foreachBatch(apply).option("checkpointLocation", _checkpoint(spark, "late_rejects", out_path))
+    return _run(w, True, "")
+
+
 def stream_stock(
     spark: SparkSession,
     moves: DataFrame,
@@ -195,6 +265,7 @@ def stream_stock(
     template: DataFrame,
     available_now: bool = True,
     interval: str = "1 minute",
+    buckets: int = STATE_BUCKETS,
 ) -> StreamingQuery:
     """Running totals per key (state store, update mode); each batch upserts the changed keys.
 
@@ -208,7 +279,7 @@ def stream_stock(
     def apply(batch: DataFrame, epoch: int) -> None:
         stamped = batch.select(*template.columns).withColumn("_epoch", F.lit(epoch).cast("bigint"))
         tmpl = template.withColumn("_epoch", F.lit(0).cast("bigint"))
-        upsert_bucketed(spark, target_root, stamped, keys, "_epoch", tmpl)
+        upsert_bucketed(spark, target_root, stamped, keys, "_epoch", tmpl, buckets)
 
     w = (
         running.writeStream.outputMode("update")
