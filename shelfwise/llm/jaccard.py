@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import cut, fan_out, release
-from .text import U, mix, shingles, texts
+from .text import U, give_back, mix, shingles, texts, tidy
 
 GROUPS, MOST_GROUPS = 32, 4096
 SKETCH_BITS = 22
@@ -50,6 +50,8 @@ LEAF = 32
 SMALL = 32
 #: Ids up to this many (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
+#: Buckets of the block join in units of the shuffle partitions: one holds few pivots beside each other.
+DEAL = 32
 
 SETS = "doc_id long, n long, s1 long, s2 long, point binary, slot int, hits long"
 
@@ -96,6 +98,7 @@ class Points:
         return ok
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """A row for each document's set; at the end, a row for each frequent counter of the task's sketch."""
     counters = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -119,6 +122,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays([*cols, pa.array(slot, pa.int32()), pa.array(counters[slot])], names)
 
 
+@tidy
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, level: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(shingle, node hash) for the shingles of each set that must hold one in common with any similar set."""
     seen = np.zeros(0, U)  # equal sets within a batch of rows are sent once
@@ -152,6 +156,7 @@ def _enough(bound: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
     return (100 + percent) * bound >= percent * sizes
 
 
+@tidy
 def _bounded(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 2000):
@@ -284,6 +289,7 @@ def _bounded_nodes(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
     """The nodes that stand in some pair whose bound passes, with their bucket."""
     node, _, _, a, b = _bounded_pairs(group, known, percent)
     some = node[np.unique(np.concatenate([a, b]))]
+    give_back()
     return pa.table({"to": pa.array(np.full(len(some), group.column("bucket")[0].as_py(), np.int64)), "id": pa.array(some)})
 
 
@@ -292,9 +298,11 @@ def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.T
     node, comp, of, a, b = _bounded_pairs(group, known, percent)
     if len(a):
         a, b = link_pairs(Sets(known.column("text").take(of), k), comp, a, b, percent)
+        give_back()
     return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
 
 
+@tidy
 def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole sets are similar enough."""
     for batch in batches:
@@ -369,7 +377,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
     met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
     # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
-    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(4 * fan_out(docs.sparkSession))).cast("long").alias("bucket")
+    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(DEAL * fan_out(docs.sparkSession))).cast("long").alias("bucket")
     mixed = cut(mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j").select(deal, "t", "node", "comp", "tile", "i", "j"), "mixed")
     point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
     needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id")

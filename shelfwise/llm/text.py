@@ -8,8 +8,10 @@ the batch size; one longer text is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,29 @@ LONG_WORD = 512
 _PLACE = [U((j + 1) * 0x9E3779B97F4A7C15 % (1 << 64)) for j in range(64)]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns a worker's free memory to the system; the next stage's workers run beside it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidy(work: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``work`` over batches, which gives its free memory back at the end."""
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch], *args, **named) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches, *args, **named)
+        finally:
+            give_back()
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = (x ^ (x >> U(30))) * _K2
