@@ -49,6 +49,8 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "free and unencumbered software released into the public domain"),
 ]
+#: Words without which a notice is another licence's: most of its other words stand in that one too (fixed values).
+TELLING = {"lgpl": {"lesser"}, "cc-by-nc": {"nc"}}
 PERCENT = 80
 PIECE, STRIDE = 64, 32
 
@@ -77,6 +79,7 @@ class Index:
         self.is_open = np.zeros(len(rank), bool)
         self.is_open[list(self.opens)] = True
         self.members = [set(s) for s in self.sets]
+        self.telling = [{rank[w] for w in TELLING.get(label, ()) if w in rank} for label in self.labels]
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Rank of each word; -1 outside the vocabulary."""
@@ -95,7 +98,7 @@ class Index:
                 tried.add(i)  # the first common word decides, for both lists ascend
                 if 1 + min(m - p - 1, n - q - 1) >= c:
                     common = len(self.members[i].intersection(block))
-                    if common >= c:
+                    if common >= c and self.telling[i].issubset(block):
                         out.append((i, common))
         return out
 

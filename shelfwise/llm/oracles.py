@@ -104,7 +104,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 def _license() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     base = ", ".join(f"({p.split()!r}, {label!r})" for p, label in license.BASE.items())
-    parts = ", ".join(f"({i}, {label!r}, {sorted(set(t.split()))!r})" for i, (label, t) in enumerate(license.TEMPLATES))
+    parts = ", ".join(f"({i}, {label!r}, {sorted(set(t.split()))!r}, {sorted(license.TELLING.get(label, ())) or ['']!r}, {len(license.TELLING.get(label, ()))})" for i, (label, t) in enumerate(license.TEMPLATES))
     return f"""
 with texts as (select doc_id, {_LOWER} as t from documents),
 words as (select doc_id, regexp_extract_all(t, '{word}') as w from texts),
@@ -116,9 +116,11 @@ lines as (select doc_id, n, regexp_extract_all(line, '{word}') as w from (select
 pieces as (
   select distinct doc_id, n, (i // {license.STRIDE}) - k as piece, x
   from (select doc_id, n, unnest(w) as x, unnest(range(0, len(w))) as i from lines), (select unnest([0, 1]) as k) where i // {license.STRIDE} >= k),
-templates(id, label, w) as (values {parts}),
-vocabulary as (select id, label, len(w) as m, unnest(w) as x from templates),
-common as (select doc_id, label, m, count(*) as c from pieces join vocabulary using (x) group by doc_id, n, piece, id, label, m having 100 * count(*) >= {license.PERCENT} * m),
+templates(id, label, w, telling, n_telling) as (values {parts}),
+vocabulary as (select id, label, len(w) as m, telling, n_telling, unnest(w) as x from templates),
+common as (
+  select doc_id, label, m, count(*) as c from pieces join vocabulary using (x) group by doc_id, n, piece, id, label, m, n_telling
+  having 100 * count(*) >= {license.PERCENT} * m and count(*) filter (where list_contains(telling, x)) = n_telling),
 method as (select doc_id, list_distinct(list(label)) as l, max(c / m) as score from common group by doc_id)
 select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
   coalesce(array_to_string(list_sort(base.l), ','), '') as base_labels,
