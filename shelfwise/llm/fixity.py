@@ -75,8 +75,17 @@ def _differ(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.filter(~F.col("hash").eqNullSafe(F.col("other"))).select("file", "idx")
 
 
+def _numbered(df: DataFrame, column: str) -> DataFrame:
+    """``nth``: which of the rows of equal ``column`` in its file a row is."""
+    return df.drop("nth").withColumn("nth", F.row_number().over(Window.partitionBy("file", column).orderBy("idx")))
+
+
 def audit(primary: DataFrame, replica: DataFrame, fan: int = FAN) -> DataFrame:
-    """The primary's records with status ok, corrupt, moved or missing, and the replica's extra ones (digest null)."""
+    """The primary's records with their status, and the replica's ``extra`` ones (its position, digest null).
+
+    ``ok``: the same bytes at the same place; ``moved``: the same bytes elsewhere in the file (also behind a
+    deleted or inserted record); ``corrupt``: the replica has other bytes under this record id; ``missing``: it has none.
+    """
     a, b = cut(leaves(primary), "leaves"), cut(leaves(replica), "leaves")
     most = max(x.agg(F.max("idx")).first()[0] or 0 for x in (a, b))
     depth = 1
@@ -88,12 +97,18 @@ def audit(primary: DataFrame, replica: DataFrame, fan: int = FAN) -> DataFrame:
         parent = bad.select("file", F.col("idx").alias("up"))
         below = [x.withColumn("up", F.floor(F.col("idx") / fan)).join(parent, ["file", "up"], "left_semi").select("file", "idx", "hash") for x in (left[level], right[level])]
         bad = cut(_differ(*below), "mismatch")
-    # Only what lies in mismatching ranges is compared by content.
-    lost = a.join(bad, ["file", "idx"], "left_semi").select("file", "idx", "digest")
-    there = b.join(bad, ["file", "idx"], "left_semi").select("file", "idx", F.col("digest").alias("other"), F.col("page_id").alias("other_id"))
-    known = there.select("file", F.col("other").alias("digest")).distinct().withColumn("moved", F.lit(True))
-    state = lost.join(known, ["file", "digest"], "left").join(there, ["file", "idx"], "full")
-    status = F.when(F.col("digest").isNull(), "extra").when(F.col("moved"), "moved").when(F.col("other").isNull(), "missing").otherwise("corrupt")
-    state = state.select("file", "idx", status.alias("status"), "other_id")
-    out = a.join(state, ["file", "idx"], "full")
-    return out.select(F.coalesce("page_id", "other_id").alias("page_id"), "file", F.col("idx").alias("position"), "offset", "length", F.col("digest").alias("record_sha256"), F.coalesce("status", F.lit("ok")).alias("status"))
+    # Only what lies in mismatching ranges is aligned: first by digest, then what is left by record id.
+    lost = _numbered(a.join(bad, ["file", "idx"], "left_semi").select("file", "idx", "digest", "page_id"), "digest")
+    there = _numbered(b.join(bad, ["file", "idx"], "left_semi").select("file", "idx", "digest", "page_id"), "digest")
+    moved = lost.join(there.select("file", "digest", "nth"), ["file", "digest", "nth"], "left_semi").select("file", "idx", F.lit("moved").alias("status"))
+    mine = _numbered(lost.join(there, ["file", "digest", "nth"], "left_anti"), "page_id").select("file", "idx", "page_id", "nth")
+    other = _numbered(there.join(lost, ["file", "digest", "nth"], "left_anti"), "page_id")
+    other = other.select(F.col("file").alias("file_b"), F.col("idx").alias("idx_b"), F.col("page_id").alias("page_b"), F.col("nth").alias("nth_b"))
+    pairs = mine.join(other, (F.col("file") == F.col("file_b")) & F.col("page_id").eqNullSafe(F.col("page_b")) & (F.col("nth") == F.col("nth_b")), "full")
+    pairs = cut(pairs, "aligned")
+    state = pairs.filter("idx is not null").select("file", "idx", F.when(F.col("idx_b").isNull(), "missing").otherwise("corrupt").alias("status"))
+    known = a.join(moved.unionByName(state), ["file", "idx"], "left")
+    known = known.select("page_id", "file", F.col("idx").alias("position"), "offset", "length", F.col("digest").alias("record_sha256"), F.coalesce("status", F.lit("ok")).alias("status"))
+    none = F.lit(None)
+    extra = pairs.filter("idx is null").select(F.col("page_b").alias("page_id"), F.col("file_b").alias("file"), F.col("idx_b").alias("position"), none.cast("long").alias("offset"), none.cast("long").alias("length"), none.cast("string").alias("record_sha256"), F.lit("extra").alias("status"))
+    return known.unionByName(extra)

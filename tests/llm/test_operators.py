@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import fixity, mixing, simple8b
 from shelfwise.llm.jaccard import Points, jaccard_join, tree_pairs
-from shelfwise.llm.license import TEMPLATES, license_scan
+from shelfwise.llm.license import TELLING, TEMPLATES, license_scan
 from shelfwise.llm.mixing import described, leaders, mixed, probabilities
 from shelfwise.llm.packing import pack, plan
 from shelfwise.llm.quality import quality_rules
@@ -240,7 +240,7 @@ def test_license(spark):
                 for label, t in TEMPLATES:
                     need = set(t.split())
                     part = len(need & set(x[a : a + 64])) / len(need)
-                    if part >= 0.8:
+                    if part >= 0.8 and TELLING.get(label, set()) <= set(x[a : a + 64]):
                         labels.add(label)
                         best = max(best, part)
         base = {label for p, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")) if any(w[k : k + len(p.split())] == p.split() for k in range(len(w)))}
@@ -249,6 +249,13 @@ def test_license(spark):
         assert (r["base_labels"], r["labels"], r["score"]) == (",".join(sorted(base)), ",".join(sorted(base | labels)), best)
 
 
+def test_license_families_are_told_apart(spark):
+    texts = ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU Lesser General Public License.", "Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0.", "licensed under\nthe gnu general\npublic license"]
+    rows = [(i, t, None, None, 0) + (None,) * 8 for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["labels"] for r in license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {0: "gpl", 1: "gpl,lgpl", 2: "", 3: "cc-by-nc", 4: "gpl"}
+
+
 def test_license_notices_wrapped_over_lines(spark):
     rows = []
     for label, t in TEMPLATES:
@@ -265,9 +272,15 @@ def test_fixity_locates_damage(spark):
     pages = spark.createDataFrame([(i, f"u{i % 50}", f"<p>{i}</p>") for i in range(300)] + [(None, None, None), (5, "u5", "<p>5</p>")], "page_id long, url string, html string").withColumn("file", F.lit("x"))
     records = fixity.archive(pages, file_records=64)
     lost = fixity.damaged(records, 100).filter("page_id is null or page_id != 77")
-    got = Counter((r["status"], r["page_id"]) for r in fixity.audit(records, lost).collect() if r["status"] not in ("ok", "moved"))
-    assert {k for k in got if k[0] == "corrupt"} <= {("corrupt", i) for i in (0, 100, 200)} | {("corrupt", 77)}
-    assert all(any(k[1] == i for k in got) for i in (0, 100, 200, 77))
+    more = spark.createDataFrame([(1000, "u", "<p>new</p>")], "page_id long, url string, html string")
+    added = fixity.archive(more, file_records=64).withColumn("file", F.lit(records.agg(F.min("file")).first()[0]))
+    got = Counter((r["status"], r["page_id"]) for r in fixity.audit(records, lost.unionByName(added)).collect() if r["status"] not in ("ok", "moved"))
+    assert got == Counter([("corrupt", 0), ("corrupt", 100), ("corrupt", 200), ("missing", 77), ("extra", 1000)])
+    # Two records that swap their places, and nothing else.
+    one_file = fixity.archive(pages, file_records=10**6)
+    turned = one_file.withColumn("page_id", F.expr("case page_id when 10 then 11 when 11 then 10 else page_id end"))
+    got = Counter((r["status"], r["page_id"]) for r in fixity.audit(one_file, turned).collect() if r["status"] != "ok")
+    assert set(got) == {("moved", 10), ("moved", 11)}
     same = fixity.audit(records, records).collect()
     assert {r["status"] for r in same} == {"ok"} and len(same) == 302
 
