@@ -5,14 +5,15 @@ spans s letters weighs GAP ** (s - 4), up to ``SPAN`` letters, so a word with
 inserted letters keeps most of what it shares with the plain one. Letters are compared
 after dropping whatever is no letter, and three or more single letters in a
 row are one word, so spelled-out words look like plain ones. Instances are
-windows of ``STARTS`` starts within a word; a document's value is its
-highest window (a multiple-instance SVM), made a probability by a sigmoid.
+windows of ``STARTS`` starts within a word; a word's value is its highest
+window (a multiple-instance SVM), and a logistic function of a document's
+``TOP`` highest words and its length gives its score.
 
 Training uses a bounded sample of labelled documents (``SAMPLE`` a class, by
-hash of the id, held-out rows never). Spark counts in how many contexts (its
-two neighbours) each word of their sentences stands in toxic and in clean
-documents, so that copies count once. Words with many toxic and hardly any
-clean contexts give the positive instances, words of clean
+hash of the id, held-out rows never). Spark counts in how many toxic and clean
+documents each word of their sentences stands; by its contexts (the two
+neighbours) copies of a document count once. Words of many toxic and hardly any
+clean documents give the positive instances, words of clean
 documents the negative ones, at first by hash and then those that score
 highest. Landmarks are picked from both by farthest-first traversal; windows
 become kernel rows against them, whitened by the inverse root of the
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import cut
-from .text import LOWER, SPACE, Texts, U, mix, texts
+from .text import LOWER, SPACE, Texts, U, mix, texts, tidy
 
 #: Labelled documents learnt from, a class.
 SAMPLE = 3000
@@ -126,26 +127,34 @@ def value(letters: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
 
 
 class Model:
-    """Subsequence weights, bias and the sigmoid; or one constant score."""
+    """Subsequence weights, bias and the logistic weights of a document's evidence; or one constant score."""
 
-    def __init__(self, table: np.ndarray | None, bias: float = 0.0, slope: float = 1.0, shift: float = 0.0, constant: float | None = None):
-        self.table, self.bias, self.slope, self.shift, self.constant = table, bias, slope, shift, constant
+    def __init__(self, table: np.ndarray | None, bias: float = 0.0, weights: np.ndarray | None = None, constant: float | None = None):
+        self.table, self.bias, self.weights, self.constant = table, bias, weights, constant
 
-    def probability(self, best: np.ndarray) -> np.ndarray:
+    def probability(self, seen: np.ndarray) -> np.ndarray:
         if self.constant is not None:
-            return np.full(len(best), self.constant)
-        return 1 / (1 + np.exp(-np.clip(self.slope * best + self.shift, -40, 40)))
+            return np.full(len(seen), self.constant)
+        return 1 / (1 + np.exp(-np.clip(seen @ self.weights[:-1] + self.weights[-1], -40, 40)))
 
 
-#: Value of a text without words.
-NO_WORDS = -3.0
+#: Word values are held within -LIMIT and LIMIT as evidence; the lower end stands for a word that a text lacks.
+LIMIT = 1.5
+#: Highest words of a document that are its evidence, besides its length: a stray word alike to an insult stands alone.
+TOP = 3
 _SEEN: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 CACHE_WORDS = 1 << 20
 
 
-def best_of(src: Texts, model: Model) -> np.ndarray:
-    """The highest word value of each row; each distinct word is valued once while this worker remembers it."""
-    out = np.full(src.n, NO_WORDS, np.float64)
+def evidence(src: Texts, model: Model) -> np.ndarray:
+    """The TOP highest word values of each row and the logarithm of its length in words.
+
+    Each distinct word is valued once while this worker remembers it.
+    """
+    out = np.full((src.n, TOP + 1), -LIMIT)
+    out[:, TOP] = 0
+    if model.table is None:
+        return out
     row, letters = words_of(src)
     if not len(row):
         return out
@@ -169,22 +178,32 @@ def best_of(src: Texts, model: Model) -> np.ndarray:
         keys, values = np.insert(keys, at[new], h[new]), np.insert(values, at[new], mine[new])
         _SEEN.clear()
         _SEEN[name] = (keys, values)
-    np.maximum.at(out, row, mine[back].astype(np.float64))
+    worth = np.clip(mine[back].astype(np.float64), -LIMIT, LIMIT)
+    order = np.argsort(-worth, kind="stable")
+    order = order[np.argsort(row[order], kind="stable")]
+    row, worth = row[order], worth[order]
+    count = np.bincount(row, minlength=src.n)
+    place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+    top = place < TOP
+    out[row[top], place[top]] = worth[top]
+    out[:, TOP] = np.log1p(count) / 10
     return out
 
 
+@tidy
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for src in texts(batch.column("text"), SLICE):
-            best = best_of(src, model) if model.table is not None else np.full(src.n, NO_WORDS)
-            cols = [batch.column("doc_id").slice(src.first, src.n), pa.array(best), pa.array(model.probability(best))]
+            seen = evidence(src, model)
+            cols = [batch.column("doc_id").slice(src.first, src.n), pa.array(seen[:, 0]), pa.array(model.probability(seen))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "best", "score"])
 
 
+@tidy
 def _sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each word of the sampled documents with a hash of its two neighbours."""
     for batch in batches:
-        toxic = np.asarray(batch.column("toxic"))
+        toxic, doc = np.asarray(batch.column("toxic")), np.asarray(batch.column("doc_id"))
         for src in texts(batch.column("text"), SLICE):
             row, letters = words_of(src)
             h = keys_of(letters)
@@ -194,16 +213,23 @@ def _sentence_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             context = mix(mix(left + U(1)) ^ right)
             body = letters.tobytes()
             words = [body[i * LENGTH : (i + 1) * LENGTH] for i in range(len(h))]
-            cols = [pa.array(words, pa.binary()), pa.array(context.view(np.int64)), pa.array(toxic[src.first + row].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(cols, ["word", "context", "toxic"])
+            cols = [pa.array(words, pa.binary()), pa.array(context.view(np.int64)), pa.array(toxic[src.first + row].astype(np.int64)), pa.array(doc[src.first + row])]
+            yield pa.RecordBatch.from_arrays(cols, ["word", "context", "toxic", "doc_id"])
 
 
 def word_counts(chosen: DataFrame) -> DataFrame:
-    """word, in_toxic, in_clean: in how many different contexts a word stands; copies of a document share theirs."""
-    seen = chosen.mapInArrow(_sentence_words, "word binary, context long, toxic long").distinct()
-    return seen.groupBy("word").agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean"))
+    """word, in_toxic, in_clean: in how many different documents a word stands.
 
+    Each context of a word counts for the first document that has it: copies, which share
+    their contexts, count once together, and so does a word that one document repeats.
+    """
+    seen = chosen.mapInArrow(_sentence_words, "word binary, context long, toxic long, doc_id long")
+    first = seen.groupBy("word", "context", "toxic").agg(F.min("doc_id").alias("doc"))
+    once = first.select("word", "toxic", "doc").distinct()
+    return once.groupBy("word").agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_clean"))
 
+
+@tidy
 def _value_words(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = value(_letters(batch.column("word").to_pylist()), model.table, model.bias) if batch.num_rows else np.zeros(0)
@@ -309,21 +335,21 @@ def fit_table(positive: np.ndarray, counts: np.ndarray, negative: np.ndarray, la
     return _table(np.stack([m[0] for m in marks]), np.stack([a * m[1] for a, m in zip(alpha, marks, strict=True)])), bias
 
 
-def sigmoid(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt's slope and shift, by Newton steps on smoothed targets."""
+def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic weights and shift of evidence rows, by Newton steps on Platt's smoothed targets; both classes weigh the same."""
     pos, neg = (y == 1).sum(), (y == 0).sum()
     target = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     weight = np.where(y == 1, 0.5 / max(1, pos), 0.5 / max(1, neg)) * len(y)
-    z = np.stack([f, np.ones(len(f))], 1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+    z = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(z.shape[1])
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        grad = z.T @ (weight * (p - target)) + 1e-3 * w
-        step = np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + 1e-3 * np.eye(2), grad)
+        grad = z.T @ (weight * (p - target)) + 1e-2 * w
+        step = np.linalg.solve(z.T @ (z * (weight * p * (1 - p))[:, None]) + 1e-2 * np.eye(len(w)), grad)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
-    return float(w[0]), float(w[1])
+    return w
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -365,15 +391,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         if not hard or hard[0]["f"] < 0:
             break
         negative = list(dict.fromkeys([*(r["word"] for r in hard), *negative]))[: NEGATIVE + 2 * HARD]
-    values = chosen.select("doc_id", "text", "toxic").mapInArrow(partial(_best, model=model), "toxic int, best double").toPandas()
-    slope, shift = sigmoid(values["best"].to_numpy(), values["toxic"].to_numpy())
-    return Model(table, bias, slope, shift)
+    # At most 2 * sample rows.
+    seen = chosen.select("doc_id", "text", "toxic").mapInArrow(partial(_evidence, model=model), "toxic int, seen array<double>").toPandas()
+    return Model(table, bias, logistic(np.stack(seen["seen"].to_list()), seen["toxic"].to_numpy()))
 
 
-def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+@tidy
+def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for src in texts(batch.column("text"), SLICE):
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(src.first, src.n), pa.array(best_of(src, model))], ["toxic", "best"])
+            seen = pa.array(list(evidence(src, model)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic").slice(src.first, src.n), seen], ["toxic", "seen"])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -382,12 +410,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return text.mapInArrow(partial(_score, model=model), "doc_id long, best double, score double")
 
 
+@tidy
 def _keep(batches: Iterator[pa.RecordBatch], model: Model, below: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = np.ones(batch.num_rows, bool)
         for src in texts(batch.column("text"), SLICE):
-            best = best_of(src, model) if model.table is not None else np.full(src.n, NO_WORDS)
-            ok[src.first : src.first + src.n] = model.probability(best) < below
+            ok[src.first : src.first + src.n] = model.probability(evidence(src, model)) < below
         yield batch.filter(pa.array(ok))
 
 
