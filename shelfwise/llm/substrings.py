@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import cut, fan_out, release
-from .text import U, Words, mix, texts
+from .text import U, Words, give_back, mix, texts, tidy
 
 WINDOW = 20
 PHRASE = 8
@@ -71,6 +71,7 @@ def digests(w: Words, keep: np.ndarray) -> list[str]:
 BASE = "key long, tag long, n_words long, h1 long, h2 long, sha string"
 
 
+@tidy
 def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts, a hash of the word sequence, and the digest of all words."""
     for batch in batches:
@@ -110,6 +111,7 @@ class Contexts:
         self.t = g[self.anchor]
 
 
+@tidy
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, phrase: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         key = batch.column("key")
@@ -190,6 +192,8 @@ def _locate(docs: pa.Table, recurring: pa.Table, window: int, phrase: int) -> pa
     both = np.concatenate([later, ask])
     t_col = pa.concat_arrays([pa.nulls(n_later, pa.int64()), pa.array(t[ask].view(np.int64))])
     w_col = pa.concat_arrays([pa.nulls(n_later, pa.binary()), pa.array(w_bytes, pa.binary())])
+    del slices, found, hashes
+    give_back()
     return pa.table([pa.array(key[both]), pa.array(tag[both]), pa.array(lo[both]), pa.array(hi[both]), t_col, w_col], names=names)
 
 
@@ -214,6 +218,7 @@ def _later(group: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(key[ask[a]]), "tag": pa.array(tag[ask[a]]), "lo": pa.array(start[a]), "hi": pa.array(start[b])})
 
 
+@tidy
 def _remove(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         spans = batch.column("spans")
