@@ -82,6 +82,11 @@ def merge(
     n = n.select([F.col(c).alias(f"n_{c}") for c in n.columns])
     # Null-safe: a row with a NULL key part meets itself on a re-run instead of being added again.
     j = o.join(n, reduce(Column.__and__, [F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}")) for k in keys]), "full")
+    return j.select(*merged_columns(cols, keys, updates))
+
+
+def merged_columns(cols: list[str], keys: list[str], updates: tuple[str, ...] | list[str]) -> list[Column]:
+    """The columns of a merged row, from a full join of ``o_`` and ``n_`` columns with o__in_old and n__in_new."""
     out = []
     for c in cols:
         if c in keys:
@@ -90,7 +95,7 @@ def merge(
             out.append(F.when(F.col("n__in_new"), F.col(f"n_{c}")).otherwise(F.col(f"o_{c}")).alias(c))
         else:
             out.append(F.when(F.col("o__in_old"), F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c))
-    return j.select(*out)
+    return out
 
 
 def upsert(old: DataFrame, batch: DataFrame, spec: TableSpec, now: str | None = None, order=None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import clamp_probe_days, closed_range, lookback
 from ..functions.expr import default_if_empty, flag_to_bool, positive
+from ..operators import bucketed as BK
 from ..operators import keys as K
 from ..operators import summary as SM
 from ..operators.upsert import conform, merge, upsert
@@ -647,10 +648,17 @@ def _sell_pair(spark, sf):
     return old, batch
 
 
+def _upserted(spark, spec: S.TableSpec, old: DataFrame, batch: DataFrame) -> DataFrame:
+    """Two loads into a bucketed fact, the later one over the months it touches."""
+    root = scratch_path(spark, "queries", spec.name)
+    BK.upsert_fact(spark, root, old, spec, P.NOW, buckets=2)
+    BK.upsert_fact(spark, root, batch, spec, P.LATER)
+    return BK.read_fact(spark, root, spec).select(*spec.columns)
+
+
 @register("upsert_sells", UPSERT_SELL_SQL, {**BASE_CTES, "sell_old": SELL_OLD, "sell_new": SELL_NEW})
 def q_upsert_sells(spark, sf):
-    old, batch = _sell_pair(spark, sf)
-    return upsert(old, batch, S.SELL, P.LATER)
+    return _upserted(spark, S.SELL, *_sell_pair(spark, sf))
 
 
 @register(
@@ -700,7 +708,7 @@ def q_upsert_sell_details(spark, sf):
     batch = L.load_sell_detail(
         d.v_sell_detail, d.v_sell, P.NEW_START, P.FULL_END, active_shops(t), limited_products(t), t.suppliers
     )
-    return upsert(old, batch, S.SELL_DETAIL, P.LATER)
+    return _upserted(spark, S.SELL_DETAIL, old, batch)
 
 
 @register(

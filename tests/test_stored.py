@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import schemas as S
+from shelfwise.operators import bucketed as BK
 from shelfwise.operators import constraints as C
 from shelfwise.operators import digest as DG
 from shelfwise.operators import series as SR
 from shelfwise.operators import summary as SM
 from shelfwise.operators import surrogate as K
 from shelfwise.operators.quality import dlq
-from shelfwise.operators.upsert import upsert_months
+from shelfwise.operators.upsert import conform, upsert, upsert_months
 from shelfwise.streaming import sync as ST
 from tests.conftest import SF_SMALL, rows
 from tests.test_streaming_plans import _plan
@@ -79,6 +80,52 @@ def test_lookups_prune_the_written_months(spark):
         assert "PartitionFilters: [isnotnull(sell_month" in txt and "lineitem" not in txt, name
 
 
+# --- bucketed facts
+
+
+def sells(ids, shop, year=2026):
+    return [(i, shop, i is not None and dt.datetime(year, 1 + i % 3, 1 + i % 28) or dt.datetime(year, 2, 3)) for i in ids]
+
+
+SELLS = "id bigint, shop_id int, sell_date timestamp_ntz"
+EARLY, LATE = "2026-01-01 00:00:00", "2026-02-01 00:00:00"
+
+
+def test_bucketed_upsert_equals_merge(spark, scratch):
+    old = spark.createDataFrame(sells([*range(300), None], 1), SELLS)
+    new = spark.createDataFrame(sells([i for i in range(200, 400) if i % 3 != 2] + [None, None], 2) + sells([201, 201], 7), SELLS)
+    root = f"{scratch}/sell"
+    assert len(BK.upsert_fact(spark, root, old, S.SELL, EARLY, buckets=4)) == 3
+    before = files(spark, root)
+    assert {m.month for m in BK.upsert_fact(spark, root, new, S.SELL, LATE, buckets=9)} == {1, 2}
+    want = upsert(conform(old, S.SELL, EARLY), new, S.SELL, LATE)
+    got = BK.read_fact(spark, root, S.SELL)
+    assert rows(got, *S.SELL.columns) == rows(want)
+    assert {f for f in before if f[0].month == 3} == {f for f in files(spark, root) if f[0].month == 3}  # not rewritten
+    for _ in range(2):
+        BK.upsert_fact(spark, root, new, S.SELL, LATE)
+    assert rows(BK.read_fact(spark, root, S.SELL), *S.SELL.columns) == rows(want)
+    # A new session finds the table by its place, with the buckets it was made with.
+    name = BK.open_table(spark, root, S.SELL)
+    spark.sql(f"DROP TABLE {name}")
+    assert rows(BK.read_fact(spark, root, S.SELL), *S.SELL.columns) == rows(want) and BK._buckets_of(spark, name) == 4
+    assert BK.upsert_fact(spark, root, new.limit(0), S.SELL, LATE) == []
+
+
+def test_upsert_does_not_shuffle_the_target(spark, scratch):
+    root = f"{scratch}/sell"
+    BK.upsert_fact(spark, root, spark.createDataFrame(sells(range(300), 1), SELLS), S.SELL, EARLY, buckets=4)
+    new = conform(spark.createDataFrame(sells(range(100), 2), SELLS), S.SELL, LATE)
+    plan = _plan(BK.merge_bucketed(BK.read_fact(spark, root, S.SELL), new, S.SELL, 4))
+    main = plan[: plan.index("(1) ")].split("SortMergeJoin FullOuter")[1]
+    target = main[: main.index("Scan parquet")]  # what stands between the join and the target's scan
+    assert "Exchange" not in target and "Bucketed: true" in plan and "SelectedBucketsCount: 4 out of 4" in plan
+
+
+def test_buckets_follow_the_busiest_month():
+    assert [BK.buckets_for(x << 20) for x in (0, 256, 257, 2560)] == [1, 1, 2, 10]
+
+
 # --- digests
 
 
