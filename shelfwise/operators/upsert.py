@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..functions.expr import month_trunc
 from ..schemas import TableSpec
@@ -150,6 +151,14 @@ def publish_snapshot(spark: SparkSession, root: str, df: DataFrame, sort_by: lis
     return path
 
 
+def read_months(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """A fact, or another table written by appending, without its partition column; empty before the first write."""
+    if not path_exists(spark, root):
+        return empty_target(spark, spec)
+    schema = StructType([*spec.schema.fields, StructField("sell_month", DateType())]) if spec.month_col else spec.schema
+    return spark.read.schema(schema).parquet(root).select(*spec.columns)
+
+
 def write_months(
     spark: SparkSession,
     root: str,

@@ -414,5 +414,21 @@ def run_full(spark: SparkSession, dom: Domain, root: str, as_of: str, start: str
     return run_load(spark, dom, root, "full", as_of, start, end, reset=True, whole=start is None and end is None, now=now)
 
 
+def reset_targets(spark: SparkSession, root: str) -> None:
+    """Empties all targets under ``root``: an empty snapshot for each master, an empty table for the others.
+
+    Earlier snapshots of a master stay for their readers; facts and embeddings are overwritten.
+    """
+    for spec in S.TARGETS.values():
+        path = f"{root}/{spec.name}"
+        if spec.month_col:
+            none = _empty(spark, spec).withColumn("sell_month", F.lit(None).cast("date"))
+            none.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        elif spec is S.PRODUCT_EMBEDDINGS:
+            _empty(spark, spec).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        else:
+            publish_snapshot(spark, path, _empty(spark, spec))
+
+
 def _empty(spark: SparkSession, spec: S.TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)

@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import closed_range, load_window
-from ..operators.aggregates import count_rows
-from ..operators.upsert import publish_snapshot, read_snapshot, upsert_months
+from ..operators.aggregates import content_rows
+from ..operators.similar import append_embedding, save_embeddings
+from ..operators.upsert import read_months, read_snapshot, upsert_months
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.lake import lake_read, lake_write, lake_write_snapshots, retention, schema_align
 from . import loads as L
 from . import params as P
 from .catalog import register
-from .q_load import BASE_CTES, FACT_CTES, STOCK_COLS, STOCK_CTES, active_shops, dom, full, limited_products, rng
+from .q_load import (
+    BASE_CTES, CUSTOMERS_SQL, FACT_CTES, STOCK_COLS, STOCK_CTES, T_TARGET_COLS, _named_sql, dom, full, ranged, rng,
+)
 from .q_series import SERIES_CTES
 
 
@@ -96,60 +99,92 @@ def q_schema_align(spark, sf):
     return aligned.select(*S.PRODUCTS.columns)
 
 
-@register("full_reset", f"select {STOCK_COLS} from t_stock", STOCK_CTES)
-def q_full_reset(spark, sf):
-    t = full(spark, sf)
-    root = scratch(spark, "stock_balance")
-    stale = L.load_stock_balance(dom(spark, sf).v_stock_shop, active_shops(t), limited_products(t))
-    from ..operators.upsert import conform
+MASTERS = (S.BRANCHES, S.SUPPLIERS, S.CUSTOMERS, S.BRANDS, S.CATEGORIES, S.GROUPS, S.TYPES, S.PRODUCTS, S.STOCK_BALANCE, S.STOCK_TARGETS)
+
+
+def _written(spark, root: str) -> dict[str, DataFrame]:
+    """Every target that a load writes, as it stands."""
+    masters = {spec.name: read_snapshot(spark, f"{root}/{spec.name}", spec) for spec in MASTERS}
+    return masters | {spec.name: read_months(spark, f"{root}/{spec.name}", spec) for spec in (S.SELL, S.SELL_DETAIL)}
+
 
-    publish_snapshot(spark, root, conform(stale, S.STOCK_BALANCE, P.NOW))
-    # Reset: the fresh load replaces the table instead of merging into it.
-    publish_snapshot(spark, root, t.stock_balance)
-    return read_snapshot(spark, root, S.STOCK_BALANCE)
+def _content_sql(table: str, spec: S.TableSpec, source: str) -> str:
+    def text(f):
+        kind = f.dataType.simpleString()
+        c = f"cast(round({f.name} * 10000) as bigint)" if kind == "double" else f"strftime({f.name}, '%Y%m%d%H%M%S')" if kind == "timestamp_ntz" else f.name
+        return f"coalesce(cast({c} as varchar), '~')"
 
+    row = ", ".join(text(f) for f in spec.schema.fields)
+    return f"""select '{table}' as table_name, count(*) as n_rows,
+        coalesce(cast(sum(('0x' || substr(md5(concat_ws('|', {row})), 1, 8))::bigint) as bigint), 0) as content from ({source})"""
 
-def _load_counts(spark, root: str) -> DataFrame:
-    masters = {
-        spec.name: read_snapshot(spark, f"{root}/{spec.name}", spec)
-        for spec in (S.BRANCHES, S.SUPPLIERS, S.CUSTOMERS, S.BRANDS, S.CATEGORIES, S.GROUPS, S.TYPES,
-                     S.PRODUCTS, S.STOCK_BALANCE, S.STOCK_TARGETS)
+
+def _targets_sql(start: str | None, end: str | None) -> dict[str, str]:
+    """The rows of every target after a load of the window."""
+    window = rng("sell_date", start, end)
+    return {
+        "branches": "select * from t_branches",
+        "suppliers": "select * from t_suppliers",
+        "customers": CUSTOMERS_SQL,
+        "product_brands": _named_sql("brand_id", "brand_name", "name"),
+        "product_categories": _named_sql("category_id", "category_name", "name"),
+        "product_groups": _named_sql("group_id", "'SIZE ' || cast(group_id as varchar)", "description"),
+        "product_types": _named_sql("type_id", "type_name", "name"),
+        "products": "select * from t_products",
+        "stock_balance": f"select {STOCK_COLS} from t_stock",
+        "stock_targets": f"select {T_TARGET_COLS} from t_setting_latest",
+        "sell": f"select * from t_sell where {window}",
+        "sell_detail": f"select * from t_detail where {window}",
     }
-    facts = {name: spark.read.parquet(f"{root}/{name}") for name in ("sell", "sell_detail")}
-    return count_rows({**masters, **facts})
-
-
-def _counts_sql(start: str, end: str) -> str:
-    return f"""
-        select 'branches' as table_name, count(*) as n_rows from v_shop
-        union all select 'suppliers', count(*) from v_company where type = 'S'
-        union all select 'customers', count(*) from v_company where type = 'C'
-        union all select 'product_brands', count(distinct brand_id) from v_product
-        union all select 'product_categories', count(distinct category_id) from v_product
-        union all select 'product_groups', count(distinct group_id) from v_product
-        union all select 'product_types', count(distinct type_id) from v_product
-        union all select 'products', count(*) from v_product
-        union all select 'stock_balance', count(*) from t_stock
-        union all select 'stock_targets', count(*) from t_setting_latest
-        union all select 'sell', count(*) from v_sell where {rng('sell_date', start, end)}
-        union all select 'sell_detail', count(*) from v_sell_detail d join v_sell s on d.sell_id = s.id
-                  where {rng('s.sell_date', start, end)}"""
-
-
-@register("run_load", _counts_sql(P.RANGE_START, P.RANGE_END), STOCK_CTES)
+
+
+def _loaded_sql(start: str | None, end: str | None) -> str:
+    return " union all ".join(_content_sql(t, S.TARGETS[t], sql) for t, sql in _targets_sql(start, end).items())
+
+
+LOAD_CTES = {**STOCK_CTES, **FACT_CTES}
+
+
+@register("run_load", _loaded_sql(P.RANGE_START, P.RANGE_END), LOAD_CTES)
 def q_run_load(spark, sf):
-    root = scratch(spark, "targets")
-    L.run_load(spark, dom(spark, sf), root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
-    return _load_counts(spark, root)
+    """Every target that a load of a window has written, by row count and content."""
+    return content_rows(_written(spark, ranged(spark, sf)))
 
 
-@register("run_full", _counts_sql(P.FULL_START, P.FULL_END), STOCK_CTES)
+@register("run_full", _loaded_sql(P.FULL_START, P.FULL_END), LOAD_CTES)
 def q_run_full(spark, sf):
     root = scratch(spark, "targets")
     # A stale first run over a narrow window, then the full reload replaces everything.
     L.run_load(spark, dom(spark, sf), root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
     L.run_full(spark, dom(spark, sf), root, P.AS_OF, now=P.NOW)
-    return _load_counts(spark, root)
+    return content_rows(_written(spark, root))
+
+
+@register(
+    "full_reset",
+    "select 'after reset' as step, table_name, cast(0 as bigint) as n_rows, cast(0 as bigint) as content from ("
+    + _loaded_sql(P.RANGE_START, P.RANGE_END)
+    + ") union all select 'after reset', 'product_embeddings', 0, 0 union all select 'loaded again', * from ("
+    + _loaded_sql(P.RANGE_START, P.RANGE_END)
+    + ") union all select 'loaded again', 'product_embeddings', 0, 0",
+    LOAD_CTES,
+)
+def q_full_reset(spark, sf):
+    """All 13 targets of a load are emptied, then loaded again."""
+    root = scratch(spark, "targets")
+    d = dom(spark, sf)
+    L.run_load(spark, d, root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
+    save_embeddings(append_embedding(d.embeddings, P.NOW), f"{root}/product_embeddings")
+    L.reset_targets(spark, root)
+
+    def state(step: str) -> DataFrame:
+        empty = read_months(spark, f"{root}/product_embeddings", S.PRODUCT_EMBEDDINGS).drop("embedding")
+        found = content_rows(_written(spark, root) | {"product_embeddings": empty})
+        return found.select(F.lit(step).alias("step"), "table_name", "n_rows", "content")
+
+    emptied = spark.createDataFrame(state("after reset").collect(), "step string, table_name string, n_rows long, content long")  # 13 rows
+    L.run_load(spark, d, root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
+    return emptied.unionByName(state("loaded again"))
 
 
 WINDOW_CASES = (

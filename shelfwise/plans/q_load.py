@@ -55,6 +55,7 @@ class Stored:
     root: str
     summary: str
     first_month: str | None
+    counts: dict
 
 
 def stored(spark: SparkSession, sf: str) -> Stored:
@@ -64,9 +65,9 @@ def stored(spark: SparkSession, sf: str) -> Stored:
         if key not in _MEMO:
             ensure_scratch(spark)
             root = scratch_path(spark, "stored")
-            L.run_full(spark, dom(spark, sf), root, P.AS_OF, now=P.NOW)
+            counts = L.run_full(spark, dom(spark, sf), root, P.AS_OF, now=P.NOW)["counts"]
             SM.refresh(spark, f"{root}/sell_detail", f"{root}/monthly")
-            _MEMO[key] = Stored(root, f"{root}/monthly", SM.first_month(spark, f"{root}/monthly"))
+            _MEMO[key] = Stored(root, f"{root}/monthly", SM.first_month(spark, f"{root}/monthly"), counts)
         return _MEMO[key]
 
 
@@ -226,12 +227,15 @@ def q_load_suppliers(spark, sf):
     return full(spark, sf).suppliers
 
 
+CUSTOMERS_SQL = f"""select id, coalesce(code, '') as code, coalesce(name, '') as name, coalesce(tax_id, '') as tax_id,
+       coalesce(nationid, '') as nation_id, coalesce(address, '') as address, coalesce(tel, '') as tel,
+       coalesce(email1, '') as email, 'ACTIVE' as status, {TS_NOW} as created_at, {TS_NOW} as updated_at
+       from v_company where type = 'C'"""
+
+
 @register(
     "load_customers",
-    f"""select id, coalesce(code, '') as code, coalesce(name, '') as name, coalesce(tax_id, '') as tax_id,
-           coalesce(nationid, '') as nation_id, coalesce(address, '') as address, coalesce(tel, '') as tel,
-           coalesce(email1, '') as email, 'ACTIVE' as status, {TS_NOW} as created_at, {TS_NOW} as updated_at
-       from v_company where type = 'C'""",
+    CUSTOMERS_SQL,
 )
 def q_load_customers(spark, sf):
     return full(spark, sf).customers
@@ -508,16 +512,9 @@ def q_count_probe(spark, sf):
     {**STOCK_CTES, **FACT_CTES},
 )
 def q_count_loaded(spark, sf):
-    from ..operators.aggregates import count_rows
-
-    t = full(spark, sf)
-    return count_rows(
-        {
-            "branches": t.branches, "suppliers": t.suppliers, "products": t.products,
-            "stock_balance": t.stock_balance, "stock_targets": t.stock_targets,
-            "sell": t.sell, "sell_detail": t.sell_detail,
-        }
-    )
+    counts = stored(spark, sf).counts  # observed while the targets were written
+    names = ("branches", "suppliers", "products", "stock_balance", "stock_targets", "sell", "sell_detail")
+    return spark.createDataFrame([(n, counts[n]) for n in names], "table_name string, n_rows long")
 
 
 # ---------------------------------------------------------------------------
@@ -805,7 +802,12 @@ def q_load_sell_detail(spark, sf):
        from embeddings where embedding is not null""",
 )
 def q_append_embedding(spark, sf):
-    from ..operators.similar import append_embedding
-
-    out = append_embedding(dom(spark, sf).embeddings, P.NOW)
+    from ..operators.similar import append_embedding, save_embeddings
+
+    ensure_scratch(spark)
+    path = scratch_path(spark, "queries", "product_embeddings")
+    rows = append_embedding(dom(spark, sf).embeddings, P.NOW)
+    for half in (0, 1):  # two calls of the insert
+        save_embeddings(rows.where(F.col("id") % 2 == half), path)
+    out = spark.read.parquet(path)
     return out.select("id", "product_id", "content", F.size("embedding").alias("n_dims"), "created_at")

@@ -8,6 +8,7 @@ from .. import schemas as S
 from ..functions.dates import month_partition_filter
 from ..operators import forecast as FC
 from ..operators import planning as PL
+from ..session import scratch_path
 from . import params as P
 from .catalog import register
 from .q_load import STOCK_CTES, full, stored_fact
@@ -216,7 +217,10 @@ def q_recommend_purchase(spark, sf):
     PLAN_CTES,
 )
 def q_purchase_proposal(spark, sf):
-    p = PL.purchase_proposal(_recommend(spark, sf), P.AS_OF)
+    path = scratch_path(spark, "queries", "proposals")
+    made = PL.purchase_proposal(_recommend(spark, sf), P.AS_OF)
+    PL.append_proposals(made, path)
+    p = spark.read.schema(made.schema).parquet(path)
     return p.withColumn("lines", PL.proposal_text(F.col("lines")))
 
 
