@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import bounded_broadcast, key_set, known_rows
@@ -127,6 +127,28 @@ def reconcile(
     return j.withColumn("diff", F.col("source_value") - F.col("target_value"))
 
 
+def audit_strata(source: DataFrame, target: DataFrame, table: str, key: Sequence[str], strata: Sequence[str], compare: Sequence[str], k: int,
+                 seed: str = "audit") -> DataFrame:
+    """table_name, row_key, the strata, same, found: the ``k`` source rows of least hash in every stratum against the target.
+
+    The least hashes of a stratum are those of its parts merged, so each task keeps
+    ``k`` rows a stratum before the shuffle (group limit), and the sample is the same for any partitioning.
+    """
+    name = F.concat_ws(":", *[F.col(c).cast("string") for c in key])
+    h = F.md5(F.concat(F.col("row_key"), F.lit("|" + seed)))
+    order = Window.partitionBy(*strata).orderBy("_h", "row_key")
+    columns = list(dict.fromkeys([*strata, *compare]))
+    sample = source.select(name.alias("row_key"), *key, *[c for c in columns if c not in key]).withColumn("_h", h)
+    sample = sample.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k).drop("_h", "_rank")
+    there = target.select(*[F.col(c).alias(f"t_{c}") for c in dict.fromkeys([*key, *compare])], F.lit(True).alias("_found"))
+    j = sample.join(there, [F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in key], "left")
+    found = F.coalesce("_found", F.lit(False))
+    same = found
+    for c in compare:
+        same = same & F.col(c).eqNullSafe(F.col(f"t_{c}"))
+    return j.select(F.lit(table).alias("table_name"), "row_key", *strata, same.alias("same"), found.alias("found"))
+
+
 def audit_sample(
     source: DataFrame,
     target: DataFrame,

@@ -17,7 +17,7 @@ from ..operators.aggregates import content_rows
 from ..operators.similar import append_embedding, save_embeddings
 from ..operators.upsert import read_months, read_snapshot, upsert_months
 from ..session import ensure_checkpoint_dir, scratch_path
-from ..sources.lake import lake_read, lake_write, lake_write_snapshots, retention, schema_align
+from ..sources.lake import drop_expired, lake_read, lake_write, lake_write_snapshots, schema_align
 from . import loads as L
 from . import params as P
 from .catalog import register
@@ -56,17 +56,44 @@ def _lake(spark, sf) -> str:
     root = scratch(spark, "lake")
     t = full(spark, sf)
     lake_write(t.sell_detail, f"{root}/sales", sort_by=["shop_id", "product_id", "sell_date"])
+    lake_write(t.sell, f"{root}/bills", sort_by=["shop_id", "sell_date"])
     lake_write_snapshots({"inventory": t.stock_balance, "products": t.products, "shops": t.branches}, root, P.AS_OF)
-    return f"{root}/sales"
+    return root
 
 
 def _lake_summary(df: DataFrame) -> DataFrame:
     return df.groupBy("yyyy", "mm").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"))
 
 
-@register("lake_write", LAKE_SQL.format(where=""), SERIES_CTES)
+def _snapshot_sql(name: str, qty: str, source: str) -> str:
+    return f"union all select '{name}', {int(P.AS_OF[:4])}, {int(P.AS_OF[5:7])}, count(*), {qty} from {source}"
+
+
+@register(
+    "lake_write",
+    "select 'sales' as dataset, * from (" + LAKE_SQL.format(where="") + """)
+     union all select 'bills', cast(year(sell_date) as integer), cast(month(sell_date) as integer), count(*), cast(null as bigint) from t_sell group by all """
+    + _snapshot_sql("inventory", "cast(sum(qty) as bigint)", "t_stock") + " " + _snapshot_sql("products", "cast(null as bigint)", "t_products")
+    + " " + _snapshot_sql("shops", "cast(null as bigint)", "t_branches"),
+    {**SERIES_CTES, **STOCK_CTES, **FACT_CTES},
+)
 def q_lake_write(spark, sf):
-    return _lake_summary(lake_read(spark, _lake(spark, sf)))
+    """The lake's five data sets, read back: lines and bills by month, the snapshots of a day."""
+    root = _lake(spark, sf)
+    none = F.lit(None).cast("bigint")
+    parts = [
+        _lake_summary(lake_read(spark, f"{root}/sales")).withColumn("dataset", F.lit("sales")),
+        _lake_summary(lake_read(spark, f"{root}/bills").withColumn("qty", none)).withColumn("dataset", F.lit("bills")),
+    ]
+    for name in ("inventory", "products", "shops"):
+        day = spark.read.parquet(f"{root}/{name}").where(F.col("snapshot_date") == F.lit(P.AS_OF).cast("date"))
+        qty = F.sum("qty").cast("bigint") if name == "inventory" else none
+        at = [F.year("snapshot_date").alias("yyyy"), F.month("snapshot_date").alias("mm")]
+        parts.append(day.groupBy(*at).agg(F.count(F.lit(1)).alias("n_rows"), qty.alias("qty")).withColumn("dataset", F.lit(name)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 RETAIN_FROM = "2000-01-01"
@@ -74,9 +101,9 @@ RETAIN_FROM = "2000-01-01"
 
 @register("retention", LAKE_SQL.format(where=f"where sell_date >= timestamp '{RETAIN_FROM} 00:00:00'"), SERIES_CTES)
 def q_retention(spark, sf):
-    path = _lake(spark, sf)
-    kept = retention(spark, path, RETAIN_FROM, scratch(spark, "retained"))
-    return _lake_summary(spark.read.parquet(kept))
+    path = f"{_lake(spark, sf)}/sales"
+    drop_expired(spark, path, RETAIN_FROM)
+    return _lake_summary(lake_read(spark, path))
 
 
 OLD_PRODUCT_COLS = ["id", "pu_product_id", "brand_id", "category_id", "group_id", "description", "created_at"]
@@ -187,6 +214,18 @@ def q_full_reset(spark, sf):
     return emptied.unionByName(state("loaded again"))
 
 
+@register("idempotent_resync", f"select table_name, n_rows, true as same from ({_loaded_sql(P.RANGE_START, P.RANGE_END)})", LOAD_CTES)
+def q_idempotent_resync(spark, sf):
+    """A load run twice into the same targets leaves every table's rows and content as they were."""
+    root = scratch(spark, "targets")
+    seen = []
+    for _ in range(2):
+        L.run_load(spark, dom(spark, sf), root, "repair", P.AS_OF, P.RANGE_START, P.RANGE_END, now=P.NOW)
+        seen.append({r["table_name"]: (r["n_rows"], r["content"]) for r in content_rows(_written(spark, root)).collect()})  # 12 rows
+    once, twice = seen
+    return spark.createDataFrame([(t, n, twice[t] == (n, c)) for t, (n, c) in once.items()], "table_name string, n_rows long, same boolean")
+
+
 WINDOW_CASES = (
     ("daily", "daily", None, None, 7),
     ("daily_zero_lookback", "daily", None, None, 0),

@@ -12,7 +12,7 @@ from ..operators import constraints as C
 from ..operators import digest as DG
 from ..operators import keys as K
 from ..operators import quality as Q
-from ..operators.upsert import read_snapshot, upsert
+from ..operators.upsert import read_snapshot
 from ..session import scratch_path
 from . import loads as L
 from . import params as P
@@ -318,24 +318,31 @@ def q_audit_sample(spark, sf):
     return Q.audit_sample(dom(spark, sf).v_sell, target, "id", ["shop_id", "sell_date"], 100, AUDIT_SEED)
 
 
+STRATUM = 4  # rows of each shop: 100 bills and 100 stocks of 25 shops
+
+
+def _strata_sql(table: str, key: str, source: str, target: str, on: str, same: str) -> str:
+    return f"""
+        select '{table}' as table_name, s.row_key, s.shop_id, t.row_key is not null and {same} as same, t.row_key is not null as found
+        from (select *, {key} as row_key from {source}
+              qualify row_number() over (partition by shop_id order by md5({key} || '|{AUDIT_SEED}'), {key}) <= {STRATUM}) s
+        left join (select *, {key} as row_key from {target}) t on {on}"""
+
+
 @register(
-    "idempotent_resync",
-    f"""select 'rows' as check_name, count(*) as n_rows from t_sell_once
-        union all select 'once_minus_twice', 0
-        union all select 'twice_minus_once', 0""",
-    {**BASE_CTES, "t_sell_once": f"select * from v_sell where {rng('sell_date', P.FULL_START, P.FULL_END)}"},
+    "audit_strata",
+    _strata_sql("sell", "cast(id as varchar)", "v_sell", "t_range_sell", "s.row_key = t.row_key", "s.sell_date is not distinct from t.sell_date")
+    + " union all "
+    + _strata_sql("stock_balance", "cast(shop_id as varchar) || ':' || cast(product_id as varchar)", "t_stock", "(select * from t_stock where product_id % 3 <> 0)",
+                  "s.row_key = t.row_key", "s.qty is not distinct from t.qty"),
+    {**STOCK_CTES, "t_range_sell": RANGE_SELL},
 )
-def q_idempotent_resync(spark, sf):
-    """Applying the same load twice equals applying it once (both set differences empty)."""
-    t = full(spark, sf)
+def q_audit_strata(spark, sf):
+    """Bills and stocks of every shop against written targets: a load of a window, and a balance that lacks some products."""
     d = dom(spark, sf)
-    batch = L.load_sell(d.v_sell, P.FULL_START, P.FULL_END, t.branches)
-    empty = spark.createDataFrame([], S.SELL.schema)
-    once = upsert(empty, batch, S.SELL, P.NOW)
-    twice = upsert(once, batch, S.SELL, P.NOW)
-    parts: list[DataFrame] = [
-        once.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("rows").alias("check_name"), "n_rows"),
-        once.exceptAll(twice).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("once_minus_twice").alias("check_name"), "n_rows"),
-        twice.exceptAll(once).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("twice_minus_once").alias("check_name"), "n_rows"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    t = full(spark, sf)
+    sell = spark.read.parquet(f"{ranged(spark, sf)}/sell")
+    bills = Q.audit_strata(d.v_sell, sell, "sell", ["id"], ["shop_id"], ["sell_date"], STRATUM, AUDIT_SEED)
+    stock = read_snapshot(spark, f"{stored(spark, sf).root}/stock_balance", S.STOCK_BALANCE).where("product_id % 3 <> 0")
+    balance = L.load_stock_balance(d.v_stock_shop, t.branches, t.products)
+    return bills.unionByName(Q.audit_strata(balance, stock, "stock_balance", ["shop_id", "product_id"], ["shop_id"], ["qty"], STRATUM, AUDIT_SEED))

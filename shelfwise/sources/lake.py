@@ -70,6 +70,28 @@ def lake_read(spark: SparkSession, path: str, start: str | None = None, end: str
     return df
 
 
+def drop_expired(spark: SparkSession, path: str, keep_from: str) -> list[str]:
+    """Deletes the month folders before ``keep_from``'s month; their names. No kept row is read or written.
+
+    ``retention`` is the way that leaves the old lake to its readers, at the price of copying what is kept.
+    """
+    cut = int(keep_from[:4]) * 100 + int(keep_from[5:7])
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = []
+    for year in fs.listStatus(root):
+        if not year.getPath().getName().startswith("yyyy="):
+            continue
+        for month in fs.listStatus(year.getPath()):
+            y, m = (x.split("=")[1] for x in (year.getPath().getName(), month.getPath().getName()))
+            if y.isdigit() and m.isdigit() and int(y) * 100 + int(m) < cut:
+                fs.delete(month.getPath(), True)
+                gone.append(f"yyyy={y}/mm={m}")
+    spark.catalog.refreshByPath(path)
+    return sorted(gone)
+
+
 def retention(spark: SparkSession, path: str, keep_from: str, out_root: str) -> str:
     """Keep months on or after ``keep_from`` (partition filter) in a new snapshot directory.
 
