@@ -168,8 +168,12 @@ def _raked_here(cells: pd.DataFrame, k: float, total: int) -> tuple[np.ndarray,
     return u, float(miss)
 
 
-def on_targets(cells: DataFrame, keep: float, parts: int) -> DataFrame:
-    """Cells (with tokens and t_ shares) with ``u``, where min(1, u) is the probability that meets the targets."""
+def on_targets(cells: DataFrame, keep: float, parts: int, tolerance: float = TOLERANCE) -> DataFrame:
+    """Cells (with tokens and t_ shares) with ``u``, where min(1, u) is the probability that meets the targets.
+
+    No share misses its target by ``tolerance`` or more, unless the targets contradict each other.
+    A wider one lets cells that hold too little be kept whole, and so keeps more of the others.
+    """
     sums = [cells.groupBy(f"_{c}").agg(F.sum("tokens").alias("n"), F.first(f"t_{c}").alias("t")).select(F.lit(c).alias("c"), "n", "t") for c in DIMENSIONS]
     known = sums[0].unionByName(sums[1]).unionByName(sums[2])
     whole = known.groupBy("c").agg(F.sum("t").alias("t_all"), F.sum("n").alias("tokens"))
@@ -179,28 +183,28 @@ def on_targets(cells: DataFrame, keep: float, parts: int) -> DataFrame:
     total = by[DIMENSIONS[0]]["tokens"]
     cells = cells.withColumns({f"t_{c}": F.col(f"t_{c}") / F.lit(by[c]["t_all"]) for c in DIMENSIONS})
     share = known.join(whole.select("c", "t_all"), "c").filter("t > 0").select((F.col("n") * F.col("t_all") / F.col("t")).alias("s")).agg(F.min("s")).first()[0]
-    k = min(keep, share / total)
+    k = min(keep, share / total) if tolerance <= TOLERANCE else keep  # a value's stock bounds what exact shares can keep
     few = cells.toPandas() if cells.count() <= BROADCAST_CELLS else None
     best = None
     while True:
         now, miss = _raked_here(few, k, total) if few is not None else _raked_there(cells, k, total, parts)
-        if miss >= TOLERANCE and best is not None and miss > 0.9 * best[1]:
+        if miss >= tolerance and best is not None and miss > 0.9 * best[1]:
             logging.getLogger(__name__).warning("mixing: the targets contradict each other; a share misses its target by %.4f", best[1])
             now, miss = best[0], 0.0
-        if miss < TOLERANCE:
+        if miss < tolerance:
             return now if few is None else cells.sparkSession.createDataFrame(few[[f"_{c}" for c in DIMENSIONS]].assign(u=now))
         best = (now, miss)
         k *= STEP
 
 
-def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, on_target: bool = False) -> DataFrame:
+def probabilities(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, on_target: bool = False, tolerance: float = TOLERANCE) -> DataFrame:
     """(_source, _lang, _topic) -> tokens, probability, from documents that ``described`` has described."""
     cells = cut(docs.groupBy("_source", "_lang", "_topic").agg(F.sum("_words").alias("tokens")), "cells")
     parts = -(-max(1, cells.count()) // 100_000)
     filled = cut(with_targets(cells.filter("tokens > 0"), targets, temper).repartition(parts), "targets")
     if on_target:
         p = F.round(F.least(F.lit(1.0), F.col("u")), 9).alias("probability")
-        fitted = on_targets(filled, keep, parts).select("_source", "_lang", "_topic", p)
+        fitted = on_targets(filled, keep, parts, tolerance).select("_source", "_lang", "_topic", p)
         return cells.join(fitted, ["_source", "_lang", "_topic"], "left").withColumn("probability", F.coalesce("probability", F.lit(1.0)))
     raked = rake(filled.repartition(parts).withColumn("w", F.col("tokens").cast("double")), rounds)
     ratio = raked.select("_source", "_lang", "_topic", "tokens", "w", (F.col("w") / F.col("tokens")).alias("ratio"))
@@ -222,12 +226,12 @@ def uniform(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, with_text: bool = True, on_target: bool = False) -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, seed: int = 9, temper: float = TEMPER, rounds: int = ROUNDS, keep: float = KEEP, with_text: bool = True, on_target: bool = False, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` (or their ids alone) with _source, _lang, _topic, _words, _probability and _kept."""
     labelled = described(docs, leaders(docs))
     if not with_text:  # then what is known of the texts is written once
         labelled = cut(labelled.select("doc_id", "_source", "_lang", "_topic", "_words"), "described")
-    fitted = cut(probabilities(labelled, targets, temper, rounds, keep, on_target), "probabilities")
+    fitted = cut(probabilities(labelled, targets, temper, rounds, keep, on_target, tolerance), "probabilities")
     fitted = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
     fitted = fitted.select("_source", "_lang", "_topic", F.col("probability").alias("_probability"))
     out = labelled.join(fitted, ["_source", "_lang", "_topic"])
