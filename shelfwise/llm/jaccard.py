@@ -19,19 +19,24 @@ come into one component by then; so no link between components is lost and
 a large group of near copies does not verify all its pairs. Of blocks with the same nodes one is
 joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 
+With ``count_links`` every block joins in full without the stars: all pairs of
+different sets whose bound passes are verified, each link is kept once, and a
+document's number of links counts the rows with the linked sets, copies included.
+
 Defined results: a null, empty or wordless text has the empty set and is
 linked with nothing; a text of fewer than k words has its whole sequence as its one
 shingle; repeated rows share a component; of rows that repeat an id with other
 texts the least text is compared; rows without an id have the component
 of an equal set's row that has one, or none; extra columns are ignored; an empty
-table gives no rows. Not every link of a component is listed: members of one
-component are not compared further.
+table gives no rows. n_links counts rows that have an id, the row itself not;
+it is null for rows without an id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +53,8 @@ TILE = 500
 LEAF = 32
 #: Blocks of at most so many nodes are a leaf of their own.
 SMALL = 32
+#: Pair codes of a bucket held before repeated ones are merged.
+MOST_CODES = 1 << 22
 #: Ids up to this many (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 #: Buckets of the block join in units of the shuffle partitions: one holds few pivots beside each other.
@@ -251,6 +258,25 @@ def link_pairs(sets: Sets, comp: np.ndarray, a: np.ndarray, b: np.ndarray, perce
     return tuple(np.array(out, np.int64).reshape(-1, 2).T)
 
 
+def every_link(sets: Sets, a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b) that are similar enough."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    cuts = [*np.flatnonzero(np.diff(a, prepend=-1)).tolist(), len(a)]
+    ok = np.zeros(len(a), bool)
+    for lo, hi in pairwise(cuts):
+        for at in range(lo, hi, 512):
+            c = slice(at, min(at + 512, hi))
+            x = int(a[at])
+            ok[c] = _enough(sets.shared(x, b[c]), sets.size[x] + sets.size[b[c]], percent)
+    return a[ok], b[ok]
+
+
+def _merged(codes: list[np.ndarray], most: int) -> list[np.ndarray]:
+    """The pair codes, once each as soon as more than ``most`` have come together."""
+    return [np.unique(np.concatenate(codes))] if sum(map(len, codes)) > most else codes
+
+
 def _bounded_pairs(group: pa.Table, known: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
     """The nodes of some tile pairs (t, i, j) of blocks, their components, their rows in ``known``, and the pairs
     (a, b) of places in these whose components differ and whose bound passes. ``known`` has the nodes' points."""
@@ -272,11 +298,14 @@ def _bounded_pairs(group: pa.Table, known: pa.Table, percent: int) -> tuple[np.n
             a, b = tree_pairs(points, percent, who, who)
         else:
             a, b = tree_pairs(points, percent, np.unique(number[part[tile[part] == i[part[0]]]]), np.unique(number[part[tile[part] == j[part[0]]]]))
-        pairs.append(np.minimum(a, b) * len(node) + np.maximum(a, b))
+        pairs = _merged([*pairs, np.minimum(a, b) * len(node) + np.maximum(a, b)], MOST_CODES)
     for size in {len(w) for w in small}:  # all small blocks of a size at once
         x, y = np.triu_indices(size, 1)
         blocks = np.unique(np.stack([w for w in small if len(w) == size]), axis=0)
-        pairs.append(np.unique((blocks[:, x] * len(node) + blocks[:, y]).ravel()))
+        step = max(1, MOST_CODES // max(1, len(x)))
+        for lo in range(0, len(blocks), step):
+            some = blocks[lo : lo + step]
+            pairs = _merged([*pairs, np.unique((some[:, x] * len(node) + some[:, y]).ravel())], MOST_CODES)
     code = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
     a, b = code // len(node), code % len(node)
     differ = comp[a] != comp[b]
@@ -293,11 +322,12 @@ def _bounded_nodes(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
     return pa.table({"to": pa.array(np.full(len(some), group.column("bucket")[0].as_py(), np.int64)), "id": pa.array(some)})
 
 
-def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
-    """Links that join components; ``known`` has the texts as well."""
+def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int, every: bool = False) -> pa.Table:
+    """Links that join components, or every link; ``known`` has the texts as well."""
     node, comp, of, a, b = _bounded_pairs(group, known, percent)
     if len(a):
-        a, b = link_pairs(Sets(known.column("text").take(of), k), comp, a, b, percent)
+        sets = Sets(known.column("text").take(of), k)
+        a, b = every_link(sets, a, b, percent) if every else link_pairs(sets, comp, a, b, percent)
         give_back()
     return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
 
@@ -341,8 +371,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(partial(_verified, k=k, percent=percent), "a long, b long")
 
 
-def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs``."""
+def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs``; with ``count_links`` also n_links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = cut(docs.mapInArrow(partial(_sets, k=k), SETS), "sets")
     sets = found.filter("slot is null")
@@ -351,7 +381,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     level = np.zeros(1 << SKETCH_BITS, np.uint8)
     level[hot["slot"].to_numpy(np.int64)] = np.log2(np.maximum(hot["hits"].to_numpy(np.float64), 1)).astype(np.uint8)
 
-    nodes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("point").alias("point"))
+    nodes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("point").alias("point"), F.count("doc_id").alias("copies"))
     nodes = cut(nodes.filter("node is not null"), "nodes")
     keys = docs.mapInArrow(partial(_prefixes, k=k, percent=percent, level=level), "t long, node long")
     least = keys.groupBy("t").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("t", "pivot")
@@ -362,14 +392,18 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     def known(pairs: DataFrame, side: str, name: str) -> DataFrame:
         return pairs.join(point.select(F.col("s1").alias(side), F.col("node").alias(name), F.col("point").alias(f"p{name}")), side)
 
-    stars = blocks.filter("node != pivot").select("pivot", F.col("node").alias("other")).distinct()
-    stars = known(known(stars, "pivot", "a"), "other", "b").select("a", "b", "pa", "pb").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
-    links = cut(_verify(stars, docs, k, percent), "links")
-    roots = cut(components(links), "roots")
-
     ids = nodes.select("s1", "node")
-    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(ids, "s1").join(roots, "node", "left")
-    members = cut(members.select("t", "pivot", "node", F.coalesce("root", "node").alias("comp")), "members")
+    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(ids, "s1")
+    if count_links:
+        links = None
+        members = cut(members.select("t", "pivot", "node", F.col("node").alias("comp")), "members")
+    else:
+        stars = blocks.filter("node != pivot").select("pivot", F.col("node").alias("other")).distinct()
+        stars = known(known(stars, "pivot", "a"), "other", "b").select("a", "b", "pa", "pb").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
+        links = cut(_verify(stars, docs, k, percent), "links")
+        roots = cut(components(links), "roots")
+        members = members.join(roots, "node", "left")
+        members = cut(members.select("t", "pivot", "node", F.coalesce("root", "node").alias("comp")), "members")
     sign = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")
     split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), sign).filter("lo < hi")
     split = split.groupBy("size", "sign").agg(F.min("t").alias("t"))
@@ -391,12 +425,24 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     left = mixed.join(some.select(F.col("to").alias("bucket"), F.col("id").alias("node")), ["bucket", "node"], "left_semi")
 
     def join(group: pa.Table, known: pa.Table) -> pa.Table:
-        return _join_blocks(group, known, k, percent)
+        return _join_blocks(group, known, k, percent, count_links)
 
     more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
-    if not more.isEmpty():
+    if count_links:
+        more = cut(more.distinct(), "links")
+        roots = cut(components(more), "roots")
+    elif not more.isEmpty():
         roots = cut(components(links.unionByName(more)), "roots")
-    label = nodes.select("s1", "s2", "n", "node").join(roots, "node", "left").select("s1", "s2", "n", F.coalesce("root", "node").alias("component_id"))
-    out = sets.select("doc_id", "n", "s1", "s2").join(label, ["s1", "s2", "n"], "left")
+    label = nodes.join(roots, "node", "left").select("s1", "s2", "n", "node", "copies", F.coalesce("root", "node").alias("component_id"))
+    if count_links:
+        ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("with")), F.struct(F.col("b").alias("node"), F.col("a").alias("with"))))
+        linked = more.select(ends.alias("e")).select("e.node", "e.with").join(nodes.select(F.col("node").alias("with"), "copies"), "with")
+        label = label.join(linked.groupBy("node").agg(F.sum("copies").alias("others")), "node", "left")
+        label = label.withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+    out = sets.select("doc_id", "n", "s1", "s2").join(label.drop("node", "copies", "others"), ["s1", "s2", "n"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    out = out.withColumns({"n_shingles": F.col("n"), "component_id": own})
+    if not count_links:
+        return out.select("doc_id", "n_shingles", "component_id")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0)))
+    return out.select("doc_id", "n_shingles", "component_id", n_links.alias("n_links"))

@@ -80,8 +80,9 @@ sizes as (select doc_id, count(*)::bigint as n from grams group by doc_id),
 pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by all),
 links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
 reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a)
-select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, coalesce(n_links, 0)::bigint as n_links
 from documents d left join sizes using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) using (doc_id)
+left join (select a as doc_id, count(*) as n_links from links group by a) using (doc_id)
 """
 
 SUBSTRINGS = rf"""

@@ -41,7 +41,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"), k=5, percent=80)
+    return jaccard_join(table(spark, sf_dir, "documents"), k=5, percent=80, count_links=True)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,8 +150,41 @@ def jaccard_brute(rows, k=5):
     return Counter((d, len(sets[d]), find(d)) for d, *_ in rows)
 
 
+def links_brute(rows, k=5):
+    sets = []
+    for _, text, *_ in rows:
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
+    n = [0] * len(rows)
+    for i, j in combinations(range(len(rows)), 2):
+        shared = len(sets[i] & sets[j])
+        if shared and 100 * shared >= 80 * (len(sets[i]) + len(sets[j]) - shared):
+            n[i] += 1
+            n[j] += 1
+    return Counter((r[0], n[i]) for i, r in enumerate(rows))
+
+
 def test_jaccard(docs, rows):
     assert Counter(tuple(r) for r in jaccard_join(docs).collect()) == jaccard_brute(rows)
+    got = jaccard_join(docs, count_links=True).collect()
+    assert Counter(tuple(r)[:3] for r in got) == jaccard_brute(rows)
+    assert Counter((r.doc_id, r.n_links) for r in got) == links_brute(rows)
+
+
+def test_jaccard_keeps_links_within_a_component(spark):
+    """A chain of edits: every text is linked with its near ones only, and a group beyond a tile loses no link."""
+    r = random.Random(11)
+    base = [f"w{r.randrange(10**6)}" for _ in range(400)]
+    rows = []
+    for i in range(700):
+        w = list(base)
+        for at in range(i // 50):
+            w[at * 20] = f"e{at}"
+        w[399] = f"own{i % 600}"
+        rows.append((i, " ".join(w), *[None] * 11))
+    got = jaccard_join(spark.createDataFrame(rows, DOCS).repartition(4), count_links=True).collect()
+    assert Counter((x.doc_id, x.n_links) for x in got) == links_brute(rows)
+    assert len({x.component_id for x in got}) == 1 and len({x.n_links for x in got}) > 3
 
 
 def test_tree_finds_all_bounded_pairs():
