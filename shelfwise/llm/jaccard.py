@@ -20,8 +20,11 @@ a large group of near copies does not verify all its pairs. Of blocks with the s
 joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 
 With ``count_links`` every block joins in full without the stars: all pairs of
-different sets whose bound passes are verified, each link is kept once, and a
-document's number of links counts the rows with the linked sets, copies included.
+different sets whose bound passes are verified. A pair belongs to the least block
+that both sets stand in, so it is verified in one task; the task adds up its links per
+set and passes on these sums and a forest of the links, which grow with the sets and not
+with their pairs. A document's number of links counts the rows with the linked sets,
+copies included.
 
 Defined results: a null, empty or wordless text has the empty set and is
 linked with nothing; a text of fewer than k words has its whole sequence as its one
@@ -272,6 +275,59 @@ def every_link(sets: Sets, a: np.ndarray, b: np.ndarray, percent: int) -> tuple[
     return a[ok], b[ok]
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The links (a, b) that join parts of the n nodes which the links before leave apart."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    keep = np.zeros(len(a), bool)
+    for at, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            keep[at] = True
+    return a[keep], b[keep]
+
+
+def own_pairs(group: pa.Table, standing: pa.ListArray, node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the least block that both nodes of a pair (places a, b of ``node``) stand in brings them together here.
+
+    ``group`` has the tile pairs (t, i, j) of this bucket; ``standing`` all blocks of each node, here or elsewhere."""
+    size = np.diff(np.asarray(standing.offsets))
+    begin = np.cumsum(size) - size
+    known, code = np.unique(np.asarray(standing.flatten()), return_inverse=True)
+    mark = np.zeros(len(known), bool)
+    least = np.full(len(a), len(known))
+    order = np.lexsort((b, a))
+    for some in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+        mine = code[begin[a[some[0]]] :][: size[a[some[0]]]]
+        mark[mine] = True
+        for lo in range(0, len(some), 512):
+            n = size[b[some[lo : lo + 512]]]
+            first = np.cumsum(n) - n
+            at = np.repeat(begin[b[some[lo : lo + 512]]] - first, n) + np.arange(n.sum())
+            least[some[lo : lo + 512]] = np.minimum.reduceat(np.where(mark[code[at]], code[at], len(known)), first)
+        mark[mine] = False
+    t, i, j, tile, who = (np.asarray(group.column(c)).astype(np.int64) for c in ("t", "i", "j", "tile", "node"))
+    t = np.searchsorted(known, t)
+    here, row = np.unique(t * len(node) + np.searchsorted(node, who), return_index=True)
+    tiles = []
+    own = np.ones(len(a), bool)
+    for side in (a, b):
+        key = least * len(node) + side
+        at = np.searchsorted(here, key).clip(max=len(here) - 1)
+        own &= here[at] == key
+        tiles.append(tile[row[at]])
+    wide = int(max(i.max(), j.max())) + 1
+    own &= np.isin((least * wide + np.minimum(*tiles)) * wide + np.maximum(*tiles), (t * wide + i) * wide + j)
+    return own
+
+
 def _merged(codes: list[np.ndarray], most: int) -> list[np.ndarray]:
     """The pair codes, once each as soon as more than ``most`` have come together."""
     return [np.unique(np.concatenate(codes))] if sum(map(len, codes)) > most else codes
@@ -322,16 +378,34 @@ def _bounded_nodes(group: pa.Table, known: pa.Table, percent: int) -> pa.Table:
     return pa.table({"to": pa.array(np.full(len(some), group.column("bucket")[0].as_py(), np.int64)), "id": pa.array(some)})
 
 
-def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int, every: bool = False) -> pa.Table:
-    """Links that join components, or every link; ``known`` has the texts as well."""
+def _join_blocks(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
+    """Links that join components; ``known`` has the texts as well."""
     node, comp, of, a, b = _bounded_pairs(group, known, percent)
     if len(a):
-        sets = Sets(known.column("text").take(of), k)
-        a, b = every_link(sets, a, b, percent) if every else link_pairs(sets, comp, a, b, percent)
+        a, b = link_pairs(Sets(known.column("text").take(of), k), comp, a, b, percent)
         give_back()
     return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
 
 
+def _count_links(group: pa.Table, known: pa.Table, k: int, percent: int) -> pa.Table:
+    """(node, null, rows linked with it by this bucket's own pairs) and the links (a, b, null) of a forest."""
+    node, _, of, a, b = _bounded_pairs(group, known, percent)
+    if len(a):
+        own = own_pairs(group, known.column("standing").take(of).combine_chunks(), node, a, b)
+        a, b = a[own], b[own]
+    if len(a):
+        a, b = every_link(Sets(known.column("text").take(of), k), a, b, percent)
+        give_back()
+    copies = np.asarray(known.column("copies").take(of)).astype(np.int64)
+    n = np.zeros(len(node), np.int64)
+    np.add.at(n, a, copies[b])
+    np.add.at(n, b, copies[a])
+    some = np.flatnonzero(n)
+    a, b = _forest(a, b, len(node))
+    ends = pa.array(np.concatenate([node[some], node[a]])), pa.chunked_array([pa.nulls(len(some), pa.int64()), pa.array(node[b])])
+    return pa.table({"a": ends[0], "b": ends[1], "n": pa.chunked_array([pa.array(n[some]), pa.nulls(len(a), pa.int64())])})
+
+
 @tidy
 def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole sets are similar enough."""
@@ -425,19 +499,24 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bo
     left = mixed.join(some.select(F.col("to").alias("bucket"), F.col("id").alias("node")), ["bucket", "node"], "left_semi")
 
     def join(group: pa.Table, known: pa.Table) -> pa.Table:
-        return _join_blocks(group, known, k, percent, count_links)
+        return _join_blocks(group, known, k, percent)
+
+    def count(group: pa.Table, known: pa.Table) -> pa.Table:
+        return _count_links(group, known, k, percent)
 
-    more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
     if count_links:
-        more = cut(more.distinct(), "links")
-        roots = cut(components(more), "roots")
-    elif not more.isEmpty():
-        roots = cut(components(links.unionByName(more)), "roots")
+        standing = mixed.groupBy(F.col("node").alias("id")).agg(F.sort_array(F.collect_set("t")).alias("standing"))
+        known = known.join(standing, "id").join(nodes.select(F.col("node").alias("id"), "copies"), "id")
+        more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(count, "a long, b long, n long"), "links")
+        roots = cut(components(more.filter("b is not null")), "roots")
+    else:
+        more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
+        if not more.isEmpty():
+            roots = cut(components(links.unionByName(more)), "roots")
     label = nodes.join(roots, "node", "left").select("s1", "s2", "n", "node", "copies", F.coalesce("root", "node").alias("component_id"))
     if count_links:
-        ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("with")), F.struct(F.col("b").alias("node"), F.col("a").alias("with"))))
-        linked = more.select(ends.alias("e")).select("e.node", "e.with").join(nodes.select(F.col("node").alias("with"), "copies"), "with")
-        label = label.join(linked.groupBy("node").agg(F.sum("copies").alias("others")), "node", "left")
+        linked = more.filter("n is not null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+        label = label.join(linked, "node", "left")
         label = label.withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
     out = sets.select("doc_id", "n", "s1", "s2").join(label.drop("node", "copies", "others"), ["s1", "s2", "n"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
