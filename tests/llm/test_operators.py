@@ -392,6 +392,7 @@ ALL = {
     "quality": quality_rules,
     "tokens": lambda d: read_tokens(write_tokens(d, PATH, 1)),
     "jaccard": jaccard_join,
+    "jaccard_links": lambda d: jaccard_join(d, count_links=True),
     "packing": lambda d: pack(d, PATH, 0),
     "substrings": remove_repeats,
     "license": license_scan,
