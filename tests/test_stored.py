@@ -122,6 +122,32 @@ def test_upsert_does_not_shuffle_the_target(spark, scratch):
     assert "Exchange" not in target and "Bucketed: true" in plan and "SelectedBucketsCount: 4 out of 4" in plan
 
 
+def test_bucketed_upsert_keeps_other_months_in_a_session_of_static_overwrites(spark, scratch):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    was = spark.conf.get(mode)
+    spark.conf.set(mode, "static")  # Spark's default
+    try:
+        root = f"{scratch}/sell"
+        BK.upsert_fact(spark, root, spark.createDataFrame(sells(range(60), 1), SELLS), S.SELL, EARLY, buckets=2)
+        new = spark.createDataFrame(sells([i for i in range(40, 80) if i % 3 == 1], 2), SELLS)
+        assert BK.upsert_fact(spark, root, new, S.SELL, LATE) == [dt.date(2026, 2, 1)]
+        got = {r.id: r.shop_id for r in BK.read_fact(spark, root, S.SELL).collect()}
+    finally:
+        spark.conf.set(mode, was)
+    assert got == {i: 2 if i % 3 == 1 and i >= 40 else 1 for i in range(80) if i < 60 or i % 3 == 1}
+
+
+def test_a_bucketed_table_of_an_older_release_is_declared_anew(spark, scratch):
+    root = f"{scratch}/sell"
+    BK.upsert_fact(spark, root, spark.createDataFrame(sells(range(30), 1), SELLS), S.SELL, EARLY, buckets=2)
+    name = BK.open_table(spark, root, S.SELL)
+    made = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql("\n".join(line for line in made.replace("OPTIONS (\n  'partitionOverwriteMode' = 'dynamic')\n", "").split("\n")))
+    assert not BK._is_dynamic(spark, name)
+    assert BK.read_fact(spark, root, S.SELL).count() == 30 and BK._is_dynamic(spark, name)
+
+
 def test_buckets_follow_the_busiest_month():
     assert [BK.buckets_for(x << 20) for x in (0, 256, 257, 2560)] == [1, 1, 2, 10]
 
