@@ -118,3 +118,16 @@ def test_a_cluster_must_name_its_folder():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(session)
+
+
+def test_audit_strata_never_broadcasts_the_target(spark, scratch):
+    target = spark.range(50_000).select("id", (F.col("id") % 5).cast("int").alias("shop_id"), F.lit(1).alias("qty"))
+    target.write.parquet(f"{scratch}/t")  # small files
+    source = spark.range(-20, 900).select("id", (F.col("id") % 5).cast("int").alias("shop_id"), F.when(F.col("id") % 2 == 0, 1).alias("qty"))
+    got = Q.audit_strata(source, spark.read.parquet(f"{scratch}/t"), "t", ["id"], ["shop_id"], ["qty"], 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin LeftOuter" not in plan.replace("[", " ") and "Join LeftOuter" not in plan.replace("SortMergeJoin", "")
+    assert ", LeftOuter, BuildRight" not in plan and ", LeftSemi, BuildRight" in plan
+    for r in got.collect():
+        assert r.found == (int(r.row_key) >= 0) and r.same == (r.found and int(r.row_key) % 2 == 0)
+    assert got.count() == 3 * source.select("shop_id").distinct().count()
