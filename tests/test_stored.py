@@ -63,6 +63,20 @@ def test_a_month_without_rows_is_emptied(spark, scratch):
     assert SM.refresh(spark, f"{scratch}/b", root) == []
 
 
+def test_summary_tells_bills_apart_in_parts_of_bounded_size(spark, scratch, monkeypatch):
+    batch = spark.createDataFrame(lines(400, 1) + lines(300, 2, 1000) + [(5000 + i, i, 1, 1, 1, 1, dt.datetime(2026, 3, 3)) for i in range(300)], DETAIL)
+    upsert_months(spark, f"{scratch}/sell_detail", batch, S.SELL_DETAIL, "2026-05-01 00:00:00")
+    made = []
+    monkeypatch.setattr(SM, "LINES_PER_TASK", 70)
+    monkeypatch.setattr(SM, "monthly", lambda *a, **k: made.append(SR.monthly(*a, **k)) or made[-1])
+    assert len(SM.refresh(spark, f"{scratch}/sell_detail", f"{scratch}/monthly")) == 3
+    parts = [x for x in _plan(made[0]).splitlines() if "REPARTITION_BY_NUM" in x]
+    assert parts and all(", 15)" in x for x in parts)  # 1000 lines, by key, month and bill
+    want = SR.monthly(spark.read.parquet(f"{scratch}/sell_detail"), list(SM.KEYS))
+    assert rows(SM.read(spark, f"{scratch}/monthly"), *want.columns) == rows(want)
+    assert [SM._parts(n) for n in (0, 70, 71, 10**12)] == [1, 1, 2, SM.MAX_TASKS]
+
+
 @pytest.mark.parametrize("name", ["sales_trend", "sales_yearly_agg", "sales_summary", "forecast_compare", "calculate_reorder", "sales_monthly_by_shop"])
 def test_planning_reads_the_summary_not_the_detail(spark, name):
     import __spark_entry__ as E
