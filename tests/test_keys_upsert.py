@@ -149,3 +149,32 @@ def test_row_rule_rejects_feed_the_dead_letter_table(spark):
     rej = dq_row_rejects(df, in_set={"kind": ["click"]}, compare=[("a", "b")], lengths={"name": 4})
     out = {r.row_key: r.reason for r in dlq(rej, "events", ["id"]).collect()}
     assert out == {"2": "not_in_set_kind,a_gt_b,too_long_name"}  # NULLs pass every rule
+
+
+def test_a_first_load_joins_nothing(spark, scratch, monkeypatch):
+    from shelfwise.operators import upsert as U
+
+    at = [dt.datetime(2026, m, 5) for m in (1, 1, 2, 2)] + [None]
+    batch = spark.createDataFrame([(i % 4, shop, at[i % 5]) for i, shop in zip(range(40), [3, 1, 2] * 14)] + [(None, 1, at[0])] * 2,
+                                  "id bigint, shop_id int, sell_date timestamp_ntz")
+    want = rows(upsert(U.empty_target(spark, S.SELL), batch, S.SELL, T0))
+    assert rows(upsert(None, batch, S.SELL, T0)) == want
+    assert " Join " not in merge(None, batch, S.SELL.keys, S.SELL.updates)._jdf.queryExecution().optimizedPlan().toString()
+    with monkeypatch.context() as m:
+        m.setattr(U, "merge", None)  # would be called
+        months = upsert_months(spark, f"{scratch}/t", batch, S.SELL, T0)
+    assert sorted(map(str, months)) == ["2026-01-01", "2026-02-01", "None"]
+    assert rows(U.read_months(spark, f"{scratch}/t", S.SELL)) == want
+    assert upsert_months(spark, f"{scratch}/none", batch.limit(0), S.SELL, T0) == []
+    upsert_months(spark, f"{scratch}/t", batch.where("sell_date is not null"), S.SELL, T1)  # a second load finds the rows of the first
+    assert rows(U.read_months(spark, f"{scratch}/t", S.SELL)) == want
+
+
+def test_dedupe_holds_a_row_once(spark):
+    from shelfwise.operators.upsert import dedupe_latest
+
+    df = spark.createDataFrame([(1, 2, "a"), (1, 1, "z"), (1, 2, None), (2, None, "b"), (2, None, None), (None, 5, "c")], "k int, v int, t string")
+    out = dedupe_latest(df, ["k"])
+    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(out) == [(1, 2, "a"), (2, None, "b"), (None, 5, "c")]
+    assert rows(dedupe_latest(df, ["k"], ["t"])) == [(1, 1, "z"), (2, None, "b"), (None, 5, "c")]
