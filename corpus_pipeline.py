@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.jaccard import jaccard_join
 from shelfwise.llm.mixing import mixed
 from shelfwise.llm.packing import pack
-from shelfwise.llm.store import cut, table
+from shelfwise.llm.store import bounded_batches, cut, table
 from shelfwise.llm.substrings import NO_ID, remove_repeats
 from shelfwise.llm.toxicity import PREDICT, keep_clean, train
 
@@ -39,6 +39,7 @@ def _small(ids: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
+    bounded_batches(spark)
     docs = docs.select(COLUMNS)
     return keep_clean(docs, train(docs, table(spark, sf_dir, "labels")), PREDICT)
 

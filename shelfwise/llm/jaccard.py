@@ -6,10 +6,12 @@ coordinate minima bounds their overlap from above. A larger set has more
 groups (a power of two, about a fifth of its size), and points fold to fewer
 groups by adding counts, so any two compare in the groups of the smaller.
 
-Which points meet: two sets of similarity t share a shingle among the first
-n - ceil(t n) + 1 of each in any common order. The order is frequency, from a
-fixed-size sketch of the whole corpus, then hash, so shared boilerplate comes
-last. A shingle that several nodes have among these is a block.
+Which points meet: two sets of similarity t share min(m, ceil(t n)) shingles among the
+first n - ceil(t n) + m of each in any common order, for any m up to ceil(t n). The
+order is frequency, from a fixed-size sketch of the whole corpus, then hash, so shared
+boilerplate comes last. A shingle that several nodes have among these is a block. A node
+in fewer than m = ``SHARED`` blocks has no similar node: most nodes that share a
+phrase by chance go here, before any point is sent.
 First each node of a block is tried against the block's least node (a star);
 surviving pairs of the bound are verified on the whole sets. Blocks whose
 nodes still lie in different components then join in full: an R-tree over
@@ -19,6 +21,9 @@ come into one component by then; so no link between components is lost and
 a large group of near copies does not verify all its pairs. Of blocks with the same nodes one is
 joined, and a block beyond ``TILE`` nodes is dealt to tiles that meet pairwise.
 
+Nodes without a pair that passes the bound leave their blocks before texts are sent, and the
+rest are dealt anew by the least node left, so a set's text goes to few buckets.
+
 With ``count_links`` every block joins in full without the stars: all pairs of
 different sets whose bound passes are verified. A pair belongs to the least block
 that both sets stand in, so it is verified in one task; the task adds up its links per
@@ -43,15 +48,17 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import cut, fan_out, release
+from .store import bounded_batches, cut, fan_out, release
 from .text import U, give_back, mix, shingles, texts, tidy
 
 GROUPS, MOST_GROUPS = 32, 4096
 SKETCH_BITS = 22
+#: Shingles that two similar sets have in common among the first of each, unless a set has fewer.
+SHARED = 4
 TILE = 500
 LEAF = 32
 #: Blocks of at most so many nodes are a leaf of their own.
@@ -71,8 +78,9 @@ def _points_of(row: np.ndarray, key: np.ndarray, n: np.ndarray) -> list[bytes]:
     groups = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1) / 5)).astype(np.int64).clip(0), GROUPS, MOST_GROUPS)
     begin = np.cumsum(groups) - groups
     counts = np.bincount(begin[row] + (key % groups[row].astype(U)).astype(np.int64), minlength=int(groups.sum()))
-    body = counts.astype("<u4").tobytes() if counts.max(initial=0) >= 1 << 16 else counts.astype("<u2").tobytes()
-    wide = len(body) // max(1, len(counts))
+    most = counts.max(initial=0)
+    wide = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    body = counts.astype(f"<u{wide}").tobytes()
     return [bytes([wide]) + body[wide * a : wide * (a + g)] for a, g in zip(begin.tolist(), groups.tolist(), strict=True)]
 
 
@@ -134,7 +142,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
 
 @tidy
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, level: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(shingle, node hash) for the shingles of each set that must hold one in common with any similar set."""
+    """(shingle, node hash) for the shingles of each set that must hold ``SHARED`` in common with any similar set."""
     seen = np.zeros(0, U)  # equal sets within a batch of rows are sent once
     for batch in batches:
         for src in texts(batch.column("text")):
@@ -156,8 +164,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, level: np
                 row, key = row[order], key[order]
             start = np.searchsorted(row, np.arange(src.n))
             place = np.arange(len(row)) - start[row]
-            need = n - -(-n * percent // 100) + 1
-            use = place < need[row]
+            least = -(-n * percent // 100)  # shingles that a similar set has too
+            use = place < (n - least + np.minimum(SHARED, least))[row]
             yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(node[row[use]].view(np.int64))], ["t", "node"])
 
 
@@ -445,8 +453,34 @@ def _verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(partial(_verified, k=k, percent=percent), "a long, b long")
 
 
+def _members(blocks: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(t, node) of the nodes that stand in as many blocks as a similar node would share with them."""
+    held = blocks.join(nodes.select("s1", "node", "n"), "s1")
+    # A node has few blocks, as many as its text has shingles at most.
+    held = held.withColumn("blocks", F.count("*").over(Window.partitionBy("s1", "node")))
+    return held.filter(f"blocks >= least({SHARED}, (n * {percent} + 99) div 100)").select("t", "node")
+
+
+def _dealt(members: DataFrame, name: str) -> DataFrame:
+    """Tile pairs (t, i, j) of blocks with nodes of different components, one block of those with equal nodes, dealt to buckets."""
+    members = members.filter("t is not null").repartition("t")  # the counting and the join read the same exchange
+    if "comp" not in members.columns:
+        members = members.withColumn("comp", F.col("node"))
+    sign = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")
+    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("pivot"), F.count("*").alias("size"), sign).filter("lo < hi")
+    split = split.groupBy("size", "sign").agg(F.min(F.struct("t", "pivot")).alias("one"))
+    mixed = members.join(split.select("one.t", "one.pivot", F.expr(f"cast(ceil(size / {TILE}) as int)").alias("k")), "t")
+    mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
+    met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
+    # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
+    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(DEAL * fan_out(members.sparkSession))).cast("long").alias("bucket")
+    mixed = mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j")
+    return cut(mixed.select(deal, "t", "node", "comp", "tile", "i", "j"), name)
+
+
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``; with ``count_links`` also n_links."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = cut(docs.mapInArrow(partial(_sets, k=k), SETS), "sets")
     sets = found.filter("slot is null")
@@ -457,46 +491,41 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bo
 
     nodes = sets.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.first("point").alias("point"), F.count("doc_id").alias("copies"))
     nodes = cut(nodes.filter("node is not null"), "nodes")
-    keys = docs.mapInArrow(partial(_prefixes, k=k, percent=percent, level=level), "t long, node long")
-    least = keys.groupBy("t").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("t", "pivot")
-    blocks = cut(keys.join(least, "t"), "blocks")
+    # Dealt once by shingle, for the counting and for the join.
+    keys = docs.mapInArrow(partial(_prefixes, k=k, percent=percent, level=level), "t long, node long").repartition("t")
+    several = keys.groupBy("t").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("t")
+    blocks = cut(keys.join(several, "t").select("t", F.col("node").alias("s1")).distinct(), "blocks")
     release(docs.sparkSession)
-    point = nodes.select("s1", "node", "point")
+    members = cut(_members(blocks, nodes, percent), "members")
+    release(docs.sparkSession)
+    point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
 
-    def known(pairs: DataFrame, side: str, name: str) -> DataFrame:
-        return pairs.join(point.select(F.col("s1").alias(side), F.col("node").alias(name), F.col("point").alias(f"p{name}")), side)
+    def known(pairs: DataFrame, name: str) -> DataFrame:
+        return pairs.join(point.select(F.col("id").alias(name), F.col("p").alias(f"p{name}")), name)
 
-    ids = nodes.select("s1", "node")
-    members = blocks.select("t", "pivot", F.col("node").alias("s1")).distinct().join(ids, "s1")
-    if count_links:
-        links = None
-        members = cut(members.select("t", "pivot", "node", F.col("node").alias("comp")), "members")
-    else:
-        stars = blocks.filter("node != pivot").select("pivot", F.col("node").alias("other")).distinct()
-        stars = known(known(stars, "pivot", "a"), "other", "b").select("a", "b", "pa", "pb").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
+    if not count_links:
+        pivot = members.groupBy("t").agg(F.min("node").alias("a"))
+        stars = members.join(pivot, "t").filter("node != a").select("a", F.col("node").alias("b")).distinct()
+        stars = known(known(stars, "a"), "b").select("a", "b", "pa", "pb").mapInArrow(partial(_bounded, percent=percent), "a long, b long")
         links = cut(_verify(stars, docs, k, percent), "links")
         roots = cut(components(links), "roots")
         members = members.join(roots, "node", "left")
-        members = cut(members.select("t", "pivot", "node", F.coalesce("root", "node").alias("comp")), "members")
-    sign = F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sign")
-    split = members.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), sign).filter("lo < hi")
-    split = split.groupBy("size", "sign").agg(F.min("t").alias("t"))
-    mixed = members.join(split.select("t", F.expr(f"cast(ceil(size / {TILE}) as int)").alias("k")), "t")
-    mixed = mixed.withColumn("tile", F.expr("cast(pmod(xxhash64(node), k) as int)"))
-    met = F.expr("transform(sequence(0, k - 1), x -> struct(least(x, tile) as i, greatest(x, tile) as j))")
-    # Blocks with the same least node mostly hold the same nodes, so they meet in one task, to which each point goes once.
-    deal = F.pmod(F.xxhash64("pivot", "i", "j"), F.lit(DEAL * fan_out(docs.sparkSession))).cast("long").alias("bucket")
-    mixed = cut(mixed.withColumn("ij", F.explode(met)).select("t", "pivot", "node", "comp", "tile", "ij.i", "ij.j").select(deal, "t", "node", "comp", "tile", "i", "j"), "mixed")
-    point = nodes.select(F.col("node").alias("id"), F.col("point").alias("p"))
+        members = cut(members.select("t", "node", F.coalesce("root", "node").alias("comp")), "members")
+    mixed = _dealt(members, "mixed")
+    release(docs.sparkSession)
     needed = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id")
 
     def bounded(group: pa.Table, known: pa.Table) -> pa.Table:
         return _bounded_nodes(group, known, percent)
 
-    # Texts go only where a pair of the bucket passes the bound.
-    some = cut(mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(bounded, "to long, id long"), "bounded_nodes")
-    known = some.join(point, "id").join(_texts(docs, cut(some.select("id").distinct(), "mixed_ids"), "mixed_texts"), "id")
-    left = mixed.join(some.select(F.col("to").alias("bucket"), F.col("id").alias("node")), ["bucket", "node"], "left_semi")
+    some = mixed.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(bounded, "to long, id long")
+    some = cut(cut(some, "bounded_nodes").select("id").distinct(), "mixed_ids")
+    release(docs.sparkSession)
+    # Texts go only where nodes with a pair that passes the bound meet.
+    few = F.broadcast(some) if some.count() <= BROADCAST_IDS else some
+    left = mixed.join(few.withColumnRenamed("id", "node"), "node", "left_semi")
+    mixed = _dealt(left.select("t", "node", "comp").distinct(), "mixed_left")
+    known = mixed.select(F.col("bucket").alias("to"), F.col("node").alias("id")).distinct().join(point, "id").join(_texts(docs, some, "mixed_texts"), "id")
 
     def join(group: pa.Table, known: pa.Table) -> pa.Table:
         return _join_blocks(group, known, k, percent)
@@ -507,10 +536,10 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, count_links: bo
     if count_links:
         standing = mixed.groupBy(F.col("node").alias("id")).agg(F.sort_array(F.collect_set("t")).alias("standing"))
         known = known.join(standing, "id").join(nodes.select(F.col("node").alias("id"), "copies"), "id")
-        more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(count, "a long, b long, n long"), "links")
+        more = cut(mixed.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(count, "a long, b long, n long"), "links")
         roots = cut(components(more.filter("b is not null")), "roots")
     else:
-        more = cut(left.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
+        more = cut(mixed.groupBy("bucket").cogroup(known.groupBy("to")).applyInArrow(join, "a long, b long"), "links")
         if not more.isEmpty():
             roots = cut(components(links.unionByName(more)), "roots")
     label = nodes.join(roots, "node", "left").select("s1", "s2", "n", "node", "copies", F.coalesce("root", "node").alias("component_id"))

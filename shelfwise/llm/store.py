@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
+#: As many bytes of texts as the helpers in ``text`` work on at once.
+BATCH_BYTES = 2 << 20
+
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a fresh folder of the shared checkpoint root and read it back."""
@@ -34,6 +37,15 @@ def drop(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch for Python holds ``BATCH_BYTES`` or one row: at 10,000 whole texts, both sides of
+    each task keep tens of MB, beyond the executor's heap."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(size)
+    if not re.fullmatch(r"[0-9]+b?", now) or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
+
+
 def fan_out(spark: SparkSession) -> int:
     """Buckets for a hash deal: the session's shuffle partitions, which grow with the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

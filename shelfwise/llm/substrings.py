@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import cut, fan_out, release
+from .store import bounded_batches, cut, fan_out, release
 from .text import U, Words, give_back, mix, texts, tidy
 
 WINDOW = 20
@@ -253,6 +253,7 @@ def _recurring(docs: DataFrame, reps: DataFrame, window: int, phrase: int) -> Da
 def repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(base, texts, spans): all documents; the texts of some; and for these the windows [lo, hi] that are repeats."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64("text").alias("tag"), "text")
     base = cut(docs.mapInArrow(_base, BASE), "substring_base")
     least = base.filter(f"n_words >= {window}").groupBy("h1", "h2", "n_words").agg(F.min("key").alias("first"))
