@@ -186,6 +186,69 @@ def test_hard_negatives_without_rows(spark):
     assert hard_negatives(candidates(one), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [250, 30_000, 40_000_000])  # products in floats, doubles and longs
+def test_a_pack_of_anchors_descends_together(monkeypatch, size):
+    """Two blocks of scattered rows: the second is met in a few matrix products, and results are those of brute force."""
+    r = np.random.default_rng(9)
+    v = r.integers(-size, size, (3000, 16))
+    v[::7] = v[3]  # ties
+    ids, label = r.permutation(3000), r.integers(4, size=3000)
+    q, mine = v[:96], label[:96]
+    score = q @ v.T
+    top = np.sort(score, 1)[:, -8:-5]
+    low, high = top // 2, top * 95 // 100
+    low[5], high[5] = 1, 0  # no window
+    found, calls = Windows(low, high, 3), []
+    add = Windows.add
+    monkeypatch.setattr(Windows, "add", lambda self, *a: (calls.append(a[1].shape), add(self, *a)))
+    for block in (np.arange(1500), np.arange(1500, 3000)):
+        calls.clear()
+        open_ = label[block] != mine[:, None]
+        own = np.arange(96) if block[0] == 0 else np.full(96, -1)
+        descend(grow(v[block]), v[block], ids[block], open_, q, found, own=own)
+    assert len(calls) <= 2 and sum(a * b for a, b in calls) <= 96 * 1500
+    for a in range(96):
+        for j in range(3):
+            fits = np.flatnonzero((label != mine[a]) & (score[a] >= low[a, j]) & (score[a] <= high[a, j]))
+            best = fits[np.lexsort((ids[fits], -score[a][fits]))[:3]]
+            assert found.ids[3 * a + j].tolist() == ids[best].tolist()
+    assert sum(len(x) > 0 for x in found.ids) > 200
+
+
+def test_what_one_block_gave_spares_the_next():
+    """Blocks of the same clusters: once its windows are filled, a pack reads far fewer points."""
+    r = np.random.default_rng(11)
+    centres = r.normal(size=(60, 16)) * 1000
+    blocks = [np.floor(centres[r.integers(60, size=4000)] + 20 * r.normal(size=(4000, 16))).astype(np.int64) for _ in range(2)]
+    q = np.floor(centres[0] + 20 * r.normal(size=(64, 16))).astype(np.int64)
+    high = (0.8 * (blocks[0] @ q.T).max(0)).astype(np.int64)[:, None]
+    found = Windows(np.full((64, 1), -(1 << 62)), high, 5)
+    seen = [descend(grow(v), v, b * 4000 + np.arange(4000), np.ones(4000, bool), q, found) for b, v in enumerate(blocks)]
+    assert seen[1] < 0.25 * 64 * 4000
+    v = np.concatenate(blocks)
+    for a in range(64):
+        score = v @ q[a]
+        fits = np.flatnonzero(score <= high[a])
+        assert found.ids[a].tolist() == fits[np.lexsort((fits, -score[fits]))[:5]].tolist()
+
+
+@pytest.mark.parametrize("products, bytes_", [(300, 80 << 20), (1 << 27, 2000)])
+def test_hard_negatives_in_cells(spark, monkeypatch, products, bytes_):
+    """Anchors dealt to packs and blocks to chunks; an anchor brings its best of a chunk, not of each block."""
+    rows = vector_rows(420, 8, 3)
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], VECTORS).repartition(3)
+    want, made, meetings = mined(ints(rows)), [], covertree._meetings
+    monkeypatch.setattr(covertree, "CELL_PRODUCTS", products)
+    monkeypatch.setattr(covertree, "CELL_BYTES", bytes_)
+    monkeypatch.setattr(covertree, "CELLS_PER_CORE", 2)
+    monkeypatch.setattr(covertree, "_meetings", lambda *a: made.append((a[2].count(), meetings(*a))) or made[-1][1])
+    got = hard_negatives(candidates(df), F.col("vec_id") % 50 == 0, block_rows=20, anchor_rows=4)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 20
+    cells = 8 if products == 300 else 1  # 2 for each of 4 cores
+    best = made[1][1].groupBy("anchor_id", "which").count().agg(F.max("count")).first()[0]
+    assert 3 <= best <= 3 * cells
+
+
 def test_cover_tree_covers_separates_and_skips():
     r = np.random.default_rng(4)
     centres = r.normal(size=(60, 16)) * 1000
